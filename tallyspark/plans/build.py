@@ -61,13 +61,13 @@ def build_gold(store: Store, as_of: str | None = None) -> dict[str, str]:
 
     summary, ranking = "gold_cfo_weekly_summary", "gold_cfo_weekly_merchant_ranking"
     daily, trend = "gold_ops_reconciliation_daily", "gold_ops_reconciliation_trend"
-    with_week_end = marts.cfo_weekly_merchant_ranking(bare, company)
+    risk = marts.cfo_weekly_merchant_ranking(bare, company)
     steps: dict[str, Callable[[], DataFrame]] = {
-        daily: lambda: store.replace(daily, marts.ops_daily(runs, current).hint("rebalance", "reference_date"), ["reference_date"]),
-        trend: lambda: store.replace(trend, marts.ops_trend(store.read(daily)).hint("rebalance", "reference_date"), ["reference_date"]),
+        daily: lambda: store.replace(daily, marts.ops_daily(runs, current)),
+        trend: lambda: store.replace(trend, marts.ops_trend(store.read(daily))),
         "gold_ops_run_history": lambda: store.replace("gold_ops_run_history", marts.run_history(runs, results)),
         summary: lambda: weekly(summary, marts.cfo_weekly_summary(current)),
-        ranking: lambda: weekly(ranking, with_week_end),
+        ranking: lambda: weekly(ranking, risk),
         "gold_compliance_ledger": lambda: marts.compliance_ledger(runs, results, company),
     }
     built = {}

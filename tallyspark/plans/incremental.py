@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyspark.plans.curated import results_current
+from tallyspark.plans.curated import results_current, winning_runs
 from tallyspark.plans.marts import TREND_ROWS, ops_daily, ops_trend
 from tallyspark.sources.store import Store, delete_path, stage
 
@@ -12,9 +12,15 @@ from tallyspark.sources.store import Store, delete_path, stage
 def daily_for_dates(
     runs: DataFrame, results: DataFrame, company: DataFrame | None, dates: DataFrame
 ) -> DataFrame:
-    """The daily mart of some dates; ``dates`` has one row per calendar date."""
+    """The daily mart of some dates; ``dates`` has one row per calendar date.
+
+    The winning run ids, one per touched date, become literals, so that the scan of the
+    results skips the row groups of other runs instead of reading everything for a join.
+    """
     touched = runs.join(F.broadcast(dates), "reference_date", "left_semi")
-    return ops_daily(touched, results_current(touched, results, company))
+    ids = [r.run_id for r in winning_runs(touched).select("run_id").collect()]
+    theirs = results.filter(F.col("run_id").isin(ids))
+    return ops_daily(touched, results_current(touched, theirs, company))
 
 
 def trend_reach(before: DataFrame, after: DataFrame, dates: DataFrame) -> DataFrame:
@@ -41,19 +47,31 @@ def trend_reach(before: DataFrame, after: DataFrame, dates: DataFrame) -> DataFr
     )
 
 
+def _replace_dates(store: Store, name: str, fresh: DataFrame, dates: DataFrame) -> DataFrame:
+    """Put the rows of ``fresh`` in place of the stored rows of ``dates``.
+
+    For marts with a few rows per calendar date: the whole table is as small as one
+    partition should be, so it is rewritten in one piece and not split into tiny files.
+    """
+    kept = store.read(name).join(F.broadcast(dates), "reference_date", "left_anti")
+    merged, folder = stage(kept.unionByName(fresh), name)
+    table = store.replace(name, merged)
+    delete_path(store.spark, folder)
+    return table
+
+
 def refresh_ops(
     store: Store, runs: DataFrame, results: DataFrame, company: DataFrame | None, dates: DataFrame
 ) -> None:
-    """Rebuild daily and trend for touched dates; all other partitions stay as they are."""
+    """Rebuild daily and trend for touched dates; rows of all other dates stay as they are."""
     daily, trend = "gold_ops_reconciliation_daily", "gold_ops_reconciliation_trend"
     before, before_dir = stage(store.read(daily), "daily-before")
-    after = store.replace_partitions(
-        daily, daily_for_dates(runs, results, company, dates), "reference_date"
-    )
-    reached = trend_reach(before, after, dates)
+    after = _replace_dates(store, daily, daily_for_dates(runs, results, company, dates), dates)
+    reached, reached_dir = stage(trend_reach(before, after, dates), "trend-reach")
     fresh = ops_trend(after).join(F.broadcast(reached), "reference_date", "left_semi")
-    store.replace_partitions(trend, fresh, "reference_date")
+    _replace_dates(store, trend, fresh, reached)
     delete_path(store.spark, before_dir)
+    delete_path(store.spark, reached_dir)
 
 
 def keep_closed_weeks(frozen: DataFrame, fresh: DataFrame, as_of: str) -> DataFrame:
@@ -69,9 +87,16 @@ def new_ledger_rows(ledger: DataFrame, fresh: DataFrame) -> DataFrame:
 
 
 def append_ledger(store: Store, fresh: DataFrame, name: str = "gold_compliance_ledger") -> None:
-    """Append results not yet in the ledger; stored rows are never rewritten."""
+    """Append results not yet in the ledger; stored rows are never rewritten.
+
+    A result stays with its run and so with its date: only the ledger's partitions of the
+    dates at hand are searched for its id.
+    """
     if store.exists(name):
-        fresh = new_ledger_rows(store.read(name), fresh)
+        # One value per calendar day.
+        dates = [r[0] for r in fresh.select("reference_date").distinct().collect()]
+        stored = store.read(name).filter(F.col("reference_date").isin(dates))
+        fresh = new_ledger_rows(stored, fresh)
     fresh.hint("rebalance", "reference_date").write.mode("append").partitionBy(
         "reference_date"
     ).parquet(store.path(name))

@@ -24,6 +24,9 @@ PLANNING = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A write into many date partitions is bound by its files, not its bytes: small
+    # stages keep some parallelism instead of shrinking to one task per megabyte.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 

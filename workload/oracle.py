@@ -298,7 +298,7 @@ SETTLEMENTS = """settlements AS (
   SELECT concat('T', o_orderkey) AS transaction_id, concat('M', o_custkey) AS merchant_id,
     CAST(o_totalprice AS DECIMAL(18,2)) AS amount, CAST(o_orderdate AS DATE) AS settled_on,
     CASE WHEN o_orderkey % 50 = 0 THEN 'REVERSED' ELSE 'SETTLED' END AS status,
-    CAST(date_trunc('week', o_orderdate) AS DATE) AS reference_date, o_orderkey
+    CAST(date_trunc('month', o_orderdate) AS DATE) AS reference_date, o_orderkey
   FROM orders)"""
 
 ORACLE["settlements_upsert"] = _with(SETTLEMENTS) + """

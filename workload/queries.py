@@ -672,9 +672,9 @@ def _incremental_ops(spark: SparkSession, sf: str) -> Store:
     store = _store(spark, "incremental-lake")
     early = runs.filter(~late)
     daily = marts.ops_daily(early, curated.results_current(early, results, company))
-    store.replace_partitions("gold_ops_reconciliation_daily", daily, "reference_date")
+    store.replace("gold_ops_reconciliation_daily", daily)
     trend = marts.ops_trend(store.read("gold_ops_reconciliation_daily"))
-    store.replace_partitions("gold_ops_reconciliation_trend", trend, "reference_date")
+    store.replace("gold_ops_reconciliation_trend", trend)
     dates = runs.filter(late).select("reference_date").distinct()
     incremental.refresh_ops(store, runs, results, company, dates)
     return store

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyspark.functions.dates import week_start
-
 ISO = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
 DAY_SECONDS = 86400
 
@@ -266,8 +264,8 @@ def write_drop(lines: DataFrame, folder: str) -> None:
 
 
 def settlements(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as loaded settlements."""
-    key = F.col("o_orderkey")
+    """Orders as loaded settlements of monthly files."""
+    key, month = F.col("o_orderkey"), F.trunc(F.col("o_orderdate").cast("date"), "month")
     return table(spark, sf, "orders").select(
         F.concat(F.lit("T"), key).alias("transaction_id"),
         F.concat(F.lit("M"), F.col("o_custkey")).alias("merchant_id"),
@@ -277,8 +275,8 @@ def settlements(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("PS-"), key).alias("processor_reference"),
         F.when(key % 50 == 0, "REVERSED").otherwise("SETTLED").alias("status"),
         F.lit("2024-01-01").cast("timestamp").alias("_loaded_at"),
-        F.concat(F.lit("settlement_"), week_start(F.col("o_orderdate")).cast("string"), F.lit(".csv")).alias("_source_file"),
-        week_start(F.col("o_orderdate")).alias("reference_date"),
+        F.concat(F.lit("settlement_"), month.cast("string"), F.lit(".csv")).alias("_source_file"),
+        month.alias("reference_date"),
     )
 
 
