@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tallyspark.functions.dates import week_end
 from tallyspark.plans.curated import results_current, winning_runs
 from tallyspark.plans.marts import TREND_ROWS, ops_daily, ops_trend
 from tallyspark.sources.store import Store, delete_path, stage
@@ -76,7 +77,7 @@ def refresh_ops(
 
 def keep_closed_weeks(frozen: DataFrame, fresh: DataFrame, as_of: str) -> DataFrame:
     """Weeks that ended before ``as_of`` and were stored stay; the rest is taken fresh."""
-    closed = frozen.filter(F.col("week_end") < F.lit(as_of).cast("date"))
+    closed = frozen.filter(week_end(F.col("week_start")) < F.lit(as_of).cast("date"))
     weeks = closed.select("week_start").distinct()
     # One row per calendar week.
     return closed.unionByName(fresh.join(F.broadcast(weeks), "week_start", "left_anti"))
