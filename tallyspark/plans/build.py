@@ -49,7 +49,10 @@ def build_gold(store: Store, as_of: str | None = None) -> dict[str, str]:
     store.require(*SILVER)
     runs, results, company = (store.read(n) for n in SILVER)
     bare = results_current(runs, results)
-    current = bare if merchants_unique(company) else results_current(runs, results, company)
+    current = bare
+    if not merchants_unique(company):
+        logger.warning("merchant_id is not unique in the company table: its results count more than once")
+        current = results_current(runs, results, company)
 
     def weekly(name: str, fresh: DataFrame) -> DataFrame:
         if as_of is None or not store.exists(name):

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyspark.functions.amounts import ambiguous_amount, normalize_amount
 from tallyspark.operators.cdc import last_per_key
-from tallyspark.operators.quality import FAIL, WARN, Rule
+from tallyspark.operators.quality import FAIL, WARN, Rule, duplicate_keys
 from tallyspark.schemas import SETTLEMENT_COLUMNS, SETTLEMENT_STATUSES, SETTLEMENTS
 from tallyspark.sources.store import Store, delete_path, is_folder, path_exists, stage
 
@@ -58,7 +59,8 @@ def with_headers(files: DataFrame) -> DataFrame:
         for batch in batches:
             headers = []
             for uri in batch["file"]:
-                system, path = fs.FileSystem.from_uri(uri)
+                # Arrow knows object stores by their plain scheme only.
+                system, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
                 with system.open_input_stream(path) as stream:
                     lines = stream.read(limit).decode("utf-8-sig", errors="replace").splitlines()
                 headers.append([name.strip() for name in next(csv.reader(lines[:1]), [])])
@@ -95,7 +97,7 @@ def read_by_name(files: DataFrame, folder: str, columns: Sequence[str], glob: st
         F.get("_fields", F.col(f"_at_{i}").cast("int") - 1).alias(c) for i, c in enumerate(columns)
     ]
     extra = [c for c in files.columns if c not in ("file", "header")]
-    return lines.join(named, "file").select("file", *extra, "_block", "_line", *fields)
+    return lines.join(named, "file").select(*extra, "_block", "_line", *fields)
 
 
 def union_by_name(spark: SparkSession, folder: str, glob: str = "*.csv", recursive: bool = False) -> DataFrame:
@@ -155,34 +157,53 @@ def settlement_rules() -> list[Rule]:
 # --- load ------------------------------------------------------------------------
 
 
-def _parse(rows: DataFrame) -> DataFrame:
-    return (
+def _parse(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Typed columns and ``violated``, one bit per rule that a row violates."""
+    typed = (
         rows.withColumnRenamed("amount", "amount_text")
         .withColumn("amount", normalize_amount(F.col("amount_text")))
         .withColumn("settled_at", F.col("settled_at").try_cast("timestamp"))
     )
+    bits = [F.when(r.violated, 1 << i).otherwise(0) for i, r in enumerate(rules)]
+    mask = reduce(lambda a, b: a.bitwiseOR(b), bits)
+    return typed.withColumn("violated", mask).select(
+        "file_no", "_block", "_line", *SETTLEMENT_COLUMNS, "violated"
+    )
 
 
-def _last_in_file(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Last occurrence of each transaction in each file, with the number of occurrences and
-    the violations of all of them: one shuffle, and a repeated id travels as one row per task."""
-    kept = F.struct(*SETTLEMENT_COLUMNS)
-    return rows.groupBy("file", "transaction_id").agg(
-        F.max_by(kept, F.struct("_block", "_line")).alias("last"),
-        F.first("name").alias("name"),
-        F.first("reference_date").alias("reference_date"),
-        F.count("*").alias("occurrences"),
-        *[r.count for r in rules],
-    )
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Transactions that occur more than once in a file. Only the keys are shuffled, and an
+    id that fills the file travels as one row per task."""
+    return duplicate_keys(rows, ["file_no", "transaction_id"])
+
 
+def _last_in_file(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows with repeated transactions reduced to the last occurrence in file order.
+
+    Only the repeated ones are ranked; all other rows pass without a shuffle as long as
+    the repeated keys are few enough to be broadcast, which Spark decides by their size.
+    """
+    keys = ["file_no", "transaction_id"]
+    again = repeated.select(*keys)
+    order = [F.col("_block").desc(), F.col("_line").desc()]
+    last = last_per_key(rows.join(again, keys, "left_semi"), keys, order)
+    return rows.join(again, keys, "left_anti").unionByName(last)
 
-def _verdicts(files: DataFrame, last: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """(file, name, reference_date, rows, loaded, duplicates, reasons, warnings) per file."""
-    counts = last.groupBy("file").agg(
-        F.sum("occurrences").alias("rows"),
-        F.count("*").alias("distinct_ids"),
-        F.count_if(F.col("occurrences") > 1).alias("duplicates"),
-        *[F.sum(r.name).alias(r.name) for r in rules],
+
+def _verdicts(
+    files: DataFrame, rows: DataFrame, repeated: DataFrame, rules: Sequence[Rule]
+) -> DataFrame:
+    """(file_no, file, name, reference_date, rows, loaded, duplicates, reasons, warnings)
+    per file."""
+    counts = rows.groupBy("file_no").agg(
+        F.count("*").alias("rows"),
+        *[
+            F.count_if(F.col("violated").bitwiseAND(F.lit(1 << i)) != 0).alias(r.name)
+            for i, r in enumerate(rules)
+        ],
+    )
+    doubles = repeated.groupBy("file_no").agg(
+        F.count("*").alias("duplicates"), F.sum(F.col("occurrences") - 1).alias("superseded")
     )
     absent = F.array_except(F.array(*map(F.lit, SETTLEMENT_COLUMNS)), F.col("header"))
 
@@ -194,20 +215,22 @@ def _verdicts(files: DataFrame, last: DataFrame, rules: Sequence[Rule]) -> DataF
         ]
         return F.array_compact(F.array(*more, *found))
 
-    rows = F.coalesce("rows", F.lit(0))
+    rows_read = F.coalesce("rows", F.lit(0))
     header_ok = F.size(absent) == 0
     dated = F.col("reference_date").isNotNull()
-    judged = files.join(counts, "file", "left").select(
+    together = files.join(counts, "file_no", "left").join(doubles, "file_no", "left")
+    judged = together.select(
+        "file_no",
         "file",
         "name",
         "reference_date",
-        rows.alias("rows"),
+        rows_read.alias("rows"),
         F.coalesce("duplicates", F.lit(0)).alias("duplicates"),
-        F.coalesce("distinct_ids", F.lit(0)).alias("distinct_ids"),
+        (rows_read - F.coalesce("superseded", F.lit(0))).alias("distinct_ids"),
         notes(
             FAIL,
             F.when(~header_ok, F.concat(F.lit("Missing expected column(s) "), F.array_join(F.sort_array(absent), ", "))),
-            F.when(header_ok & dated & (rows == 0), F.lit("File contains no data rows")),
+            F.when(header_ok & dated & (rows_read == 0), F.lit("File contains no data rows")),
             F.when(~dated, F.lit("No reference_date can be derived")),
         ).alias("reasons"),
         notes(
@@ -228,35 +251,47 @@ def judge_and_load(
 ) -> DataFrame:
     """Load every acceptable file of a folder; returns one verdict row per file.
 
-    All files go through the same few jobs: list and probe headers, read and reduce to the
-    last occurrence per file and transaction (staged), judge per file, upsert. A file with
-    a reason against it loads nothing and does not hinder the others. Of several files
-    with one reference date, the last in name order wins for equal transactions.
+    All files go through the same few jobs: list them and probe headers, read and check
+    the rows (staged), judge per file, upsert. A file with a reason against it loads nothing
+    and does not hinder the others. Of several files with one reference date, the last in
+    name order wins for equal transactions.
     """
     spark = store.spark
     listed = with_reference_dates(with_headers(list_files(spark, folder, glob, recursive)), dates)
-    files, files_dir = stage(listed, "settlement-files")
+    # The number stands for the long path in the shuffles; it is fixed by being written.
+    numbered = listed.withColumn("file_no", F.monotonically_increasing_id())
+    files, files_dir = stage(numbered, "settlement-files")
     rules = settlement_rules()
-    complete = [F.array_contains("header", c) for c in SETTLEMENT_COLUMNS]
-    readable = files.filter(F.col("reference_date").isNotNull())
-    for present in complete:
-        readable = readable.filter(present)
-    rows = _parse(read_by_name(readable, folder, SETTLEMENT_COLUMNS, glob, recursive))
-    last, last_dir = stage(_last_in_file(rows, rules), "settlement-rows")
-    verdicts, verdicts_dir = stage(_verdicts(files, last, rules), "settlement-verdicts")
-
-    accepted = verdicts.filter(F.size("reasons") == 0).select("file")
-    if not accepted.isEmpty():
-        incoming = last.join(accepted, "file", "left_semi").select(
-            "last.*",
+    readable = files.filter(F.col("reference_date").isNotNull()).select("file", "file_no", "header")
+    for column in SETTLEMENT_COLUMNS:
+        readable = readable.filter(F.array_contains("header", column))
+    lines = read_by_name(readable, folder, SETTLEMENT_COLUMNS, glob, recursive)
+    rows, rows_dir = stage(_parse(lines, rules), "settlement-rows")
+    repeated, repeated_dir = stage(_repeated(rows), "settlement-repeated")
+    verdicts, verdicts_dir = stage(_verdicts(files, rows, repeated, rules), "settlement-verdicts")
+
+    accepted = verdicts.filter(F.size("reasons") == 0).select(
+        "file_no", "name", "reference_date", "duplicates"
+    )
+    # One row per calendar date.
+    per_date = accepted.groupBy("reference_date").agg(
+        F.count("*").alias("files"), F.sum("duplicates").alias("duplicates")
+    ).collect()
+    if per_date:
+        if any(d.duplicates for d in per_date):
+            rows = _last_in_file(rows, repeated)
+        incoming = rows.join(accepted.drop("duplicates"), "file_no").select(
+            *SETTLEMENT_COLUMNS,
             F.current_timestamp().alias("_loaded_at"),
             F.col("name").alias("_source_file"),
             "reference_date",
         )
-        newest = last_per_key(incoming, KEYS, [F.col("_source_file").desc()])
-        store.upsert(TABLE, newest, KEYS)
+        if any(d.files > 1 for d in per_date):
+            incoming = last_per_key(incoming, KEYS, [F.col("_source_file").desc()])
+        store.upsert(TABLE, incoming, KEYS, touched=[d.reference_date for d in per_date])
     delete_path(spark, files_dir)
-    delete_path(spark, last_dir)
+    delete_path(spark, rows_dir)
+    delete_path(spark, repeated_dir)
     logger.info("verdicts of %s written to %s", folder, verdicts_dir)
     return verdicts
 

@@ -83,19 +83,26 @@ class Store:
 
 
     def upsert(
-        self, name: str, incoming: DataFrame, keys: Sequence[str], partition: str = "reference_date"
+        self,
+        name: str,
+        incoming: DataFrame,
+        keys: Sequence[str],
+        partition: str = "reference_date",
+        touched: Sequence | None = None,
     ) -> None:
         """Insert or replace by key, touching only the partitions that ``incoming`` has.
 
         ``incoming`` holds each key once. Rows of a touched partition that are not sent
         again stay. Repeating the call gives the same table, so a job that died halfway
-        is simply run again. One writer at a time.
+        is simply run again. One writer at a time. ``touched`` are the partition values of
+        ``incoming``, where the caller knows them and can save the job that finds them.
         """
         if not self.exists(name):
             self.replace_partitions(name, incoming, partition)
             return
-        # One value per calendar day: small, and as literals they prune partitions.
-        touched = [r[0] for r in incoming.select(partition).distinct().collect()]
+        # One value per calendar day: few, and as literals they prune partitions.
+        if touched is None:
+            touched = [r[0] for r in incoming.select(partition).distinct().collect()]
         kept = (
             self.read(name)
             .filter(F.col(partition).isin(touched))

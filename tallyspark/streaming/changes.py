@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyspark.operators.cdc import last_per_key
@@ -60,31 +60,40 @@ def upsert_handler(
 
 
 def merge_changes_handler(
-    store: Store, table: str, key: str, newest_first: Sequence[str], buckets: int = 64
+    store: Store,
+    table: str,
+    key: str,
+    newest_first: Sequence[str],
+    partition: Column | None = None,
+    buckets: int = 64,
 ) -> Callable[[DataFrame, int], None]:
-    """Keep the latest change of every key, deletes included, in key buckets.
+    """Keep the latest change of every key, deletes included; readers drop the deletes.
 
     An older change that arrives late does not replace a newer one: stored and incoming
-    changes are ranked together, in the buckets the batch touches. Readers drop deletes.
+    changes are ranked together, in the partitions the batch touches and nowhere else.
+    ``partition`` must not change over the life of a key. The creation date is the best
+    choice where changes carry it, as most changes concern recent rows; without it keys
+    are spread over hash buckets, of which a large batch touches all.
     """
+    if partition is None:
+        partition = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
     def handle(batch: DataFrame, _: int) -> None:
-        spark = store.spark
         order = [F.col(c).desc_nulls_last() for c in newest_first]
-        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
         incoming, folder = stage(
-            last_per_key(batch, [key], order).withColumn("bucket", bucket), "stream-changes"
+            last_per_key(batch, [key], order).withColumn("bucket", partition), "stream-changes"
         )
         if store.exists(table):
+            # One value per calendar day or hash bucket.
             touched = [r[0] for r in incoming.select("bucket").distinct().collect()]
             stored = store.read(table).filter(F.col("bucket").isin(touched))
             merged, merged_dir = stage(
                 last_per_key(stored.unionByName(incoming), [key], order), "stream-merged"
             )
             store.replace_partitions(table, merged, "bucket")
-            delete_path(spark, merged_dir)
+            delete_path(store.spark, merged_dir)
         else:
             store.replace_partitions(table, incoming, "bucket")
-        delete_path(spark, folder)
+        delete_path(store.spark, folder)
 
     return handle
