@@ -80,16 +80,19 @@ def _seed(store: Store, raw: str, silver: str, typed: DataFrame) -> int:
     return written.get["n"]
 
 
-def seed_reconciliation(store: Store) -> dict[str, int]:
+def seed_reconciliation(
+    store: Store, run_ties: Sequence[str] = (), result_ties: Sequence[str] = ()
+) -> dict[str, int]:
+    """Silver runs and results; the ties name columns that decide changes of equal time."""
     store.require("raw_reconciliation_runs", "raw_reconciliation_results")
     return {
         "runs_loaded": _seed(
             store, "raw_reconciliation_runs", "silver_reconciliation_runs",
-            typed_runs(store.read("raw_reconciliation_runs")),
+            typed_runs(store.read("raw_reconciliation_runs"), run_ties),
         ),
         "results_loaded": _seed(
             store, "raw_reconciliation_results", "silver_reconciliation_results",
-            typed_results(store.read("raw_reconciliation_results")),
+            typed_results(store.read("raw_reconciliation_results"), result_ties),
         ),
     }
 

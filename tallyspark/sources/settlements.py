@@ -78,26 +78,28 @@ def read_by_name(files: DataFrame, folder: str, columns: Sequence[str], glob: st
     One scan over the folder reads columns by position; ``files`` (file, header, further
     columns) turns positions into names and drops the rows of files it does not list. A
     column that a file lacks is NULL. ``_block`` and ``_line`` order the rows of a file
-    also when the file is read in several splits.
+    also when the file is read in several splits; ``_surplus`` marks rows with more fields
+    than the header has names.
     """
     spark = files.sparkSession
     width = files.agg(F.max(F.size("header"))).first()[0] or 1
-    reader = spark.read.schema(", ".join(f"_c{i} string" for i in range(width)))
-    reader = reader.option("header", True).option("pathGlobFilter", glob)
+    reader = spark.read.schema(", ".join(f"_c{i} string" for i in range(width + 1)))
+    reader = reader.option("header", True).option("escape", '"').option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     lines = reader.csv(folder).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"),
-        F.array(*[f"_c{i}" for i in range(width)]).alias("_fields"),
+        F.array(*[f"_c{i}" for i in range(width + 1)]).alias("_fields"),
     )
-    named = files.select("*", *[F.array_position("header", c).alias(f"_at_{i}") for i, c in enumerate(columns)])
+    named = files.withColumn("_width", F.size("header")).select("*", *[F.array_position("header", c).alias(f"_at_{i}") for i, c in enumerate(columns)])
     fields = [
         F.get("_fields", F.col(f"_at_{i}").cast("int") - 1).alias(c) for i, c in enumerate(columns)
     ]
     extra = [c for c in files.columns if c not in ("file", "header")]
-    return lines.join(named, "file").select(*extra, "_block", "_line", *fields)
+    surplus = F.get("_fields", F.col("_width")).isNotNull().alias("_surplus")
+    return lines.join(named, "file").select(*extra, "_block", "_line", surplus, *fields)
 
 
 def union_by_name(spark: SparkSession, folder: str, glob: str = "*.csv", recursive: bool = False) -> DataFrame:
@@ -148,6 +150,7 @@ def settlement_rules() -> list[Rule]:
         Rule("currency_present", F.col("currency").isNotNull(), "Missing currencies found"),
         Rule("reference_present", F.col("processor_reference").isNotNull(), "Missing processor references found"),
         Rule("status_known", F.coalesce(F.col("status").isin(*SETTLEMENT_STATUSES), F.lit(False)), "Unknown statuses found"),
+        Rule("fields_fit", ~F.col("_surplus"), "Rows with surplus fields found"),
         Rule("amount_unambiguous", ~ambiguous_amount(text), "Ambiguous amounts found", WARN),
         Rule("currency_length", F.length("currency") == 3, "Currency codes not of length 3 found", WARN),
     ]

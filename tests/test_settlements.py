@@ -79,6 +79,8 @@ def test_last_occurrence_wins_across_splits(spark, store, tmp_path):
         (line(amount=""), "Missing amounts"),
         (line(status="PENDING"), "Unknown statuses"),
         (line(settled="yesterday"), "settled_at"),
+        (line() + ",more", "surplus fields"),
+        (line(amount="R$ 32.245,91"), "surplus fields"),
     ],
 )
 def test_halting_rules_reject_the_file(store, tmp_path, bad, message):
@@ -182,3 +184,10 @@ def test_load_metadata(store, tmp_path):
     assert row._source_file == "a.csv" and row.reference_date == datetime.date(2025, 3, 15)
     assert row._loaded_at is not None
     assert [tuple(r) for r in csv.rows_by_file(store.read(csv.TABLE)).collect()] == [("a.csv", 1)]
+
+
+def test_quoted_fields(store, tmp_path):
+    path = drop(tmp_path / "in", "a.csv", line(merchant='"M ""X"", Ltda"', amount='"R$ 32.245,91"'))
+    csv.load_file(store, path, "2025-03-15")
+    row = store.read(csv.TABLE).first()
+    assert (row.merchant_id, row.amount) == ('M "X", Ltda', Decimal("32245.91"))

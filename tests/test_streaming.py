@@ -94,3 +94,30 @@ def test_streams_match_and_release_open_rows(spark):
         ("theirs", "UNRECONCILED_PROCESSOR", day(2025, 3, 12)),
         ("zz", "MATCHED", day(2025, 5, 1)),
     ]
+
+
+def test_micro_batches_at_an_interval(spark):
+    folder, table, checkpoint = (fresh_dir(spark, x) for x in ("in", "table", "checkpoint"))
+    write(spark, folder, CHANGES, ("a", 1, "I", "2025-01-01"))
+    query = changes.append_stream(changes.file_stream(spark, folder, CHANGES), table, checkpoint, every="1 second")
+    try:
+        query.processAllAvailable()
+        write(spark, folder, CHANGES, ("b", 1, "I", "2025-01-01"))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(r.k for r in spark.read.parquet(table).collect()) == ["a", "b"]
+
+
+def test_stable_partitions_limit_what_a_batch_rewrites(spark, store, tmp_path):
+    def batch(*rows):
+        text = spark.createDataFrame(rows, "k string, v int, created string, ts string")
+        return text.select("k", "v", F.col("created").cast("date").alias("created"), "ts")
+
+    handle = changes.merge_changes_handler(store, "state", "k", ["ts", "v"], partition=F.col("created"))
+    handle(batch(("a", 1, "2025-01-01", "1"), ("b", 1, "2025-01-02", "1")), 0)
+    folder = tmp_path / "lake" / "state" / "bucket=2025-01-01"
+    before = sorted(p.name for p in folder.glob("*.parquet"))
+    handle(batch(("b", 2, "2025-01-02", "2"), ("b", 0, "2025-01-02", "0")), 1)
+    assert {r.k: r.v for r in store.read("state").collect()} == {"a": 1, "b": 2}
+    assert sorted(p.name for p in folder.glob("*.parquet")) == before

@@ -141,6 +141,8 @@ ORACLE["cdc_transactions"] = _with(EVENT_LOG) + """
 SELECT id, transaction_id, amount, "Op", _timestamp, payment_method FROM log
 QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY _timestamp DESC, id DESC) = 1 AND "Op" <> 'D'"""
 
+ORACLE["transactions_loaded"] = ORACLE["cdc_transactions"]
+
 ORACLE["cdc_load_accounting"] = _with(EVENT_LOG, """kept AS (
   SELECT * FROM log
   QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY _timestamp DESC, id DESC) = 1 AND "Op" <> 'D')""") + """
@@ -222,19 +224,35 @@ ORACLE["compliance_ledger"] = _with(*TO_LEDGER) + f"""
 SELECT * EXCLUDE (started_at, completed_at, created_at),
   {_text('started_at')}, {_text('completed_at')}, {_text('created_at')} FROM ledger"""
 
+KEPT_RUNS = RUNS.replace("FROM orders)", "FROM orders WHERE o_orderkey % 50 <> 0)")
+KEPT_RESULTS = """results AS (
+  SELECT id, l_orderkey AS run_id, transaction_id, merchant_id, category, l_shipdate AS created_at,
+    CAST(l_extendedprice AS DECIMAL(18,2)) AS internal_amount, 'historical_backfill' AS source,
+    CAST(l_extendedprice AS DECIMAL(18,2)) AS processor_amount, CAST(0 AS DECIMAL(18,2)) AS difference
+  FROM kept WHERE l_quantity <= 48)"""
+
 ORACLE["ops_daily_from_logs"] = _with(
-    RUNS.replace("FROM orders)", "FROM orders WHERE o_orderkey % 50 <> 0)"),
+    KEPT_RUNS,
     RESULT_LOG,
-    """results AS (
-  SELECT id, l_orderkey AS run_id, category, CAST(l_extendedprice AS DECIMAL(18,2)) AS internal_amount,
-    CAST(l_extendedprice AS DECIMAL(18,2)) AS processor_amount, CAST(0 AS DECIMAL(18,2)) AS difference
-  FROM kept WHERE l_quantity <= 48)""",
+    KEPT_RESULTS,
     WINNING,
     "curr AS (SELECT * FROM results JOIN winning USING (run_id))",
     LATEST,
     DAILY,
 ) + "SELECT * FROM daily"
 
+ORACLE["gold_build"] = _with(
+    KEPT_RUNS, RESULT_LOG, KEPT_RESULTS, COMPANY, WINNING, CURRENT, LATEST, DAILY, HISTORY, WEEKLY, RANKING, LEDGER
+) + """
+SELECT 'silver_reconciliation_runs_latest' AS artifact, count(*) AS rows FROM latest
+UNION ALL SELECT 'silver_reconciliation_results_current', count(*) FROM curr
+UNION ALL SELECT 'gold_ops_reconciliation_daily', count(*) FROM daily
+UNION ALL SELECT 'gold_ops_reconciliation_trend', count(*) FROM daily
+UNION ALL SELECT 'gold_ops_run_history', count(*) FROM history
+UNION ALL SELECT 'gold_cfo_weekly_summary', count(*) FROM weekly
+UNION ALL SELECT 'gold_cfo_weekly_merchant_ranking', count(*) FROM ranking
+UNION ALL SELECT 'gold_compliance_ledger', count(*) FROM ledger"""
+
 # --- settlement files ----------------------------------------------------------------------------
 
 LINES = """dated AS (

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyspark.functions.amounts import normalize_amount
 from tallyspark.operators import cdc, profile, quality, reconcile as matching
-from tallyspark.plans import alerts, checks, curated, incremental, marts, reports
+from tallyspark.plans import alerts, build, checks, curated, incremental, marts, reports
 from tallyspark.session import configure, fresh_dir
-from tallyspark.sources import settlements as csv
+from tallyspark.sources import changelog, settlements as csv
 from tallyspark.sources.store import Store
 from tallyspark.streaming import changes, matching as stream_matching
 from workload import star
@@ -73,6 +73,18 @@ def cdc_transactions(spark, sf):
     return cdc.latest_state(log, "transaction_id", tie_breakers=("id",))
 
 
+@query
+def transactions_loaded(spark, sf):
+    """Two batch files with drifted columns through the loader."""
+    folder, store = fresh_dir(spark, "batches"), _store(spark, "transactions-lake")
+    paths = []
+    for i, batch in enumerate(star.transaction_batches(spark, sf)):
+        paths.append(f"{folder}/batch_{i}.parquet")
+        batch.write.parquet(paths[-1])
+    changelog.load_transactions(store, paths)
+    return store.read("raw_transactions")
+
+
 @query
 def cdc_load_accounting(spark, sf):
     """Raw, final and removed rows of a load, from one pass over the log."""
@@ -187,6 +199,20 @@ def ops_daily_from_logs(spark, sf):
     return marts.ops_daily(runs, curated.results_current(runs, results))
 
 
+@query
+def gold_build(spark, sf):
+    """Raw logs through loaders and ordered build; rows of every artifact, by SQL on its name."""
+    store = _store(spark, "gold-lake")
+    store.replace("raw_reconciliation_runs", star.runs_log(spark, sf))
+    store.replace("raw_reconciliation_results", star.results_log(spark, sf))
+    store.replace("raw_enterprise_company", star.supplier_log(spark, sf))
+    changelog.seed_reconciliation(store, result_ties=star.RESULT_TIES)
+    changelog.seed_company(store)
+    built = [*build.build_silver(store), *build.build_gold(store)]
+    counts = [f"SELECT '{name}' AS artifact, count(*) AS rows FROM {name}" for name in built]
+    return spark.sql(" UNION ALL ".join(counts))
+
+
 # --- settlement files --------------------------------------------------------------------------
 
 

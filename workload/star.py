@@ -188,6 +188,14 @@ def company_log(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def supplier_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The merchants as inserts of a change log."""
+    stamps = {c: _iso(F.col(c)) for c in ("created_at", "updated_at")}
+    return company(spark, sf).withColumns(stamps).withColumns(
+        {"Op": F.lit("I"), "_timestamp": F.col("created_at")}
+    )
+
+
 def transaction_batches(spark: SparkSession, sf: str) -> list[DataFrame]:
     """Events as transaction changes in two batches; only the second has payment_method."""
     kind = F.col("event_type")
