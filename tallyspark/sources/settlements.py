@@ -117,12 +117,15 @@ def with_reference_dates(files: DataFrame, dates: DatePattern) -> DataFrame:
     """Adds ``reference_date``, NULL where none can be derived.
 
     A pattern yields its first capture group, or the whole match if it has none. A callable
-    is asked once per file name on the driver, which knows the file list anyway.
+    is asked once per file name, by the executors: the file list stays distributed.
     """
     if callable(dates):
-        rows = [(r.name, str(dates(r.name))) for r in files.select("name").toLocalIterator()]
-        named = files.sparkSession.createDataFrame(rows, "name string, _date string")
-        files = files.join(named, "name", "left")
+
+        def dated(batches):
+            for batch in batches:
+                yield batch.assign(_date=[str(dates(name)) for name in batch["name"]])
+
+        files = files.mapInPandas(dated, "file string, name string, header array<string>, _date string")
         text = F.col("_date")
     else:
         groups = files.sparkSession._jvm.java.util.regex.Pattern.compile(dates).matcher("").groupCount()

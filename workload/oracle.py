@@ -282,11 +282,11 @@ FROM texts WHERE file_date NOT IN (FROM bad)
   AND seq = CASE WHEN o_orderkey % 200 = 0 THEN 1 ELSE 0 END"""
 
 ORACLE["settlements_verdicts"] = _with(LINES, """ids AS (
-  SELECT file_date, transaction_id, count(*) AS n, count_if(parsed <= 0) AS low,
-    count_if(parsed IS NULL) AS unreadable
+  SELECT file_date, transaction_id, count(*) AS n, count(*) FILTER (parsed <= 0) AS low,
+    count(*) FILTER (parsed IS NULL) AS unreadable
   FROM texts GROUP BY ALL),
 files AS (
-  SELECT file_date, sum(n) AS n, count(*) AS ids, count_if(n > 1) AS dup, sum(low) AS low,
+  SELECT file_date, sum(n) AS n, count(*) AS ids, count(*) FILTER (n > 1) AS dup, sum(low) AS low,
     sum(unreadable) AS unreadable, coalesce(sum(n) FILTER (transaction_id = ''), 0) AS blank
   FROM ids GROUP BY ALL)""") + """
 SELECT file_date AS reference_date, CAST(n AS BIGINT) AS rows,
@@ -346,8 +346,8 @@ SELECT settled_on AS date, count(*) AS transactions FROM settlements GROUP BY AL
 
 ORACLE["settlements_amounts"] = _with(SETTLEMENTS) + """
 SELECT min(amount) AS min_amount, max(amount) AS max_amount,
-  round(avg(CAST(amount AS DOUBLE)), 4) AS avg_amount, count_if(amount <= 0) AS not_positive,
-  count_if(settled_on IS NULL) AS null_dates FROM settlements"""
+  round(avg(CAST(amount AS DOUBLE)), 4) AS avg_amount, count(*) FILTER (amount <= 0) AS not_positive,
+  count(*) FILTER (settled_on IS NULL) AS null_dates FROM settlements"""
 
 # --- CFO report -------------------------------------------------------------------------------------
 
@@ -634,10 +634,10 @@ UNION ALL SELECT 'D', count(*) FROM orders WHERE o_orderkey % 50 = 0"""
 
 ORACLE["quality_violations"] = _with(RESULTS) + """
 SELECT 'valid_transaction_id' AS rule, 'fail' AS action, 'transaction_id is NULL' AS message,
-  count_if(transaction_id IS NULL) AS violations, count(*) AS rows FROM results
-UNION ALL SELECT 'amount_above_1000', 'drop', 'amount too low', count_if(internal_amount <= 1000), count(*) FROM results
-UNION ALL SELECT 'valid_category', 'warn', 'unknown category', count_if(category IS NULL), count(*) FROM results
-UNION ALL SELECT 'small_difference', 'warn', 'large difference', count_if(difference > 5), count(*) FROM results"""
+  count(*) FILTER (transaction_id IS NULL) AS violations, count(*) AS rows FROM results
+UNION ALL SELECT 'amount_above_1000', 'drop', 'amount too low', count(*) FILTER (internal_amount <= 1000), count(*) FROM results
+UNION ALL SELECT 'valid_category', 'warn', 'unknown category', count(*) FILTER (category IS NULL), count(*) FROM results
+UNION ALL SELECT 'small_difference', 'warn', 'large difference', count(*) FILTER (difference > 5), count(*) FROM results"""
 
 ORACLE["quality_enforced"] = _with(RESULTS) + """
 SELECT category, count(*) AS n, CAST(sum(internal_amount) AS DECIMAL(28,2)) AS amount
@@ -653,11 +653,11 @@ SELECT reference_date, volume, match_rate, round(m, 6) AS volume_mean, round(s,
   match_rate <= 0.80 AS low_match_rate, coalesce(abs(volume - m) > s * 2.0, false) AS unusual_volume FROM framed"""
 
 ORACLE["quality_audit"] = _with(RESULTS, """found AS (
-  SELECT 'valid_transaction_id' AS rule, 'fail' AS action, count_if(transaction_id IS NULL) AS violations,
+  SELECT 'valid_transaction_id' AS rule, 'fail' AS action, count(*) FILTER (transaction_id IS NULL) AS violations,
     count(*) AS rows FROM results
-  UNION ALL SELECT 'amount_above_1000', 'drop', count_if(internal_amount <= 1000), count(*) FROM results
-  UNION ALL SELECT 'valid_category', 'warn', count_if(category IS NULL), count(*) FROM results
-  UNION ALL SELECT 'small_difference', 'warn', count_if(difference > 5), count(*) FROM results)""") + """
+  UNION ALL SELECT 'amount_above_1000', 'drop', count(*) FILTER (internal_amount <= 1000), count(*) FROM results
+  UNION ALL SELECT 'valid_category', 'warn', count(*) FILTER (category IS NULL), count(*) FROM results
+  UNION ALL SELECT 'small_difference', 'warn', count(*) FILTER (difference > 5), count(*) FROM results)""") + """
 SELECT run_label, 'silver_reconciliation_results' AS subject, found.* FROM found, (VALUES ('first'), ('second')) AS l(run_label)"""
 
 # --- streams and increments ----------------------------------------------------------------------------------------
