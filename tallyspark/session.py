@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 # Results depend on these two.
 SEMANTICS = {
@@ -34,6 +35,8 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
     for key, value in {**SEMANTICS, **PLANNING}.items():
         spark.conf.set(key, value)
+    # Listing many partition folders: as many tasks as the cores can use, not one per folder.
+    spark.conf.set(LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism))
     return spark
 
 
