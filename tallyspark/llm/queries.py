@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe
 from .common import table
 from .sharding import histogram_shards
 
 
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.encode(table(spark, folder, "documents"), path, pattern, keep=["doc_id"])
+    decoded = bpe.decode(
+        encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids"),
+        path,
+        pattern,
+        keep=["doc_id", "n_tokens", "ids_sha256"],
+    )
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn(
         "text_crc32", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
@@ -20,6 +34,7 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op3_sharding": op3_sharding,
 }
 
