@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import bpe
 from .common import table
+from .packing import pack
 from .sharding import histogram_shards
 
 
@@ -33,9 +34,16 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path, ranks = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    pieces = pack(table(spark, folder, "documents"), path, ranks, 1024, keep=["doc_id"], with_ids=False)
+    return pieces.withColumn("length", F.col("length").cast("long"))
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_sharding": op3_sharding,
+    "op10_packing": op10_packing,
 }
 
 ORACLE: dict[str, str] = {}
