@@ -10,6 +10,7 @@ from . import bpe
 from .common import table
 from .packing import pack
 from .sharding import histogram_shards
+from .simhash import simhash_groups
 
 
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -34,6 +35,11 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    groups = simhash_groups(table(spark, folder, "documents"), words=3, budget=3, keep=["doc_id"])
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     path, ranks = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     pieces = pack(table(spark, folder, "documents"), path, ranks, 1024, keep=["doc_id"], with_ids=False)
@@ -43,6 +49,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_sharding": op3_sharding,
+    "op8_simhash": op8_simhash,
     "op10_packing": op10_packing,
 }
 
