@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, pii
 from .common import table
 from .packing import pack
 from .sharding import histogram_shards
@@ -35,6 +35,12 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents"), keep=["doc_id"])
+    counts = [f"n_{kind}" for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans", "n_disguised")
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash_groups(table(spark, folder, "documents"), words=3, budget=3, keep=["doc_id"])
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -49,6 +55,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_sharding": op3_sharding,
+    "op5_pii": op5_pii,
     "op8_simhash": op8_simhash,
     "op10_packing": op10_packing,
 }
