@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, pii
 from .common import table
+from .embeddings import embedding_groups
 from .packing import pack
 from .sharding import histogram_shards
 from .simhash import simhash_groups
@@ -35,6 +36,10 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_groups(table(spark, folder, "embeddings"), 0.95)
+
+
 def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(table(spark, folder, "documents"), keep=["doc_id"])
     counts = [f"n_{kind}" for kind in pii.KINDS]
@@ -55,6 +60,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_sharding": op3_sharding,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_pii": op5_pii,
     "op8_simhash": op8_simhash,
     "op10_packing": op10_packing,
