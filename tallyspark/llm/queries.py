@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pii
+from . import bpe, pii, sketch
 from .common import table
 from .embeddings import embedding_groups
 from .packing import pack
@@ -51,6 +51,10 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch.fingerprints(table(spark, folder, "documents"), keep=["doc_id"])
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     path, ranks = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     pieces = pack(table(spark, folder, "documents"), path, ranks, 1024, keep=["doc_id"], with_ids=False)
@@ -63,6 +67,7 @@ QUERIES = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_pii": op5_pii,
     "op8_simhash": op8_simhash,
+    "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
 }
 
