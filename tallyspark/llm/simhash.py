@@ -267,4 +267,5 @@ def simhash_groups(
     least = named.groupBy("root").agg(F.min("_least").alias("_of"))
     of = named.join(least, "root").select(F.col("node").alias("fp"), "_of")
     labels = nodes.join(of, "fp", "left").select("fp", F.coalesce("_of", "_least").alias("component_id"))
-    return marked.join(labels, "fp").select(*(F.col(f"`{c}`") for c in keep), "fp", "component_id")
+    # Written first, so that the last join has a plain shuffle on either side, which Spark can split at a hot fingerprint.
+    return marked.join(written(labels, "labels"), "fp").select(*(F.col(f"`{c}`") for c in keep), "fp", "component_id")
