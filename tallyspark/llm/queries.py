@@ -6,14 +6,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pii, sketch
+from . import bpe, pii, quality, sketch, toxicity
 from .common import table
 from .embeddings import embedding_groups
+from .labelled import held_out
 from .packing import pack
 from .sharding import histogram_shards
 from .simhash import simhash_groups
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("toxic_clauses").alias("n_clauses"),
+    )
+
+
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = bpe.encode(table(spark, folder, "documents"), path, pattern, keep=["doc_id"])
@@ -46,6 +60,15 @@ def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans", "n_disguised")
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    scored = quality.score(docs, model, keep=["doc_id"])
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash_groups(table(spark, folder, "documents"), words=3, budget=3, keep=["doc_id"])
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -62,10 +85,12 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_sharding": op3_sharding,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_pii": op5_pii,
+    "op6_quality": op6_quality,
     "op8_simhash": op8_simhash,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
