@@ -48,6 +48,16 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             yield part, [t or "" for t in part.column(column).to_pylist()]
 
 
+def with_text(docs: DataFrame, keep: list[str], text_column: str) -> tuple[DataFrame, str]:
+    """The kept columns and the text, and the name that the text has there; it is carried once."""
+    if text_column in keep:
+        return docs.select(*(F.col(f"`{c}`") for c in keep)), text_column
+    name = "_text"
+    while name in keep:
+        name = f"_{name}"
+    return docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_column}`").alias(name)), name
+
+
 def beside(part: pa.RecordBatch, keep: list[str], **columns: pa.Array) -> pa.RecordBatch:
     """The kept columns of a part together with new ones."""
     names = [*keep, *columns]

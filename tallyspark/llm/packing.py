@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import beside, schema_with, slices, written
+from .common import beside, schema_with, slices, with_text, written
 
 #: Id that ends every document.
 END = 0
@@ -54,14 +54,17 @@ def _tokenizer(path: str, ranks: str | None):
     return ids
 
 
-def cut(docs: DataFrame, path: str, ranks: str | None, capacity: int, keep: list[str], with_ids: bool) -> DataFrame:
+def cut(
+    docs: DataFrame, text_column: str, path: str, ranks: str | None, capacity: int, keep: list[str], with_ids: bool
+) -> DataFrame:
     """Pieces of at most `capacity` ids, with their task (`_part`) and their number there among equal lengths (`_nth`)."""
     extra = ", ids binary" if with_ids else ""
+    chosen, name = with_text(docs, keep, text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, task = _tokenizer(path, ranks), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for part, texts in slices(batches, "_text"):
+        for part, texts in slices(batches, name):
             row, start, length, crc, whole, nth, raw = [], [], [], [], [], [], []
             for i, text in enumerate(texts):
                 ids = np.append(encode(text), np.uint32(END)).astype("<u4", copy=False)
@@ -85,7 +88,7 @@ def cut(docs: DataFrame, path: str, ranks: str | None, capacity: int, keep: list
             columns |= {"_part": pa.array([task] * len(row), pa.int32()), "_nth": pa.array(nth, pa.int64())}
             yield beside(part.take(pa.array(row, pa.int64())), keep, **columns)
 
-    return docs.mapInArrow(run, schema_with(docs, keep, f"{PIECE}{extra}, _part int, _nth long"))
+    return chosen.mapInArrow(run, schema_with(docs, keep, f"{PIECE}{extra}, _part int, _nth long"))
 
 
 class CapacityTree:
@@ -187,8 +190,7 @@ def pack(
     spark = docs.sparkSession
     own = ["start", "length", "ids_crc32", "doc_tokens", "ids", "sequence_id", "offset", "_part", "_nth", "_text"]
     keep = [c for c in docs.columns if c not in own and c != text_column] if keep is None else keep
-    chosen = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_column}`").alias("_text"))
-    pieces = written(cut(chosen, path, ranks, capacity, keep, with_ids), "pieces")
+    pieces = written(cut(docs, text_column, path, ranks, capacity, keep, with_ids), "pieces")
 
     by_part = pieces.groupBy("_part", "length").agg(F.count("*").alias("_n"))
     counts = {r["length"]: r["n"] for r in by_part.groupBy("length").agg(F.sum("_n").alias("n")).collect()}

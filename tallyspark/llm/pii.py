@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import beside, schema_with, slices
+from .common import beside, schema_with, slices, with_text
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -239,9 +239,10 @@ def find(docs: DataFrame, keep: list[str] | None = None, text_column: str = "tex
     """
     new = [f"n_{k}" for k in KINDS] + ["n_disguised", "base", "spans"]
     keep = [c for c in docs.columns if c not in new] if keep is None else keep
+    chosen, name = with_text(docs, keep, text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, "_text"):
+        for part, texts in slices(batches, name):
             found = [all_spans(t) for t in texts]
             counts = {f"n_{k}": pa.array([len(b[k]) for b, _ in found], pa.int64()) for k in KINDS}
             merged = [{k: sorted(b[k] + x[k]) for k in KINDS} for b, x in found]
@@ -251,7 +252,6 @@ def find(docs: DataFrame, keep: list[str] | None = None, text_column: str = "tex
                 base=pa.array([_told(b) for b, _ in found]), spans=pa.array([_told(m) for m in merged]),
             )
 
-    chosen = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_column}`").alias("_text"))
     ddl = ", ".join(f"n_{k} long" for k in KINDS) + ", n_disguised long, base string, spans string"
     return chosen.mapInArrow(run, schema_with(docs, keep, ddl))
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import beside, schema_with, slices
+from .common import beside, schema_with, slices, with_text
 from .labelled import MAX_ROWS, training_sample
 
 FEATURES = (
@@ -188,12 +188,13 @@ def fit(
 
 
 def with_features(docs: DataFrame, keep: list[str], text_column: str = "text") -> DataFrame:
+    chosen, name = with_text(docs, keep, text_column)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, "_text"):
+        for part, texts in slices(batches, name):
             x = np.array([features(t) for t in texts], np.float64).reshape(len(texts), len(FEATURES))
             yield beside(part, keep, x=pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), len(FEATURES)).cast(pa.list_(pa.float64())))
 
-    chosen = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_column}`").alias("_text"))
     return chosen.mapInArrow(run, schema_with(docs, keep, "x array<double>"))
 
 
@@ -204,17 +205,19 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Addit
     return fit(x, np.array([r["label"] for r in rows], np.float64))
 
 
-def score(docs: DataFrame, model: AdditiveModel, keep: list[str] | None = None, text_column: str = "text") -> DataFrame:
-    """The kept columns (default: all) with `score`, the probability of good quality, from the whole text alone.
+def score(
+    docs: DataFrame, model: AdditiveModel, keep: list[str] | None = None, text_column: str = "text", column: str = "score"
+) -> DataFrame:
+    """The kept columns (default: all) with a score, the probability of good quality, from the whole text alone.
 
-    A null text is scored like an empty one. A column named score in the input is left out of the default.
+    A null text is scored like an empty one. A column of the input named like the score is left out of the default.
     """
-    keep = [c for c in docs.columns if c != "score"] if keep is None else keep
+    keep = [c for c in docs.columns if c != column] if keep is None else keep
+    chosen, name = with_text(docs, keep, text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, "_text"):
+        for part, texts in slices(batches, name):
             x = np.array([features(t) for t in texts], np.float64).reshape(len(texts), len(FEATURES))
-            yield beside(part, keep, score=pa.array(model.score(x)))
+            yield beside(part, keep, **{column: pa.array(model.score(x))})
 
-    chosen = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_column}`").alias("_text"))
-    return chosen.mapInArrow(run, schema_with(docs, keep, "score double"))
+    return chosen.mapInArrow(run, schema_with(docs, keep, f"`{column}` double"))

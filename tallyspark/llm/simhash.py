@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import beside, schema_with, slices, written
+from .common import beside, schema_with, slices, with_text, written
 from .components import components
 
 #: Work units with more fingerprints than this are divided further.
@@ -49,12 +49,12 @@ def simhash(hashes: np.ndarray) -> int:
 def fingerprints(docs: DataFrame, words: int = 3, keep: list[str] | None = None, text_column: str = "text") -> DataFrame:
     """The kept columns (default: all) with `fp`, the SimHash of the text as a long. A null text is an empty one."""
     keep = [c for c in docs.columns if c != "fp"] if keep is None else keep
+    chosen, name = with_text(docs, keep, text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, "_text"):
+        for part, texts in slices(batches, name):
             yield beside(part, keep, fp=pa.array([simhash(shingle_hashes(t, words)) for t in texts], pa.int64()))
 
-    chosen = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_column}`").alias("_text"))
     return chosen.mapInArrow(run, schema_with(docs, keep, "fp long"))
 
 
@@ -269,3 +269,247 @@ def simhash_groups(
     labels = nodes.join(of, "fp", "left").select("fp", F.coalesce("_of", "_least").alias("component_id"))
     # Written first, so that the last join has a plain shuffle on either side, which Spark can split at a hot fingerprint.
     return marked.join(written(labels, "labels"), "fp").select(*(F.col(f"`{c}`") for c in keep), "fp", "component_id")
+
+
+# Near-duplicates of a given resemblance
+
+#: Independent fingerprints per text for a resemblance of 0.8: a pair of just that resemblance meets in one of the
+#: 4 * SEEDS blocks of sixteen equal bits with a probability of over 0.99, and more alike ones nearly always.
+SEEDS = 16
+#: Differing bits allowed to candidates in one fingerprint; texts of resemblance 0.8 differ in about ten of 64.
+CANDIDATE_BITS = 16
+#: A unit with more fingerprints is joined in runs of this length first, and the rest once links are known.
+RUN_ROWS = 512
+#: Pairs that a small unit tells at once, per fingerprint.
+TOLD_PAIRS = 4
+
+
+def seeded_fingerprints(hashes: np.ndarray, seeds: int) -> np.ndarray:
+    """SimHash of a set of hashes under several remixings, as signed 64-bit numbers."""
+    distinct = np.unique(hashes)
+    if not len(distinct):
+        return np.zeros(seeds, np.int64)
+    out = np.empty(seeds, np.int64)
+    for seed in range(seeds):
+        x = distinct + np.uint64(0x9E3779B97F4A7C15 * (seed + 1) & 0xFFFFFFFFFFFFFFFF)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out[seed] = simhash(x ^ (x >> np.uint64(31)))
+    return out
+
+
+def _sets(docs: DataFrame, words: int, seeds: int) -> DataFrame:
+    """(row, id, sign, prints, hashes): the distinct shingles of each text as sorted 32-bit hashes, and a digest of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in slices(batches, "text"):
+            sign, prints, packed = [], [], []
+            for text in texts:
+                hashes = shingle_hashes(text, words)
+                short = np.unique(hashes >> np.uint64(32)).astype("<u4")
+                sign.append(xxhash.xxh128_digest(np.unique(hashes).tobytes()))
+                prints.append(seeded_fingerprints(hashes, seeds).tobytes())
+                packed.append(short.tobytes())
+            columns = {"sign": sign, "prints": prints, "hashes": packed}
+            yield beside(part, ["row", "id"], **{k: pa.array(v, pa.binary()) for k, v in columns.items()})
+
+    return docs.mapInArrow(run, schema_with(docs, ["row", "id"], "sign binary, prints binary, hashes binary"))
+
+
+def _bands(nodes: DataFrame, seeds: int) -> DataFrame:
+    """A row for each fingerprint and block turned to the front: (band, head, v, node, root)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2000):
+                part = batch.slice(start, 2000)
+                n = part.num_rows
+                v = np.frombuffer(b"".join(part.column("prints").to_pylist()), "<u8").reshape(n, seeds)
+                turned = [v if r == 0 else (v << np.uint64(16 * r)) | (v >> np.uint64(64 - 16 * r)) for r in range(4)]
+                v = np.stack(turned, 2).reshape(-1)
+                band = np.tile(np.arange(4 * seeds, dtype=np.int64), n)
+                unit = (band << 16) | (v >> np.uint64(48)).astype(np.int64)
+                each = [np.repeat(part.column(c).to_numpy(), 4 * seeds) for c in ("node", "root")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(unit), pa.array(v.view(np.int64)), *map(pa.array, each)], names=["unit", "v", "node", "root"]
+                )
+
+    return nodes.select("prints", "node", "root").mapInArrow(run, "unit long, v long, node long, root long")
+
+
+def _nearest_forest(n: int, a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Positions of pairs that span what all pairs span, nearest first."""
+    root, kept = np.arange(n), []
+    for distance in np.unique(bits):
+        some = np.flatnonzero(bits == distance)
+        while len(some):
+            x, y = root[a[some]], root[b[some]]
+            apart = x != y
+            some, x, y = some[apart], x[apart], y[apart]
+            if not len(some):
+                break
+            # One pair for each upper root at a time, so that no pair closes a ring.
+            _, first = np.unique(np.maximum(x, y), return_index=True)
+            kept.append(some[first])
+            root[np.maximum(x, y)[first]] = np.minimum(x, y)[first]
+            while (root != root[root]).any():
+                root = root[root]
+    return np.concatenate(kept) if kept else np.empty(0, np.int64)
+
+
+def _unit_pairs(units: DataFrame, bits: int, apart: bool) -> DataFrame:
+    """Candidate pairs (a, b, bits) of all units, and (unit, -1, -1) for units that have more to tell.
+
+    First (`apart` False) a unit tells a forest of its nearest pairs, or all of them if they are few; a large unit does
+    so for runs in the order of its trie, linked end to end. Then (`apart` True) it tells all pairs whose roots differ.
+    """
+
+    def runs_of(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        counts = -(-(ends - starts) // RUN_ROWS)
+        of = np.repeat(np.arange(len(starts)), counts)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+        lo = starts[of] + nth * RUN_ROWS
+        return np.stack([lo, np.minimum(lo + RUN_ROWS, ends[of]), lo, np.minimum(lo + RUN_ROWS, ends[of]), 0 * lo, 0 * lo + 16], 1)
+
+    def told(rows: np.ndarray) -> pa.RecordBatch:
+        value = rows[:, 1].astype(np.int64).view(np.uint64)
+        order = np.lexsort((rows[:, 2], value, rows[:, 0]))
+        rows, value = rows[order], value[order]
+        starts = np.flatnonzero(np.r_[True, rows[1:, 0] != rows[:-1, 0]])
+        ends = np.r_[starts[1:], len(rows)]
+        many = ends - starts > 1
+        starts, ends = starts[many], ends[many]
+        if apart:
+            found = [_across(rows, value, s, e, bits) for s, e in zip(starts.tolist(), ends.tolist())]
+            x = np.concatenate([f[0] for f in found] or [np.empty(0, np.int64)])
+            y = np.concatenate([f[1] for f in found] or [np.empty(0, np.int64)])
+            more = np.empty(0, np.int64)
+        else:
+            firsts = runs_of(starts, ends)
+            x, y = trie_pairs(value, firsts, bits)
+            differ = np.bitwise_count(value[x] ^ value[y]).astype(np.int64)
+            unit_of = np.searchsorted(starts, x, "right") - 1
+            pairs = np.bincount(unit_of, minlength=len(starts))
+            size = ends - starts
+            dense = (pairs > TOLD_PAIRS * size) | (size > RUN_ROWS)
+            inner = np.flatnonzero(dense[unit_of])
+            keep = np.r_[np.flatnonzero(~dense[unit_of]), inner[_nearest_forest(len(value), x[inner], y[inner], differ[inner])]]
+            joints = firsts[:-1, 1][firsts[:-1, 1] == firsts[1:, 0]] if len(firsts) > 1 else np.empty(0, np.int64)
+            joints = joints[rows[joints, 0] == rows[joints - 1, 0]]
+            x, y = np.r_[x[keep], joints - 1], np.r_[y[keep], joints]
+            more = rows[starts[dense], 0]
+        differ = np.bitwise_count(value[x] ^ value[y]).astype(np.int64)
+        a, b = np.minimum(rows[x, 2], rows[y, 2]), np.maximum(rows[x, 2], rows[y, 2])
+        none = np.full(len(more), -1, np.int64)
+        columns = (np.r_[rows[x, 0], more], np.r_[a, none], np.r_[b, none], np.r_[differ, none])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["unit", "a", "b", "bits"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(np.stack([batch.column(c).to_numpy() for c in ("unit", "v", "node", "root")], 1))
+            count += batch.num_rows
+            if count >= CHUNK_ROWS:
+                rows = np.concatenate(held)
+                cut = np.flatnonzero(rows[1:, 0] != rows[:-1, 0])
+                if len(cut):
+                    yield told(rows[: cut[-1] + 1])
+                    rows = rows[cut[-1] + 1 :]
+                held, count = [rows], len(rows)
+        if count:
+            yield told(np.concatenate(held))
+
+    dealt = units.repartition("unit").sortWithinPartitions("unit")
+    return dealt.mapInArrow(run, "unit long, a long, b long, bits long")
+
+
+def _across(rows: np.ndarray, value: np.ndarray, start: int, end: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one unit within the bits whose roots differ; rows of the largest component are not paired among themselves."""
+    roots, sizes = np.unique(rows[start:end, 3], return_counts=True)
+    if len(roots) < 2:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    at = np.arange(start, end)
+    rest = at[rows[start:end, 3] != roots[np.argmax(sizes)]]
+    x, y = [], []
+    step = max(1, (1 << 21) // (end - start))
+    for i in range(0, len(rest), step):
+        part = rest[i : i + step]
+        near = np.bitwise_count(value[part][:, None] ^ value[None, start:end]) <= bits
+        near &= rows[part, 3][:, None] != rows[None, start:end, 3]
+        p, q = np.nonzero(near)
+        x.append(part[p])
+        y.append(start + q)
+    return np.concatenate(x), np.concatenate(y)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) whose shingle sets resemble each other that much, by the sets themselves."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    known = sets.select("node", "hashes").join(wanted, "node", "left_semi")
+    left = known.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
+    right = known.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                p, q = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                keep.append(both >= similarity * (len(p) + len(q) - both) and both > 0)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, seeds: int = SEEDS) -> DataFrame:
+    """(row, id, group_row) for the rows of `docs` (row, id, text): the group's kept row is the one of the least id.
+
+    Texts link when the sets of their runs of `words` words resemble each other (Jaccard) by at least `similarity`, and
+    groups are what links connect. Texts of equal sets are one node. Candidates come from SimHash: pairs that share a
+    block of sixteen bits in one of several fingerprints are found below that trie node, within a budget of differing
+    bits, and then compared exactly. A crowded node first tells its nearest pairs; once these are joined to groups, it
+    tells every pair that is still in different groups, so that no candidate is left out. Texts without words are alike.
+    """
+    sets = written(_sets(docs, words, seeds), "sets")
+    order = F.struct(F.col("id").isNull(), "id", "row")
+    grouped = sets.groupBy("sign").agg(F.min(order).alias("first"), F.first("prints").alias("prints"), F.first("hashes").alias("hashes"))
+    nodes = written(grouped.select("sign", F.col("first.row").alias("node"), "first", "prints", "hashes"), "nodes")
+
+    found = written(
+        _unit_pairs(_bands(nodes.withColumn("root", F.col("node")), seeds), CANDIDATE_BITS, False), "candidates"
+    )
+    pairs = written(found.where("a >= 0").groupBy("a", "b").agg(F.min("bits").alias("bits"), F.count("*").alias("n")), "pairs")
+    # The nearest partner of each text first: that joins large groups with few comparisons.
+    best = pairs.groupBy(F.col("b").alias("node")).agg(F.max(F.struct("n", F.negative("bits"), F.negative("a"))).alias("m"))
+    chosen = best.select(F.negative(F.col("m").getField("col3")).alias("a"), F.col("node").alias("b"))
+    links = written(_verified(chosen, nodes, similarity), "links")
+    tried = written(chosen, "tried")
+
+    def rooted(links: DataFrame) -> DataFrame:
+        roots = components(links)
+        joined = nodes.join(roots, "node", "left")
+        return written(joined.withColumn("root", F.coalesce("root", "node")), "rooted")
+
+    def still_apart(some: DataFrame, now: DataFrame) -> DataFrame:
+        label = now.select("node", "root")
+        left = label.select(F.col("node").alias("a"), F.col("root").alias("_ra"))
+        right = label.select(F.col("node").alias("b"), F.col("root").alias("_rb"))
+        return some.join(left, "a").join(right, "b").where("_ra != _rb").select("a", "b")
+
+    now = rooted(links)
+    rest = written(still_apart(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"), now), "rest")
+    links = links.union(written(_verified(rest, nodes, similarity), "links"))
+    tried = tried.union(rest)
+    crowded = found.where("a < 0").select("unit").distinct()
+    if not crowded.isEmpty():
+        now = rooted(links)
+        units = _bands(now, seeds).join(crowded, "unit", "left_semi")
+        others = _unit_pairs(units, CANDIDATE_BITS, True).select("a", "b").distinct()
+        rest = written(others.join(tried, ["a", "b"], "left_anti"), "rest")
+        links = links.union(written(_verified(rest, nodes, similarity), "links"))
+    now = rooted(links)
+    heads = now.groupBy("root").agg(F.min("first").alias("head"))
+    labels = written(now.select("sign", "root").join(heads, "root").select("sign", F.col("head.row").alias("group_row")), "labels")
+    return sets.select("row", "id", "sign").join(labels, "sign").select("row", "id", "group_row")

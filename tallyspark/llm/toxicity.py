@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import beside, schema_with, slices
+from .common import beside, schema_with, slices, with_text
 from .labelled import MAX_ROWS, training_sample
 
 # Words of each class in English, German, French and Spanish; a star stands for any ending.
@@ -290,24 +290,27 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Toxic
     return ToxicityModel(lexicon, logistic(x, np.array([r["label"] for r in measured], np.float64)).tolist())
 
 
-def score(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None, text_column: str = "text") -> DataFrame:
-    """The kept columns (default: all) with `score`, the probability of a toxic text, and `toxic_clauses`.
+def score(
+    docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None, text_column: str = "text", column: str = "score"
+) -> DataFrame:
+    """The kept columns (default: all) with a score, the probability of a toxic text, and `toxic_clauses`.
 
     `toxic_clauses` lists start, end (code points) and weight of each matched clause. Whole texts are read; a null text
     is scored like an empty one. Columns of the input named like a result column are left out of the default.
     """
-    keep = [c for c in docs.columns if c not in ("score", "toxic_clauses")] if keep is None else keep
+    keep = [c for c in docs.columns if c not in (column, "toxic_clauses")] if keep is None else keep
+    chosen, name = with_text(docs, keep, text_column)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("weight", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model.lexicon.ready()
         w = np.array(model.weights)
-        for part, texts in slices(batches, "_text"):
+        for part, texts in slices(batches, name):
             clauses = [clause_weights(t, model.lexicon) for t in texts]
             x = np.array([[1.0, *measures([c[2] for c in found])] for found in clauses]).reshape(len(texts), 4)
             told = [[{"start": s, "end": e, "weight": v} for s, e, v in found] for found in clauses]
-            yield beside(part, keep, score=pa.array(1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))), toxic_clauses=pa.array(told, kind))
+            found = {column: pa.array(1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))), "toxic_clauses": pa.array(told, kind)}
+            yield beside(part, keep, **found)
 
-    chosen = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_column}`").alias("_text"))
-    ddl = "score double, toxic_clauses array<struct<start: int, end: int, weight: double>>"
+    ddl = f"`{column}` double, toxic_clauses array<struct<start: int, end: int, weight: double>>"
     return chosen.mapInArrow(run, schema_with(docs, keep, ddl))
