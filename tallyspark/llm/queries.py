@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, pii, quality, sketch, toxicity
-from .common import table
+from .common import fold, table
 from .embeddings import embedding_groups
 from .labelled import held_out
+from .ngram import ngram_scores
 from .packing import pack
 from .sharding import histogram_shards
 from .simhash import simhash_groups
@@ -69,6 +70,11 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_ngram_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", fold(F.col("doc_id"), 7) == 2)
+    return ngram_scores(docs.select("doc_id", "text", "held_out"))
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash_groups(table(spark, folder, "documents"), words=3, budget=3, keep=["doc_id"])
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -91,6 +97,7 @@ QUERIES = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_pii": op5_pii,
     "op6_quality": op6_quality,
+    "op7_ngram_lm": op7_ngram_lm,
     "op8_simhash": op8_simhash,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
