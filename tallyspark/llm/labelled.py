@@ -20,7 +20,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
     """
     rows = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), FOLDS) != 0))
     chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id", label).limit(max_rows).select("doc_id", F.col(label).cast("int").alias("_label"))
-    joined = docs.select("doc_id", "text").join(chosen, "doc_id")
+    # At most max_rows ids and labels: the texts stay where they are, and the chosen ones are written once.
+    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     return joined.select("text", F.col("_label").alias("label"))
 
 
