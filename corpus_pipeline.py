@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import pii, quality, toxicity
-from tallyspark.llm.common import table, written
+from tallyspark.llm.common import free_name, table, written
 from tallyspark.llm.packing import pack
 from tallyspark.llm.simhash import near_duplicates
 
@@ -26,21 +26,24 @@ def _kept(scored: DataFrame, condition, docs: DataFrame) -> DataFrame:
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model of `labels.quality` does not reject. Null and empty texts are scored like any other."""
     model = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return _kept(quality.score(docs, model, column="_quality"), F.col("_quality") >= LEAST_QUALITY, docs)
+    score = free_name(docs, "_quality")
+    return _kept(quality.score(docs, model, column=score), F.col(score) >= LEAST_QUALITY, docs)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model of `labels.toxic` does not reject."""
     model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return _kept(toxicity.score(docs, model, column="_toxicity"), F.col("_toxicity") < MOST_TOXICITY, docs)
+    score = free_name(docs, "_toxicity")
+    return _kept(toxicity.score(docs, model, column=score), F.col(score) < MOST_TOXICITY, docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the least id, of each group of near-duplicates; texts without words are one group."""
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    found = near_duplicates(rows.select(F.col("_row").alias("row"), F.col("doc_id").alias("id"), "text"), WORDS, SIMILARITY)
-    kept = found.where("row = group_row").select(F.col("row").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    row = free_name(docs, "_row")
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows.select(F.col(row).alias("row"), F.col("doc_id").alias("id"), "text"), WORDS, SIMILARITY)
+    kept = found.where("row = group_row").select(F.col("row").alias(row))
+    return rows.join(kept, row, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def pii_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,6 +48,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             yield part, [t or "" for t in part.column(column).to_pylist()]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column of the frame has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def with_text(docs: DataFrame, keep: list[str], text_column: str) -> tuple[DataFrame, str]:
     """The kept columns and the text, and the name that the text has there; it is carried once."""
     if text_column in keep:

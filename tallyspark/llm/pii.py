@@ -99,6 +99,8 @@ DOT_WORDS = ("dot", "punkt", "point", "punto")
 AT_WORDS = ("at", "arroba", "arobase")
 #: Words that stand bare, without brackets, only count in pairs of one language.
 PAIRS = (("at", "dot"), ("at", "punkt"), ("arroba", "punto"), ("arobase", "point"))
+#: Domains that end an address told in bare words.
+DOMAINS = "com org net edu gov mil info biz io co eu uk us ca au at de ch fr be es it nl pt mx ar br cl in cn jp kr ru pl se no dk fi cz ie nz za app dev ai".split()
 #: Letters of other scripts that look like the Latin letter.
 LOOKALIKES = {
     "А": "A", "В": "B", "С": "C", "Е": "E", "Н": "H", "І": "I", "Ј": "J", "К": "K", "М": "M", "О": "O", "Р": "P", "Ѕ": "S", "Т": "T", "Х": "X", "У": "Y",
@@ -133,9 +135,10 @@ _DOT_IN = _signs(DOT_WORDS, ".")
 _AT_IN = _signs(AT_WORDS, "@")
 _DOT_BARE = rf"(?<=[A-Za-z0-9])\s+(?:{'|'.join(DOT_WORDS)})\s+(?=[A-Za-z0-9])"
 _LABEL = "[A-Za-z0-9-]{1,63}"
-#: The at word alone counts only before a name that a disguised dot and another name follow.
+#: The at word alone counts only before names with disguised dots that end in a common domain.
 _AT_BARE = "|".join(
-    rf"(?<=[A-Za-z0-9])\s+{at}\s+(?={_LABEL}(?:{_DOT_IN}|\s+{dot}\s+){_LABEL})" for at, dot in PAIRS
+    rf"(?<=[A-Za-z0-9])\s+{at}\s+(?={_LABEL}(?:(?:{_DOT_IN}|\s+{dot}\s+){_LABEL}){{0,4}}?(?:{_DOT_IN}|\s+{dot}\s+)(?:{'|'.join(DOMAINS)})\b)"
+    for at, dot in PAIRS
 )
 # Between two spelled digits a blank or hyphen belongs to the reading, not to the number.
 _DIGIT = rf"\b(?P<digit>{_NUMBER})\b(?:[ -](?=(?:{_NUMBER})\b))?"

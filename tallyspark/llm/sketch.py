@@ -193,10 +193,11 @@ def fingerprints(
 
     A null text is an empty one; two empty texts are alike (1). Null ids come last and equal ids go by a hash of the
     text, so that the order is the same in every run; rows equal in both are interchangeable. A single document follows
-    itself. Kept columns named like a result column are left out of the default.
+    itself. Columns named like a result column or an inner one are left out of the default.
     """
     new = ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
-    keep = [c for c in docs.columns if c not in new and c != text_column] if keep is None else keep
+    inner = ("_text", "_part", "_ahead", *order_keys(id_column, text_column))
+    keep = [c for c in docs.columns if c not in new and c not in inner and c != text_column] if keep is None else keep
     rows, names, parts = followed(docs, keep, id_column, text_column, part_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
