@@ -19,6 +19,9 @@ from .common import beside, schema_with, slices, with_text, written
 #: Id that ends every document.
 END = 0
 
+#: Counts of lengths per task that are sent to every executor at most (about 20 MB).
+BROADCAST_ROWS = 1_000_000
+
 PIECE = "start long, length int, ids_crc32 long, doc_tokens long"
 
 
@@ -192,11 +195,14 @@ def pack(
     keep = [c for c in docs.columns if c not in own and c != text_column] if keep is None else keep
     pieces = written(cut(docs, text_column, path, ranks, capacity, keep, with_ids), "pieces")
 
-    by_part = pieces.groupBy("_part", "length").agg(F.count("*").alias("_n"))
+    by_part = written(pieces.groupBy("_part", "length").agg(F.count("*").alias("_n")), "lengths")
     counts = {r["length"]: r["n"] for r in by_part.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     placed, _ = best_fit_decreasing(counts, capacity)
     earlier = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_part.select("_part", "length", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    # A row per task and length that occurs there: where these are few, the pieces need not move to meet them.
+    if by_part.count() <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     ranked = pieces.join(offsets, ["_part", "length"]).withColumn("_rank", F.col("_before") + F.col("_nth")).drop("_part", "_nth", "_before")
 
     lookup = spark.sparkContext.broadcast(placed)  # bounded by the capacity, see best_fit_decreasing

@@ -280,6 +280,9 @@ SEEDS = 16
 CANDIDATE_BITS = 16
 #: A unit with more fingerprints is joined in runs of this length first, and the rest once links are known.
 RUN_ROWS = 512
+#: Share of all bits of all fingerprints beyond which a pair is not compared. At a resemblance of 0.8 a fifth of the
+#: bits differ at most, give or take a hundredth; of unlike texts one half does.
+FAR_SHARE = 0.34
 #: Pairs that a small unit tells at once, per fingerprint.
 TOLD_PAIRS = 4
 
@@ -444,10 +447,26 @@ def _across(rows: np.ndarray, value: np.ndarray, start: int, end: int, bits: int
     return np.concatenate(x), np.concatenate(y)
 
 
+def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs whose fingerprints, taken together, do not rule the resemblance out."""
+    left = nodes.select(F.col("node").alias("a"), F.col("prints").alias("x"))
+    right = nodes.select(F.col("node").alias("b"), F.col("prints").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in "xy")
+                near = np.bitwise_count(x ^ y).sum(1, dtype=np.int64) <= FAR_SHARE * 64 * x.shape[1]
+                yield batch.select(names).filter(pa.array(near))
+
+    names = pairs.columns
+    return pairs.join(left, "a").join(right, "b").select(*names, "x", "y").mapInArrow(run, pairs.schema)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) whose shingle sets resemble each other that much, by the sets themselves."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    known = sets.select("node", "hashes").join(wanted, "node", "left_semi")
+    known = sets.join(wanted, "node", "left_semi")
     left = known.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
     right = known.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
 
@@ -474,22 +493,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, se
     """
     sets = written(_sets(docs, words, seeds), "sets")
     order = F.struct(F.col("id").isNull(), "id", "row")
-    grouped = sets.groupBy("sign").agg(F.min(order).alias("first"), F.first("prints").alias("prints"), F.first("hashes").alias("hashes"))
-    nodes = written(grouped.select("sign", F.col("first.row").alias("node"), "first", "prints", "hashes"), "nodes")
+    grouped = sets.groupBy("sign").agg(F.min(order).alias("first"), F.first("prints").alias("prints"))
+    nodes = written(grouped.select("sign", F.col("first.row").alias("node"), "first", "prints"), "nodes")
+    hashes = sets.select(F.col("row").alias("node"), "hashes")
 
     found = written(
         _unit_pairs(_bands(nodes.withColumn("root", F.col("node")), seeds), CANDIDATE_BITS, False), "candidates"
     )
-    pairs = written(found.where("a >= 0").groupBy("a", "b").agg(F.min("bits").alias("bits"), F.count("*").alias("n")), "pairs")
+    pairs = found.where("a >= 0").groupBy("a", "b").agg(F.min("bits").alias("bits"), F.count("*").alias("n"))
+    pairs = written(_plausible(pairs, nodes), "pairs")
     # The nearest partner of each text first: that joins large groups with few comparisons.
     best = pairs.groupBy(F.col("b").alias("node")).agg(F.max(F.struct("n", F.negative("bits"), F.negative("a"))).alias("m"))
     chosen = best.select(F.negative(F.col("m").getField("col3")).alias("a"), F.col("node").alias("b"))
-    links = written(_verified(chosen, nodes, similarity), "links")
+    links = written(_verified(chosen, hashes, similarity), "links")
     tried = written(chosen, "tried")
 
     def rooted(links: DataFrame) -> DataFrame:
         roots = components(links)
-        joined = nodes.join(roots, "node", "left")
+        joined = nodes.select("sign", "node", "first").join(roots, "node", "left")
         return written(joined.withColumn("root", F.coalesce("root", "node")), "rooted")
 
     def still_apart(some: DataFrame, now: DataFrame) -> DataFrame:
@@ -500,15 +521,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, se
 
     now = rooted(links)
     rest = written(still_apart(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"), now), "rest")
-    links = links.union(written(_verified(rest, nodes, similarity), "links"))
+    links = links.union(written(_verified(rest, hashes, similarity), "links"))
     tried = tried.union(rest)
     crowded = found.where("a < 0").select("unit").distinct()
     if not crowded.isEmpty():
         now = rooted(links)
-        units = _bands(now, seeds).join(crowded, "unit", "left_semi")
+        labelled = nodes.select("node", "prints").join(now.select("node", "root"), "node")
+        units = _bands(labelled, seeds).join(crowded, "unit", "left_semi")
         others = _unit_pairs(units, CANDIDATE_BITS, True).select("a", "b").distinct()
-        rest = written(others.join(tried, ["a", "b"], "left_anti"), "rest")
-        links = links.union(written(_verified(rest, nodes, similarity), "links"))
+        rest = written(_plausible(others.join(tried, ["a", "b"], "left_anti"), nodes), "rest")
+        links = links.union(written(_verified(rest, hashes, similarity), "links"))
     now = rooted(links)
     heads = now.groupBy("root").agg(F.min("first").alias("head"))
     labels = written(now.select("sign", "root").join(heads, "root").select("sign", F.col("head.row").alias("group_row")), "labels")
