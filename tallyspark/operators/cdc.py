@@ -116,25 +116,28 @@ def versioned_history(
     ``valid_to`` is the time of the next change. A key with very many changes is split by
     time bucket: inside a bucket the next change is a window lead, and the last change of a
     bucket takes the first time of the key's next bucket from a frame of one row per key
-    and bucket. A delete closes its predecessor and is no version itself.
+    and bucket. A delete closes its predecessor and is no version itself. NULL is a key
+    like any other. A change without a time has no place in the order: it comes out with
+    neither ``valid_from`` nor ``valid_to`` and is never current.
     """
     stamped = log.withColumn("_at", F.col(at).cast("timestamp")).withColumn(
         "_bucket", F.date_trunc(bucket, "_at")
     )
     inside = Window.partitionBy(key, "_bucket").orderBy("_at", *[F.col(c) for c in tie_breakers])
-    across = Window.partitionBy(key).orderBy("_bucket")
+    across = Window.partitionBy("_of").orderBy("_in")
     starts = (
-        stamped.groupBy(key, "_bucket")
+        stamped.filter("_at IS NOT NULL")
+        .groupBy(F.col(key).alias("_of"), F.col("_bucket").alias("_in"))
         .agg(F.min("_at").alias("_first"))
         .withColumn("_next_first", F.lead("_first").over(across))
         .drop("_first")
     )
     return (
         stamped.withColumn("_next", F.lead("_at").over(inside))
-        .join(starts, [key, "_bucket"])
+        .join(starts, F.col(key).eqNullSafe(F.col("_of")) & F.col("_bucket").eqNullSafe(F.col("_in")), "left")
         .withColumn("valid_from", F.col("_at"))
         .withColumn("valid_to", F.coalesce("_next", "_next_first"))
-        .withColumn("is_current", F.col("valid_to").isNull())
-        .filter(F.col(op) != DELETE)
-        .drop("_at", "_bucket", "_next", "_next_first")
+        .withColumn("is_current", F.col("valid_to").isNull() & F.col("_at").isNotNull())
+        .filter(~F.col(op).eqNullSafe(DELETE))
+        .drop("_at", "_bucket", "_next", "_next_first", "_of", "_in")
     )

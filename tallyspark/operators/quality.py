@@ -12,7 +12,6 @@ FAIL, DROP, WARN = "fail", "drop", "warn"
 # Fixed values of the daily checks.
 MIN_MATCH_RATE = 0.80
 VOLUME_DEVIATIONS = 2.0
-VOLUME_HISTORY_ROWS = 30
 
 
 @dataclass(frozen=True)
@@ -89,9 +88,8 @@ def daily_checks(
     daily: DataFrame,
     min_match_rate: float = MIN_MATCH_RATE,
     deviations: float = VOLUME_DEVIATIONS,
-    history_rows: int = VOLUME_HISTORY_ROWS,
 ) -> DataFrame:
-    """Soft checks per date: match rate, and volume against the previous dates.
+    """Soft checks per date: match rate, and volume against all previous dates.
 
     The input is the daily mart. Its dates are totalled before the window, which therefore
     sees one row per calendar date.
@@ -101,7 +99,7 @@ def daily_checks(
         F.sum("txn_count").alias("volume"),
         F.coalesce(F.max(F.when(matched, F.col("pct_of_total"))), F.lit(0.0)).alias("match_rate"),
     )
-    before = Window.orderBy("reference_date").rowsBetween(-history_rows, -1)
+    before = Window.orderBy("reference_date").rowsBetween(Window.unboundedPreceding, -1)
     mean, spread = F.avg("volume").over(before), F.stddev_samp("volume").over(before)
     return per_date.withColumn("volume_mean", mean).withColumn("volume_stddev", spread).select(
         "reference_date",

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tallyspark.functions.dates import week_end
 from tallyspark.plans.curated import results_current, winning_runs
 from tallyspark.plans.marts import TREND_ROWS, ops_daily, ops_trend
-from tallyspark.sources.store import Store, delete_path, stage
+from tallyspark.sources.store import Store, delete_path, in_partitions, same_keys, stage
 
 
 def daily_for_dates(
@@ -84,7 +84,9 @@ def keep_closed_weeks(frozen: DataFrame, fresh: DataFrame, as_of: str) -> DataFr
 
 
 def new_ledger_rows(ledger: DataFrame, fresh: DataFrame) -> DataFrame:
-    return fresh.join(ledger.select("result_id"), "result_id", "left_anti")
+    """Rows whose result is not in the ledger; a NULL id is in it if the ledger has one."""
+    known = ledger.select(F.col("result_id").alias("result_id"))
+    return fresh.join(known, same_keys(fresh, known, ["result_id"]), "left_anti")
 
 
 def append_ledger(store: Store, fresh: DataFrame, name: str = "gold_compliance_ledger") -> None:
@@ -94,9 +96,7 @@ def append_ledger(store: Store, fresh: DataFrame, name: str = "gold_compliance_l
     dates at hand are searched for its id.
     """
     if store.exists(name):
-        # One value per calendar day.
-        dates = [r[0] for r in fresh.select("reference_date").distinct().collect()]
-        stored = store.read(name).filter(F.col("reference_date").isin(dates))
+        stored = in_partitions(store.read(name), "reference_date", fresh)
         fresh = new_ledger_rows(stored, fresh)
     fresh.hint("rebalance", "reference_date").write.mode("append").partitionBy(
         "reference_date"

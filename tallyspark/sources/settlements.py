@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -11,14 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tallyspark.functions.amounts import ambiguous_amount, normalize_amount
 from tallyspark.operators.cdc import last_per_key
 from tallyspark.operators.quality import FAIL, WARN, Rule, duplicate_keys
-from tallyspark.schemas import SETTLEMENT_COLUMNS, SETTLEMENT_STATUSES, SETTLEMENTS
+from tallyspark.schemas import SETTLEMENT_COLUMNS, SETTLEMENT_STATUSES
 from tallyspark.sources.store import Store, delete_path, is_folder, path_exists, stage
 
 logger = logging.getLogger(__name__)
 
 TABLE = "raw_paysettler_settlements"
 KEYS = ("transaction_id", "reference_date")
-HEADER_BYTES = 1 << 16
+READ_BYTES = 1 << 16
 FILES_PER_PROBE_TASK = 256
 
 DatePattern = str | Callable[[str], str]
@@ -46,9 +47,29 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*.csv", recursive:
     )
 
 
+def hidden_files(spark: SparkSession, folder: str, glob: str = "*.csv", recursive: bool = False) -> list[tuple[str, str]]:
+    """(file, name) of matching files that Spark's readers pass over, as a part of the path
+    begins with an underscore or a dot. Listed by the file system, in the driver; usually none."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    matches, base = jvm.org.apache.hadoop.fs.GlobFilter(glob), root.toUri().getPath().rstrip("/") + "/"
+    found, status = [], fs.listFiles(root, recursive)
+    while status.hasNext():
+        path = status.next().getPath()
+        name = path.toUri().getPath().split(base, 1)[-1]
+        if matches.accept(path) and any(part[0] in "_." for part in name.split("/")):
+            found.append((path.toString(), name))
+    return found
+
+
 def with_headers(files: DataFrame) -> DataFrame:
-    """Adds ``header``, the names in the first line of each file, read by the executors."""
-    limit = HEADER_BYTES
+    """Adds ``header``, the names in the first line of each file, read by the executors.
+
+    The line is read to its end, however far that is. A file that cannot be read has an
+    empty header and says why in ``problem``; the others are not affected.
+    """
+    step = READ_BYTES
 
     # Defined here so that it travels by value and the executors need not have this package.
     def first_lines(batches):
@@ -56,19 +77,29 @@ def with_headers(files: DataFrame) -> DataFrame:
 
         from pyarrow import fs
 
+        def first_line(uri):
+            # Arrow knows object stores by their plain scheme only.
+            system, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+            raw = b""
+            with system.open_input_stream(path) as stream:
+                while b"\n" not in raw and b"\r" not in raw and (more := stream.read(step)):
+                    raw += more
+            return raw.replace(b"\r", b"\n").split(b"\n", 1)[0].decode("utf-8-sig", errors="replace")
+
         for batch in batches:
-            headers = []
+            headers, problems = [], []
             for uri in batch["file"]:
-                # Arrow knows object stores by their plain scheme only.
-                system, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-                with system.open_input_stream(path) as stream:
-                    lines = stream.read(limit).decode("utf-8-sig", errors="replace").splitlines()
-                headers.append([name.strip() for name in next(csv.reader(lines[:1]), [])])
-            yield batch.assign(header=headers)
+                try:
+                    names, problem = next(csv.reader([first_line(uri)]), []), None
+                except Exception as exc:  # one bad file must not stop the others
+                    names, problem = [], f"header cannot be read ({type(exc).__name__})"
+                headers.append([name.strip() for name in names])
+                problems.append(problem)
+            yield batch.assign(header=headers, problem=problems)
 
     tasks = max(1, -(-files.count() // FILES_PER_PROBE_TASK))
     return files.repartition(tasks).mapInPandas(
-        first_lines, "file string, name string, header array<string>"
+        first_lines, "file string, name string, header array<string>, problem string"
     )
 
 
@@ -103,11 +134,20 @@ def read_by_name(files: DataFrame, folder: str, columns: Sequence[str], glob: st
 
 
 def union_by_name(spark: SparkSession, folder: str, glob: str = "*.csv", recursive: bool = False) -> DataFrame:
-    """All files of a folder as text columns, united by header name."""
+    """All files of a folder as text columns, united by header name.
+
+    ``surplus`` marks lines with more fields than their header has names; what stands beyond
+    the last name has no column to go to. Files without a readable header fail the union.
+    """
     files = with_headers(list_files(spark, folder, glob, recursive))
     headed, staged = stage(files, "csv-headers")
+    problem = headed.filter("problem IS NOT NULL").first()
+    if problem:
+        raise ValueError(f"{problem.name}: {problem.problem}")
+    headed = headed.drop("problem")
     names = [r[0] for r in headed.select(F.explode("header")).distinct().orderBy(F.col("col")).collect()]
-    return read_by_name(headed, folder, names, glob, recursive).select("name", *names)
+    united = read_by_name(headed, folder, names, glob, recursive)
+    return united.select("name", *names, F.col("_surplus").alias("surplus"))
 
 
 # --- reference dates -----------------------------------------------------------
@@ -117,15 +157,26 @@ def with_reference_dates(files: DataFrame, dates: DatePattern) -> DataFrame:
     """Adds ``reference_date``, NULL where none can be derived.
 
     A pattern yields its first capture group, or the whole match if it has none. A callable
-    is asked once per file name, by the executors: the file list stays distributed.
+    gets the path below the folder (a ``PurePosixPath``) of one file at a time, on the
+    executors: the file list stays distributed. If it raises, that is the file's ``problem``.
     """
     if callable(dates):
 
         def dated(batches):
-            for batch in batches:
-                yield batch.assign(_date=[str(dates(name)) for name in batch["name"]])
+            from pathlib import PurePosixPath
 
-        files = files.mapInPandas(dated, "file string, name string, header array<string>, _date string")
+            for batch in batches:
+                found, problems = [], list(batch["problem"])
+                for i, name in enumerate(batch["name"]):
+                    try:
+                        found.append(str(dates(PurePosixPath(name))))
+                    except Exception as exc:  # one bad file must not stop the others
+                        found.append(None)
+                        problems[i] = problems[i] or f"reference_date callable failed ({type(exc).__name__}: {exc})"
+                yield batch.assign(_date=found, problem=problems)
+
+        columns = "file string, name string, header array<string>, problem string, _date string"
+        files = files.mapInPandas(dated, columns)
         text = F.col("_date")
     else:
         groups = files.sparkSession._jvm.java.util.regex.Pattern.compile(dates).matcher("").groupCount()
@@ -144,9 +195,9 @@ def settlement_rules() -> list[Rule]:
     """Row rules over the parsed columns; a violated "fail" rule rejects the whole file."""
     amount, text = F.col("amount"), F.col("amount_text")
     rules = [
-        Rule("amount_positive", amount > 0, "Negative or zero amounts found"),
-        Rule("transaction_id_filled", _filled("transaction_id"), "NULL or empty transaction_ids found"),
-        Rule("merchant_id_filled", _filled("merchant_id"), "NULL or empty merchant_ids found"),
+        Rule("amount_positive", amount > 0, "amount is zero or less"),
+        Rule("transaction_id_filled", _filled("transaction_id"), "transaction_id is blank"),
+        Rule("merchant_id_filled", _filled("merchant_id"), "merchant_id is blank"),
         Rule("amount_parses", text.isNull() | amount.isNotNull(), "Unreadable amounts found"),
         Rule("amount_present", text.isNotNull(), "Missing amounts found"),
         Rule("settled_at_parses", F.col("settled_at").isNotNull(), "Missing or unreadable settled_at found"),
@@ -211,7 +262,8 @@ def _verdicts(
     doubles = repeated.groupBy("file_no").agg(
         F.count("*").alias("duplicates"), F.sum(F.col("occurrences") - 1).alias("superseded")
     )
-    absent = F.array_except(F.array(*map(F.lit, SETTLEMENT_COLUMNS)), F.col("header"))
+    header = F.coalesce(F.col("header"), F.array().cast("array<string>"))
+    absent = F.array_except(F.array(*map(F.lit, SETTLEMENT_COLUMNS)), header)
 
     def notes(action: str, *more: Column) -> Column:
         found = [
@@ -235,9 +287,10 @@ def _verdicts(
         (rows_read - F.coalesce("superseded", F.lit(0))).alias("distinct_ids"),
         notes(
             FAIL,
-            F.when(~header_ok, F.concat(F.lit("Missing expected column(s) "), F.array_join(F.sort_array(absent), ", "))),
+            F.col("problem"),
+            F.when(F.col("problem").isNull() & ~header_ok, F.concat(F.lit("header lacks "), F.array_join(F.sort_array(absent), ", "))),
             F.when(header_ok & dated & (rows_read == 0), F.lit("File contains no data rows")),
-            F.when(~dated, F.lit("No reference_date can be derived")),
+            F.when(F.col("problem").isNull() & ~dated, F.lit("No reference_date can be derived")),
         ).alias("reasons"),
         notes(
             WARN,
@@ -264,11 +317,16 @@ def judge_and_load(
     """
     spark = store.spark
     listed = with_reference_dates(with_headers(list_files(spark, folder, glob, recursive)), dates)
+    hidden = hidden_files(spark, folder, glob, recursive)
+    if hidden:
+        why = "file or folder name begins with an underscore or a dot, which Spark does not read"
+        named = spark.createDataFrame(hidden, "file string, name string")
+        listed = listed.unionByName(named.withColumn("problem", F.lit(why)), allowMissingColumns=True)
     # The number stands for the long path in the shuffles; it is fixed by being written.
     numbered = listed.withColumn("file_no", F.monotonically_increasing_id())
     files, files_dir = stage(numbered, "settlement-files")
     rules = settlement_rules()
-    readable = files.filter(F.col("reference_date").isNotNull()).select("file", "file_no", "header")
+    readable = files.filter("reference_date IS NOT NULL AND problem IS NULL").select("file", "file_no", "header")
     for column in SETTLEMENT_COLUMNS:
         readable = readable.filter(F.array_contains("header", column))
     lines = read_by_name(readable, folder, SETTLEMENT_COLUMNS, glob, recursive)
@@ -325,8 +383,14 @@ def load_file(store: Store, path: str, reference_date: str) -> int:
     """Load one file; a reason against it raises ValueError."""
     if not path_exists(store.spark, path):
         raise FileNotFoundError(f"settlement file not found: {path}")
-    folder, _, name = path.rpartition("/")
-    verdict = judge_and_load(store, folder, lambda _: reference_date, glob=name).first()
+    place = store.spark._jvm.org.apache.hadoop.fs.Path(path)
+    name, parent = place.getName(), place.getParent()
+    # The name stands for itself, whatever signs of a pattern it holds.
+    literal = re.sub(r"([\\*?\[\]{}^,])", r"\\\1", name)
+    folder = parent.toString() if parent and parent.toString() else "."
+    verdict = judge_and_load(store, folder, lambda _: reference_date, glob=literal).first()
+    if verdict is None:
+        raise ValueError(f"{name}: not among the files of {folder}")
     for warning in verdict.warnings:
         logger.warning("%s: %s", name, warning)
     if verdict.reasons:
@@ -334,9 +398,5 @@ def load_file(store: Store, path: str, reference_date: str) -> int:
     return verdict.loaded
 
 
-def empty_settlements(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], SETTLEMENTS)
-
-
 def rows_by_file(settlements: DataFrame) -> DataFrame:
     return settlements.groupBy("_source_file").agg(F.count("*").alias("rows"))

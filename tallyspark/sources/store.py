@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyspark.session import fresh_dir
 
@@ -36,6 +37,34 @@ def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+#: Partition values up to this number are put into a plan as literals, which prune by themselves.
+LITERAL_PARTITIONS = 2000
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Join condition on which NULL equals NULL."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
+def in_partitions(df: DataFrame, partition: str, touched: DataFrame | Sequence) -> DataFrame:
+    """Rows of ``df`` in the partitions that ``touched`` names, the NULL partition included.
+
+    ``touched`` is a list of values, or a frame that has the partition column. Few values
+    become literals; many are joined, so that neither plan nor driver grows with them.
+    """
+    if isinstance(touched, DataFrame):
+        values = touched.select(partition).distinct()
+        few = values.limit(LITERAL_PARTITIONS + 1).collect()
+        if len(few) > LITERAL_PARTITIONS:
+            return df.join(values.alias("touched"), same_keys(df, values, [partition]), "left_semi")
+        touched = [r[0] for r in few]
+    known = [v for v in touched if v is not None]
+    chosen = F.col(partition).isin(known) if known else F.lit(False)
+    if len(known) < len(touched):
+        chosen = F.coalesce(chosen, F.lit(False)) | F.col(partition).isNull()
+    return df.filter(chosen)
+
+
 class Store:
     """Named tables as parquet folders. Spark enforces no keys on them; the loaders check."""
 
@@ -81,7 +110,6 @@ class Store:
         )
         return self.read(name)
 
-
     def upsert(
         self,
         name: str,
@@ -96,18 +124,14 @@ class Store:
         again stay. Repeating the call gives the same table, so a job that died halfway
         is simply run again. One writer at a time. ``touched`` are the partition values of
         ``incoming``, where the caller knows them and can save the job that finds them.
+        NULL is a value like any other, as a key and as a partition.
         """
         if not self.exists(name):
             self.replace_partitions(name, incoming, partition)
             return
-        # One value per calendar day: few, and as literals they prune partitions.
-        if touched is None:
-            touched = [r[0] for r in incoming.select(partition).distinct().collect()]
-        kept = (
-            self.read(name)
-            .filter(F.col(partition).isin(touched))
-            .join(incoming.select(*keys), list(keys), "left_anti")
-        )
+        stored = in_partitions(self.read(name), partition, incoming if touched is None else touched)
+        sent = incoming.select(*[F.col(k).alias(k) for k in keys])
+        kept = stored.join(sent, same_keys(stored, sent, keys), "left_anti")
         merged, staged = stage(incoming.unionByName(kept), f"upsert-{name}")
         self.replace_partitions(name, merged, partition)
         delete_path(self.spark, staged)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyspark.operators.cdc import last_per_key
-from tallyspark.sources.store import Store, delete_path, stage
+from tallyspark.sources.store import Store, delete_path, in_partitions, stage
 
 
 def file_stream(
@@ -84,9 +84,7 @@ def merge_changes_handler(
             last_per_key(batch, [key], order).withColumn("bucket", partition), "stream-changes"
         )
         if store.exists(table):
-            # One value per calendar day or hash bucket.
-            touched = [r[0] for r in incoming.select("bucket").distinct().collect()]
-            stored = store.read(table).filter(F.col("bucket").isin(touched))
+            stored = in_partitions(store.read(table), "bucket", incoming)
             merged, merged_dir = stage(
                 last_per_key(stored.unionByName(incoming), [key], order), "stream-merged"
             )

@@ -111,4 +111,4 @@ def test_payload_files(spark, tmp_path):
     assert blocks[3]["text"]["text"] == "*Active Alerts*\n  :warning: MISMATCHED rate 10.0% exceeds threshold 5.0%"
     quiet = stored["2025-03-16"]["blocks"]
     assert [b["type"] for b in quiet] == ["header", "section", "divider", "section", "context"]
-    assert quiet[4]["elements"][0]["text"] == "_Reference date: 2025-03-16 · Simulated Slack delivery_"
+    assert quiet[4]["elements"][0]["text"] == "_Reference date: 2025-03-16 · not delivered, payload only_"

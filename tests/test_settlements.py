@@ -70,8 +70,8 @@ def test_last_occurrence_wins_across_splits(spark, store, tmp_path):
 @pytest.mark.parametrize(
     ("bad", "message"),
     [
-        (line(amount="0.00"), "Negative or zero amounts"),
-        (line(amount="-5.00"), "Negative or zero amounts"),
+        (line(amount="0.00"), "amount is zero or less"),
+        (line(amount="-5.00"), "amount is zero or less"),
         (line(txn=""), "transaction_ids"),
         (line(txn="  "), "transaction_ids"),
         (line(merchant=""), "merchant_ids"),
@@ -120,7 +120,7 @@ def test_bad_files_are_left_out_and_others_load(store, tmp_path, caplog):
     with caplog.at_level(logging.ERROR):
         assert csv.load_directory(store, str(folder), DATED) == {"settlement_2025-03-16.csv": 1}
     log = caplog.text
-    assert "Missing expected column(s) status" in log and "no data rows" in log and "reference_date" in log
+    assert "header lacks status" in log and "no data rows" in log and "reference_date" in log
     assert set(loaded(store)) == {("TXN2", "2025-03-16")}
 
 
@@ -191,3 +191,52 @@ def test_quoted_fields(store, tmp_path):
     csv.load_file(store, path, "2025-03-15")
     row = store.read(csv.TABLE).first()
     assert (row.merchant_id, row.amount) == ('M "X", Ltda', Decimal("32245.91"))
+
+
+def verdicts(store, folder, dates=DATED, **options):
+    return {v.name: "; ".join(v.reasons) for v in csv.judge_and_load(store, str(folder), dates, **options).collect()}
+
+
+def test_header_is_read_to_its_end(store, tmp_path):
+    folder = tmp_path / "in"
+    filler = ",".join(f"{'x' * 300}{i}" for i in range(400))
+    drop(folder, "2025-03-15.csv", "," * 400 + line(), header=f"{filler},{HEADER}")
+    drop(folder, "2025-03-16.csv", line("TXN2") + ",note", header=HEADER + ",odd name")
+    assert verdicts(store, folder) == {"2025-03-15.csv": "", "2025-03-16.csv": ""}
+    assert store.read(csv.TABLE).count() == 2
+
+
+def test_hidden_files_get_a_verdict(store, tmp_path):
+    folder = tmp_path / "in"
+    drop(folder, "2025-03-15.csv", line())
+    drop(folder, "_2025-03-16.csv", line())
+    drop(folder, ".2025-03-17.csv", line())
+    drop(folder, "_other.txt", line())
+    found = verdicts(store, folder)
+    assert set(found) == {"2025-03-15.csv", "_2025-03-16.csv", ".2025-03-17.csv"}
+    assert found["2025-03-15.csv"] == "" and "begins with" in found["_2025-03-16.csv"]
+
+
+def test_a_raising_callable_costs_its_file_only(store, tmp_path):
+    folder = tmp_path / "in"
+    drop(folder, "2025-03-15.csv", line())
+    drop(folder, "undated.csv", line("TXN2"))
+    found = verdicts(store, folder, lambda path: {"2025-03-15": "2025-03-15"}[path.stem])
+    assert found["2025-03-15.csv"] == "" and "callable failed (KeyError" in found["undated.csv"]
+    assert store.read(csv.TABLE).count() == 1
+
+
+def test_file_names_are_no_patterns(store, tmp_path, monkeypatch):
+    folder = tmp_path / "in"
+    path = drop(folder, "a[1]{x}*.csv", line("TXN9"))
+    drop(folder, "a1x.csv", line("TXN8"))
+    assert csv.load_file(store, path, "2025-03-15") == 1
+    assert loaded(store) == {("TXN9", "2025-03-15"): Decimal("100.00")}
+    monkeypatch.chdir(folder)
+    with pytest.raises(FileNotFoundError):
+        csv.load_file(store, str(folder / "missing.csv"), "2025-03-15")
+
+
+def test_union_marks_surplus_fields(spark, tmp_path):
+    drop(tmp_path / "in", "a.csv", line(), line("TXN2") + ",more")
+    assert {r.transaction_id: r.surplus for r in csv.union_by_name(spark, str(tmp_path / "in")).collect()} == {"TXN1": False, "TXN2": True}

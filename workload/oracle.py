@@ -281,22 +281,52 @@ SELECT transaction_id, concat('M', o_custkey) AS merchant_id, parsed AS amount,
 FROM texts WHERE file_date NOT IN (FROM bad)
   AND seq = CASE WHEN o_orderkey % 200 = 0 THEN 1 ELSE 0 END"""
 
-ORACLE["settlements_verdicts"] = _with(LINES, """ids AS (
+FILES = """ids AS (
   SELECT file_date, transaction_id, count(*) AS n, count(*) FILTER (parsed <= 0) AS low,
     count(*) FILTER (parsed IS NULL) AS unreadable
   FROM texts GROUP BY ALL),
 files AS (
   SELECT file_date, sum(n) AS n, count(*) AS ids, count(*) FILTER (n > 1) AS dup, sum(low) AS low,
     sum(unreadable) AS unreadable, coalesce(sum(n) FILTER (transaction_id = ''), 0) AS blank
-  FROM ids GROUP BY ALL)""") + """
-SELECT file_date AS reference_date, CAST(n AS BIGINT) AS rows,
-  CASE WHEN low + unreadable + blank > 0 THEN 0 ELSE ids END AS loaded, dup AS duplicates,
-  concat_ws('; ',
-    CASE WHEN low > 0 THEN concat('Negative or zero amounts found (', low, ' rows)') END,
-    CASE WHEN blank > 0 THEN concat('NULL or empty transaction_ids found (', blank, ' rows)') END,
-    CASE WHEN unreadable > 0 THEN concat('Unreadable amounts found (', unreadable, ' rows)') END) AS reasons,
+  FROM ids GROUP BY ALL),
+judged AS (
+  SELECT *, CAST(n AS BIGINT) AS rows, CASE WHEN low + unreadable + blank > 0 THEN 0 ELSE ids END AS loaded,
+    concat_ws('; ',
+      CASE WHEN low > 0 THEN concat('amount is zero or less (', low, ' rows)') END,
+      CASE WHEN blank > 0 THEN concat('transaction_id is blank (', blank, ' rows)') END,
+      CASE WHEN unreadable > 0 THEN concat('Unreadable amounts found (', unreadable, ' rows)') END) AS reasons
+  FROM files)"""
+
+ORACLE["settlements_verdicts"] = _with(LINES, FILES) + """
+SELECT file_date AS reference_date, rows, loaded, dup AS duplicates, reasons,
   CASE WHEN dup > 0 THEN concat(dup, ' duplicate transaction_id(s), last occurrence kept') ELSE '' END AS warnings
-FROM files"""
+FROM judged"""
+
+ORACLE["settlements_awkward_drop"] = _with(LINES, FILES, """named AS (
+  SELECT *, CASE WHEN year(file_date) < 1994 THEN 'wide' WHEN year(file_date) = 1994 THEN 'lacking'
+    WHEN year(file_date) = 1995 THEN 'hidden' ELSE 'good' END AS part
+  FROM judged)""") + """
+SELECT part, CASE WHEN part <> 'hidden' THEN file_date END AS reference_date,
+  CASE WHEN part IN ('wide', 'good') THEN rows ELSE 0 END AS rows,
+  CASE WHEN part IN ('wide', 'good') THEN loaded ELSE 0 END AS loaded,
+  CASE part WHEN 'lacking' THEN 'header lacks status'
+    WHEN 'hidden' THEN 'file or folder name begins with an underscore or a dot, which Spark does not read'
+    ELSE reasons END AS reasons
+FROM named
+UNION ALL SELECT 'empty', DATE '2001-01-01', 0, 0, 'File contains no data rows'"""
+
+ORACLE["settlements_by_callable"] = _with(LINES, FILES) + """
+SELECT CASE WHEN ok THEN file_date END AS reference_date, CASE WHEN ok THEN rows ELSE 0 END AS rows,
+  CASE WHEN ok THEN loaded ELSE 0 END AS loaded,
+  CASE WHEN ok THEN reasons ELSE 'reference_date callable failed (ValueError: closed year)' END AS reasons
+FROM (SELECT *, year(file_date) <> 1995 AS ok FROM judged)"""
+
+ORACLE["settlement_file_loaded"] = _with(LINES, """kept AS (
+  SELECT transaction_id, parsed AS amount FROM texts WHERE transaction_id <> '' AND parsed > 0
+  QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY seq DESC) = 1)""") + """
+SELECT transaction_id, DATE '1999-01-31' AS reference_date, amount, 'all[1].csv' AS _source_file,
+  (SELECT count(*) FROM kept) AS loaded
+FROM kept"""
 
 ORACLE["settlements_normalized"] = _with(LINES) + "SELECT DISTINCT amount, parsed FROM texts"
 
@@ -306,8 +336,8 @@ SELECT amount, CASE WHEN file_date < DATE '1998-01-01' THEN 'BRL' END AS currenc
   CASE WHEN file_date >= DATE '1998-01-01' THEN concat('m', o_custkey) END AS note,
   CASE WHEN file_date >= DATE '1998-01-01'
     THEN CASE WHEN o_orderkey % 50 = 0 THEN 'REVERSED' ELSE 'SETTLED' END END AS status,
-  nullif(transaction_id, '') AS transaction_id
-FROM texts WHERE seq = 0"""
+  nullif(transaction_id, '') AS transaction_id, false AS surplus
+FROM texts"""
 
 ORACLE["settlements_duplicate_ids"] = _with(LINES) + """
 SELECT transaction_id, count(*) AS occurrences FROM lines GROUP BY ALL HAVING count(*) > 1"""
@@ -320,11 +350,11 @@ SETTLEMENTS = """settlements AS (
   FROM orders)"""
 
 ORACLE["settlements_upsert"] = _with(SETTLEMENTS) + """
-SELECT transaction_id, reference_date, merchant_id, status,
-  CAST(amount + CASE WHEN o_orderkey % 3 = 0 AND year(reference_date) = 1997 THEN 10 ELSE 0 END
+SELECT transaction_id, CASE WHEN o_orderkey % 40 <> 1 THEN reference_date END AS reference_date, merchant_id, status,
+  CAST(amount + CASE WHEN o_orderkey % 3 = 0 AND (year(reference_date) = 1997 OR o_orderkey % 40 = 1) THEN 10 ELSE 0 END
     AS DECIMAL(18,2)) AS amount
 FROM settlements
-WHERE o_orderkey % 5 <> 0 OR (o_orderkey % 3 = 0 AND year(reference_date) = 1997)"""
+WHERE o_orderkey % 5 <> 0 OR (o_orderkey % 3 = 0 AND (year(reference_date) = 1997 OR o_orderkey % 40 = 1))"""
 
 ORACLE["settlements_by_file"] = _with(SETTLEMENTS) + """
 SELECT 'settlement_' || strftime(reference_date, '%Y-%m-%d') || '.csv' AS _source_file, count(*) AS rows
@@ -423,7 +453,6 @@ SELECT reference_date, nested.* EXCLUDE (reference_date) FROM days LEFT JOIN nes
 
 ORACLE["run_report_ordered"] = _with(*TO_HISTORY) + """
 SELECT reference_date, run_id, category, txn_count, pct_of_total FROM history
-WHERE reference_date BETWEEN DATE '1996-03-01' AND DATE '1996-03-31'
 ORDER BY reference_date DESC, started_at DESC, run_id, category"""
 
 ORACLE["run_distinct_ids"] = _with(*TO_DAILY) + "SELECT DISTINCT reference_date, run_id FROM daily"
@@ -503,7 +532,7 @@ SELECT reference_date, alert_level,
   || CASE alert_level WHEN 'OK' THEN '' ELSE '{"type":"section","text":' || md || '*Active Alerts*\n' || warned
     || '"}},' || divider || ',' END
   || '{"type":"section","text":' || md || '*Category Breakdown*\n' || lines || '"}},'
-  || '{"type":"context","elements":[' || md || '_Reference date: ' || day || ' · Simulated Slack delivery_"}]}]}'
+  || '{"type":"context","elements":[' || md || '_Reference date: ' || day || ' · not delivered, payload only_"}]}]}'
   AS payload
 FROM payloads"""
 
@@ -596,7 +625,7 @@ ORACLE["reconcile_audit"] = _with(SIDES, CLASSIFIED, """stored AS (
     CASE o_orderkey % 20 WHEN 19 THEN 'UNRECONCILED_PROCESSOR' WHEN 0 THEN 'UNRECONCILED_INTERNAL'
       WHEN 7 THEN 'UNRECONCILED_INTERNAL' WHEN 2 THEN 'MISMATCHED' WHEN 3 THEN 'MISMATCHED' ELSE 'MATCHED' END AS category
   FROM orders),
-again AS (SELECT * FROM classified WHERE CAST(substr(transaction_id, 2) AS BIGINT) % 11 <> 0)""") + """
+again AS (SELECT * FROM classified)""") + """
 SELECT s.category AS stored, a.category AS recomputed, count(*) AS transactions
 FROM stored s FULL JOIN again a USING (transaction_id) GROUP BY ALL"""
 
@@ -648,7 +677,7 @@ ORACLE["quality_daily"] = _with(*TO_DAILY, """days AS (
     coalesce(max(pct_of_total) FILTER (category = 'MATCHED'), 0.0) AS match_rate FROM daily GROUP BY ALL),
 framed AS (
   SELECT *, avg(volume) OVER w AS m, stddev_samp(volume) OVER w AS s FROM days
-  WINDOW w AS (ORDER BY reference_date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))""") + """
+  WINDOW w AS (ORDER BY reference_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""") + """
 SELECT reference_date, volume, match_rate, round(m, 6) AS volume_mean, round(s, 6) AS volume_stddev,
   match_rate <= 0.80 AS low_match_rate, coalesce(abs(volume - m) > s * 2.0, false) AS unusual_volume FROM framed"""
 
@@ -666,12 +695,15 @@ ORACLE["stream_append"] = """
 SELECT event_type, count(*) AS n, max(event_id) AS last_event FROM events GROUP BY ALL"""
 
 ORACLE["stream_upsert"] = """
-SELECT concat('U', user_id) AS transaction_id, CAST(ts AS DATE) AS reference_date, value AS amount, event_id
-FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id DESC) = 1"""
+SELECT concat('U', user_id) AS transaction_id, CASE WHEN event_id % 40 > 3 THEN CAST(ts AS DATE) END AS reference_date,
+  value AS amount, event_id
+FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, CASE WHEN event_id % 40 > 3 THEN CAST(ts AS DATE) END
+  ORDER BY event_id % 2 DESC, event_id DESC) = 1"""
 
 ORACLE["stream_current_state"] = """
-SELECT user_id, event_id, event_type, value FROM events
-QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1 AND event_type <> 'error'"""
+SELECT CASE WHEN event_id % 50 <> 7 THEN user_id END AS user_id, event_id, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY CASE WHEN event_id % 50 <> 7 THEN user_id END ORDER BY ts DESC, event_id DESC) = 1 AND event_type <> 'error'"""
 
 ORACLE["stream_deduplicated"] = "SELECT event_id, event_type FROM events"
 

@@ -244,6 +244,71 @@ def settlements_verdicts(spark, sf):
     )
 
 
+def _rename_parts(spark: SparkSession, folder: str, name: Callable[[str, str], str]) -> None:
+    """Give the files of a drop other names, by their folder's and their own name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files, listed = fs.listFiles(path(folder), True), []
+    while files.hasNext():
+        listed.append(files.next().getPath())
+    for file in listed:
+        if file.getName().endswith(".csv"):
+            fs.rename(file, path(file.getParent(), name(file.getParent().getName(), file.getName())))
+
+
+@query
+def settlements_awkward_drop(spark, sf):
+    """A wide header, a missing column, hidden names, a file without rows, and good files, side by side."""
+    folder, lines = fresh_dir(spark, "awkward"), star.settlement_lines(spark, sf)
+    year = F.year("file_date")
+    wide = [F.lit(None).cast("string").alias(f"{'filler' * 160}{i}") for i in range(75)]
+    star.write_drop(lines.filter(year < 1994).select(*wide, "*"), f"{folder}/wide")
+    star.write_drop(lines.filter(year == 1994).drop("status"), f"{folder}/lacking")
+    star.write_drop(lines.filter(year == 1995), f"{folder}/hidden")
+    _rename_parts(spark, f"{folder}/hidden", lambda _, name: f"_{name}")
+    star.write_drop(lines.filter(year > 1995), f"{folder}/good")
+    nothing = lines.filter("1 = 0").drop("file_date", "_key", "_seq").coalesce(1)
+    nothing.write.option("header", True).csv(f"{folder}/empty/file_date=2001-01-01")
+    verdicts = csv.judge_and_load(_store(spark, "awkward-lake"), folder, r"file_date=(\d{4}-\d{2}-\d{2})", recursive=True)
+    return verdicts.select(
+        F.substring_index("name", "/", 1).alias("part"),
+        "reference_date",
+        "rows",
+        "loaded",
+        F.array_join("reasons", "; ").alias("reasons"),
+    )
+
+
+@query
+def settlements_by_callable(spark, sf):
+    """Dates from a callable that gets each file's path and fails on the files of one year."""
+
+    def dated(path):
+        text = path.parent.name.partition("=")[2]
+        if text.startswith("1995"):
+            raise ValueError("closed year")
+        return text
+
+    folder = fresh_dir(spark, "drop")
+    star.write_drop(star.settlement_lines(spark, sf), folder)
+    verdicts = csv.judge_and_load(_store(spark, "callable-lake"), folder, dated, recursive=True)
+    return verdicts.select("reference_date", "rows", "loaded", F.array_join("reasons", "; ").alias("reasons"))
+
+
+@query
+def settlement_file_loaded(spark, sf):
+    """All acceptable lines in one file, whose name looks like a pattern."""
+    folder, key = fresh_dir(spark, "single"), F.col("_key")
+    bad = F.col("transaction_id").eqNullSafe("") | F.col("amount").isin("0.00", "abc")
+    lines = star.settlement_lines(spark, sf).filter(~bad)
+    lines.repartition(1).sortWithinPartitions(key, "_seq").drop("_key", "_seq", "file_date").write.option("header", True).csv(folder)
+    _rename_parts(spark, folder, lambda *_: "all[1].csv")
+    store = _store(spark, "single-lake")
+    loaded = csv.load_file(store, f"{folder}/all[1].csv", "1999-01-31")
+    table = store.read(csv.TABLE)
+    return table.select("transaction_id", "reference_date", "amount", "_source_file", F.lit(loaded).cast("long").alias("loaded"))
+
+
 @query
 def settlements_normalized(spark, sf):
     """Amount texts and what they parse to, every distinct pair once."""
@@ -255,9 +320,11 @@ def settlements_normalized(spark, sf):
 def settlements_upsert(spark, sf):
     """A table that is sent again in part, with changed amounts and new rows."""
     store = _store(spark, "upsert-lake")
-    sent = star.settlements(spark, sf)
     number = F.substring("transaction_id", 2, 20).cast("long")
-    again = sent.filter((number % 3 == 0) & (F.year("reference_date") == 1997))
+    # Some have no date: they share the NULL partition.
+    dated = F.when(number % 40 != 1, F.col("reference_date"))
+    sent = star.settlements(spark, sf).withColumn("reference_date", dated)
+    again = sent.filter((number % 3 == 0) & F.coalesce(F.year("reference_date") == 1997, F.lit(True)))
     store.upsert(csv.TABLE, sent.filter(number % 5 != 0), csv.KEYS)
     store.upsert(csv.TABLE, again.withColumn("amount", (F.col("amount") + 10).cast("decimal(18,2)")), csv.KEYS)
     table = store.read(csv.TABLE)
@@ -268,7 +335,7 @@ def settlements_upsert(spark, sf):
 def settlements_union_by_name(spark, sf):
     """Two drops with different columns in different order, read together by name."""
     folder = fresh_dir(spark, "drift")
-    lines = star.settlement_lines(spark, sf).filter("_seq = 0")
+    lines = star.settlement_lines(spark, sf)
     early = F.col("file_date") < "1998-01-01"
     star.write_drop(lines.filter(early).drop("status", "settled_at", "processor_reference"), f"{folder}/a")
     star.write_drop(
@@ -382,8 +449,7 @@ def run_report_calendar(spark, sf):
 
 @query
 def run_report_ordered(spark, sf):
-    window = reports.runs_between(_history(spark, sf), "1996-03-01", "1996-03-31")
-    ordered = reports.in_report_order(window)
+    ordered = reports.in_report_order(_history(spark, sf))
     return ordered.select("reference_date", "run_id", "category", "txn_count", "pct_of_total")
 
 
@@ -505,7 +571,6 @@ def reconcile_runs(spark, sf):
 @query
 def reconcile_audit(spark, sf):
     """Recomputed categories against a stored classification that knows no window."""
-    number = F.substring("transaction_id", 2, 20).cast("long")
     rest = F.col("o_orderkey") % 20
     stored = star.table(spark, sf, "orders").select(
         F.concat(F.lit("T"), F.col("o_orderkey")).alias("transaction_id"),
@@ -516,7 +581,7 @@ def reconcile_audit(spark, sf):
         .alias("category"),
     )
     recomputed = matching.reconcile(star.internal_side(spark, sf), star.processor_side(spark, sf))
-    return matching.audit_categories(stored, recomputed.filter(number % 11 != 0))
+    return matching.audit_categories(stored, recomputed)
 
 
 @query
@@ -631,11 +696,17 @@ def stream_append(spark, sf):
 
 @query
 def stream_upsert(spark, sf):
-    """Events as settlements of their user and day; the last of a day stays."""
-    store = _store(spark, "stream-lake")
-    stream = _events(spark, sf).select(
+    """Events as settlements of their user and day, in two batches; what is sent last stays.
+
+    Some have no day: they share the NULL partition, which the second batch touches too.
+    """
+    store, folder = _store(spark, "stream-lake"), fresh_dir(spark, "stream-files")
+    events = star.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    for half in (0, 1):
+        events.filter(F.col("event_id") % 2 == half).coalesce(1).write.mode("append").parquet(folder)
+    stream = changes.file_stream(spark, folder, EVENTS.replace("timestamp_ntz", "timestamp"), files_per_batch=1).select(
         F.concat(F.lit("U"), F.col("user_id")).alias("transaction_id"),
-        F.col("ts").cast("date").alias("reference_date"),
+        F.when(F.col("event_id") % 40 > 3, F.col("ts").cast("date")).alias("reference_date"),
         F.col("value").alias("amount"),
         "event_id",
     )
@@ -646,17 +717,24 @@ def stream_upsert(spark, sf):
 
 @query
 def stream_current_state(spark, sf):
-    """Change log in several files, one per micro-batch, newest file first."""
+    """Change log in several files, one per micro-batch, so that older changes come late.
+
+    Some events have no user: NULL is a key like the others.
+    """
     folder = fresh_dir(spark, "stream-files")
     log = star.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    log = log.withColumn("user_id", F.when(F.col("event_id") % 50 != 7, F.col("user_id")))
     part = F.pmod(F.col("event_id"), F.lit(3))
     for i in (2, 1, 0):
-        log.filter(part == i).write.mode("append").parquet(folder)
+        log.filter(part == i).coalesce(1).write.mode("append").parquet(folder)
     store = _store(spark, "state-lake")
     schema = EVENTS.replace("timestamp_ntz", "timestamp")
-    stream = changes.file_stream(spark, folder, schema, files_per_batch=4)
+    stream = changes.file_stream(spark, folder, schema, files_per_batch=1)
     handle = changes.merge_changes_handler(store, "state", "user_id", ["ts", "event_id"], buckets=8)
-    changes.batch_stream(stream, handle, fresh_dir(spark, "stream-checkpoint")).awaitTermination()
+    started = changes.batch_stream(stream, handle, fresh_dir(spark, "stream-checkpoint"))
+    started.awaitTermination()
+    if sum(p["numInputRows"] > 0 for p in started.recentProgress) < 2:
+        raise AssertionError("the changes came in one batch, nothing was merged")
     current = store.read("state").filter("event_type <> 'error'")
     return current.select("user_id", "event_id", "event_type", "value")
 
