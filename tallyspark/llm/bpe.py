@@ -17,7 +17,7 @@ from .common import beside, schema_with, slices
 #: Words of up to this many bytes are merged many at a time, longer ones one by one.
 BATCH_BYTES = 256
 #: A worker forgets the words it knows beyond this many.
-KNOWN_WORDS = 1 << 19
+KNOWN_WORDS = 1 << 18
 
 _SHIFT = 32
 _NONE = 1 << 62
