@@ -48,8 +48,10 @@ def reconcile(
     file with every internal row of its window, so an internal row appears once for every
     run date within reach.
 
-    The join is an equi-join that carries the window as a further condition; with the keys
-    above a join key holds at most one internal row and one processor row per date.
+    The join is an equi-join that carries the window as a further condition. In scope "run"
+    internal rows are not multiplied before they are shuffled: the processor side takes its
+    partners in one join, and what no file of a date within reach has comes from a second
+    one with the dates per transaction, after which the days are laid out in the same stage.
     """
     ours = _keyed(internal, 1, "i").select(
         "i_key",
@@ -70,11 +72,7 @@ def reconcile(
     if scope == "run":
         run_dates = theirs.select(F.col("p_date").alias("i_run")).distinct()
         reach = F.sequence("i_date", F.date_add("i_date", window_days))
-        # One row per calendar date, hence broadcast whatever the volume.
-        ours = ours.withColumn("i_run", F.explode(reach)).join(
-            F.broadcast(run_dates), "i_run", "left_semi"
-        )
-        in_window = F.col("i_run") == F.col("p_date")
+        in_window = F.col("p_date").between(F.col("i_date"), F.date_add("i_date", window_days))
         anchor = F.coalesce("p_date", "i_run")
     elif scope == "transaction":
         in_window = F.col("i_date").between(F.date_sub("p_date", window_days), F.col("p_date"))
@@ -92,7 +90,18 @@ def reconcile(
         .when(difference <= F.lit(tolerance).cast("decimal(18,2)"), MATCHED)
         .otherwise(MISMATCHED)
     )
-    return ours.join(theirs, same, "full_outer").select(
+    if scope == "run":
+        days = theirs.groupBy(F.col("p_key").alias("i_key"), F.col("p_side").alias("i_side")).agg(
+            F.collect_set("p_date").alias("p_days")
+        )
+        free = F.array_except(reach, F.coalesce("p_days", F.array().cast("array<date>")))
+        alone = ours.join(days, ["i_key", "i_side"], "left").withColumn("i_run", F.explode(free)).drop("p_days")
+        # One row per calendar date, hence broadcast whatever the volume.
+        alone = alone.join(F.broadcast(run_dates), "i_run", "left_semi")
+        joined = theirs.join(ours, same, "left").unionByName(alone, allowMissingColumns=True)
+    else:
+        joined = ours.join(theirs, same, "full_outer")
+    return joined.select(
         F.coalesce("i_id", "p_id").alias("transaction_id"),
         anchor.alias("reference_date"),
         F.coalesce("i_merchant", "p_merchant").alias("merchant_id"),

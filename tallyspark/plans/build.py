@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from tallyspark.plans import marts
 from tallyspark.plans.curated import merchants_unique, results_current, runs_latest
-from tallyspark.plans.incremental import keep_closed_weeks
+from tallyspark.plans.incremental import keep_closed_weeks, open_runs
 from tallyspark.sources.store import Store, delete_path, stage
 
 logger = logging.getLogger(__name__)
@@ -48,15 +48,17 @@ def build_gold(store: Store, as_of: str | None = None) -> dict[str, str]:
     """
     store.require(*SILVER)
     runs, results, company = (store.read(n) for n in SILVER)
-    bare = results_current(runs, results)
-    current = bare
+    counted = None
     if not merchants_unique(company):
         logger.warning("merchant_id is not unique in the company table: its results count more than once")
-        current = results_current(runs, results, company)
+        counted = company
+    current = results_current(runs, results, counted)
 
-    def weekly(name: str, fresh: DataFrame) -> DataFrame:
+    def weekly(name: str, mart: Callable[[DataFrame], DataFrame], joined: DataFrame | None) -> DataFrame:
         if as_of is None or not store.exists(name):
-            return store.replace(name, fresh)
+            return store.replace(name, mart(results_current(runs, results, joined)))
+        # Results of closed weeks fall out before they are joined and summed.
+        fresh = mart(results_current(open_runs(runs, store.read(name), as_of), results, joined))
         kept, folder = stage(keep_closed_weeks(store.read(name), fresh, as_of), name)
         table = store.replace(name, kept)
         delete_path(store.spark, folder)
@@ -64,13 +66,12 @@ def build_gold(store: Store, as_of: str | None = None) -> dict[str, str]:
 
     summary, ranking = "gold_cfo_weekly_summary", "gold_cfo_weekly_merchant_ranking"
     daily, trend = "gold_ops_reconciliation_daily", "gold_ops_reconciliation_trend"
-    risk = marts.cfo_weekly_merchant_ranking(bare, company)
     steps: dict[str, Callable[[], DataFrame]] = {
         daily: lambda: store.replace(daily, marts.ops_daily(runs, current)),
         trend: lambda: store.replace(trend, marts.ops_trend(store.read(daily))),
         "gold_ops_run_history": lambda: store.replace("gold_ops_run_history", marts.run_history(runs, results)),
-        summary: lambda: weekly(summary, marts.cfo_weekly_summary(current)),
-        ranking: lambda: weekly(ranking, risk),
+        summary: lambda: weekly(summary, marts.cfo_weekly_summary, counted),
+        ranking: lambda: weekly(ranking, lambda rows: marts.cfo_weekly_merchant_ranking(rows, company), None),
         "gold_compliance_ledger": lambda: marts.compliance_ledger(runs, results, company),
     }
     built = {}

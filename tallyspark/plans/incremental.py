@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyspark.functions.dates import week_end
+from tallyspark.functions.dates import week_end, week_start
 from tallyspark.plans.curated import results_current, winning_runs
 from tallyspark.plans.marts import TREND_ROWS, ops_daily, ops_trend
 from tallyspark.sources.store import Store, delete_path, in_partitions, same_keys, stage
@@ -75,6 +75,14 @@ def refresh_ops(
     delete_path(store.spark, reached_dir)
 
 
+def open_runs(runs: DataFrame, frozen: DataFrame, as_of: str) -> DataFrame:
+    """Runs outside the weeks that are stored and ended before ``as_of``: only these are aggregated anew."""
+    closed = frozen.filter(week_end(F.col("week_start")) < F.lit(as_of).cast("date"))
+    weeks = closed.select(F.col("week_start").alias("_week")).distinct()
+    # One row per calendar week.
+    return runs.join(F.broadcast(weeks), week_start(F.col("reference_date")) == F.col("_week"), "left_anti")
+
+
 def keep_closed_weeks(frozen: DataFrame, fresh: DataFrame, as_of: str) -> DataFrame:
     """Weeks that ended before ``as_of`` and were stored stay; the rest is taken fresh."""
     closed = frozen.filter(week_end(F.col("week_start")) < F.lit(as_of).cast("date"))
