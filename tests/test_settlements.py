@@ -72,9 +72,9 @@ def test_last_occurrence_wins_across_splits(spark, store, tmp_path):
     [
         (line(amount="0.00"), "amount is zero or less"),
         (line(amount="-5.00"), "amount is zero or less"),
-        (line(txn=""), "transaction_ids"),
-        (line(txn="  "), "transaction_ids"),
-        (line(merchant=""), "merchant_ids"),
+        (line(txn=""), "transaction_id is blank"),
+        (line(txn="  "), "transaction_id is blank"),
+        (line(merchant=""), "merchant_id is blank"),
         (line(amount="abc"), "Unreadable amounts"),
         (line(amount=""), "Missing amounts"),
         (line(status="PENDING"), "Unknown statuses"),
