@@ -280,9 +280,9 @@ SEEDS = 16
 CANDIDATE_BITS = 16
 #: A unit with more fingerprints is joined in runs of this length first, and the rest once links are known.
 RUN_ROWS = 512
-#: Share of all bits of all fingerprints beyond which a pair is not compared. At a resemblance of 0.8 a fifth of the
-#: bits differ at most, give or take a hundredth; of unlike texts one half does.
-FAR_SHARE = 0.34
+#: Differing bits of the next fingerprint beyond which a pair is no candidate. At a resemblance of 0.8 twelve of 64 differ
+#: at most, give or take three; of unlike texts one half does.
+NEXT_BITS = 26
 #: Pairs that a small unit tells at once, per fingerprint.
 TOLD_PAIRS = 4
 
@@ -320,7 +320,10 @@ def _sets(docs: DataFrame, words: int, seeds: int) -> DataFrame:
 
 
 def _bands(nodes: DataFrame, seeds: int) -> DataFrame:
-    """A row for each fingerprint and block turned to the front: (band, head, v, node, root)."""
+    """A row for each fingerprint and block turned to the front: (unit, v, next, node, root).
+
+    The unit is the trie node at depth 16, `next` is another fingerprint, in which the trie goes on below the first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,15 +332,17 @@ def _bands(nodes: DataFrame, seeds: int) -> DataFrame:
                 n = part.num_rows
                 v = np.frombuffer(b"".join(part.column("prints").to_pylist()), "<u8").reshape(n, seeds)
                 turned = [v if r == 0 else (v << np.uint64(16 * r)) | (v >> np.uint64(64 - 16 * r)) for r in range(4)]
+                after = np.repeat(np.roll(v, -1, axis=1), 4, axis=1).reshape(-1)
                 v = np.stack(turned, 2).reshape(-1)
                 band = np.tile(np.arange(4 * seeds, dtype=np.int64), n)
                 unit = (band << 16) | (v >> np.uint64(48)).astype(np.int64)
                 each = [np.repeat(part.column(c).to_numpy(), 4 * seeds) for c in ("node", "root")]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(unit), pa.array(v.view(np.int64)), *map(pa.array, each)], names=["unit", "v", "node", "root"]
+                    [pa.array(unit), pa.array(v.view(np.int64)), pa.array(after.view(np.int64)), *map(pa.array, each)],
+                    names=["unit", "v", "next", "node", "root"],
                 )
 
-    return nodes.select("prints", "node", "root").mapInArrow(run, "unit long, v long, node long, root long")
+    return nodes.select("prints", "node", "root").mapInArrow(run, "unit long, v long, next long, node long, root long")
 
 
 def _nearest_forest(n: int, a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -363,6 +368,8 @@ def _nearest_forest(n: int, a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> n
 def _unit_pairs(units: DataFrame, bits: int, apart: bool) -> DataFrame:
     """Candidate pairs (a, b, bits) of all units, and (unit, -1, -1) for units that have more to tell.
 
+    The pairs of a unit that has more to tell have negative bits (-1 - bits).
+
     First (`apart` False) a unit tells a forest of its nearest pairs, or all of them if they are few; a large unit does
     so for runs in the order of its trie, linked end to end. Then (`apart` True) it tells all pairs whose roots differ.
     """
@@ -378,18 +385,21 @@ def _unit_pairs(units: DataFrame, bits: int, apart: bool) -> DataFrame:
         value = rows[:, 1].astype(np.int64).view(np.uint64)
         order = np.lexsort((rows[:, 2], value, rows[:, 0]))
         rows, value = rows[order], value[order]
+        after = rows[:, 4].astype(np.int64).view(np.uint64)
         starts = np.flatnonzero(np.r_[True, rows[1:, 0] != rows[:-1, 0]])
         ends = np.r_[starts[1:], len(rows)]
         many = ends - starts > 1
         starts, ends = starts[many], ends[many]
         if apart:
-            found = [_across(rows, value, s, e, bits) for s, e in zip(starts.tolist(), ends.tolist())]
+            found = [_across(rows, value, after, s, e, bits) for s, e in zip(starts.tolist(), ends.tolist())]
             x = np.concatenate([f[0] for f in found] or [np.empty(0, np.int64)])
             y = np.concatenate([f[1] for f in found] or [np.empty(0, np.int64)])
             more = np.empty(0, np.int64)
         else:
             firsts = runs_of(starts, ends)
             x, y = trie_pairs(value, firsts, bits)
+            near = np.bitwise_count(after[x] ^ after[y]) <= NEXT_BITS
+            x, y = x[near], y[near]
             differ = np.bitwise_count(value[x] ^ value[y]).astype(np.int64)
             unit_of = np.searchsorted(starts, x, "right") - 1
             pairs = np.bincount(unit_of, minlength=len(starts))
@@ -404,6 +414,7 @@ def _unit_pairs(units: DataFrame, bits: int, apart: bool) -> DataFrame:
         differ = np.bitwise_count(value[x] ^ value[y]).astype(np.int64)
         a, b = np.minimum(rows[x, 2], rows[y, 2]), np.maximum(rows[x, 2], rows[y, 2])
         none = np.full(len(more), -1, np.int64)
+        differ = np.where(np.isin(rows[x, 0], more), -1 - differ, differ)
         columns = (np.r_[rows[x, 0], more], np.r_[a, none], np.r_[b, none], np.r_[differ, none])
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["unit", "a", "b", "bits"])
 
@@ -412,7 +423,7 @@ def _unit_pairs(units: DataFrame, bits: int, apart: bool) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(np.stack([batch.column(c).to_numpy() for c in ("unit", "v", "node", "root")], 1))
+            held.append(np.stack([batch.column(c).to_numpy() for c in ("unit", "v", "node", "root", "next")], 1))
             count += batch.num_rows
             if count >= CHUNK_ROWS:
                 rows = np.concatenate(held)
@@ -428,7 +439,7 @@ def _unit_pairs(units: DataFrame, bits: int, apart: bool) -> DataFrame:
     return dealt.mapInArrow(run, "unit long, a long, b long, bits long")
 
 
-def _across(rows: np.ndarray, value: np.ndarray, start: int, end: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _across(rows: np.ndarray, value: np.ndarray, after: np.ndarray, start: int, end: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one unit within the bits whose roots differ; rows of the largest component are not paired among themselves."""
     roots, sizes = np.unique(rows[start:end, 3], return_counts=True)
     if len(roots) < 2:
@@ -440,6 +451,7 @@ def _across(rows: np.ndarray, value: np.ndarray, start: int, end: int, bits: int
     for i in range(0, len(rest), step):
         part = rest[i : i + step]
         near = np.bitwise_count(value[part][:, None] ^ value[None, start:end]) <= bits
+        near &= np.bitwise_count(after[part][:, None] ^ after[None, start:end]) <= NEXT_BITS
         near &= rows[part, 3][:, None] != rows[None, start:end, 3]
         p, q = np.nonzero(near)
         x.append(part[p])
@@ -447,22 +459,6 @@ def _across(rows: np.ndarray, value: np.ndarray, start: int, end: int, bits: int
     return np.concatenate(x), np.concatenate(y)
 
 
-def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs whose fingerprints, taken together, do not rule the resemblance out."""
-    left = nodes.select(F.col("node").alias("a"), F.col("prints").alias("x"))
-    right = nodes.select(F.col("node").alias("b"), F.col("prints").alias("y"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in "xy")
-                near = np.bitwise_count(x ^ y).sum(1, dtype=np.int64) <= FAR_SHARE * 64 * x.shape[1]
-                yield batch.select(names).filter(pa.array(near))
-
-    names = pairs.columns
-    return pairs.join(left, "a").join(right, "b").select(*names, "x", "y").mapInArrow(run, pairs.schema)
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) whose shingle sets resemble each other that much, by the sets themselves."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -500,8 +496,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, se
     found = written(
         _unit_pairs(_bands(nodes.withColumn("root", F.col("node")), seeds), CANDIDATE_BITS, False), "candidates"
     )
-    pairs = found.where("a >= 0").groupBy("a", "b").agg(F.min("bits").alias("bits"), F.count("*").alias("n"))
-    pairs = written(_plausible(pairs, nodes), "pairs")
+    bits = F.when(F.col("bits") < 0, -1 - F.col("bits")).otherwise(F.col("bits"))
+    pairs = found.where("a >= 0").groupBy("a", "b").agg(
+        F.min(bits).alias("bits"), F.count("*").alias("n"), F.max("bits").alias("open")
+    )
+    pairs = written(pairs, "pairs")
     # The nearest partner of each text first: that joins large groups with few comparisons.
     best = pairs.groupBy(F.col("b").alias("node")).agg(F.max(F.struct("n", F.negative("bits"), F.negative("a"))).alias("m"))
     chosen = best.select(F.negative(F.col("m").getField("col3")).alias("a"), F.col("node").alias("b"))
@@ -520,7 +519,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, se
         return some.join(left, "a").join(right, "b").where("_ra != _rb").select("a", "b")
 
     now = rooted(links)
-    rest = written(still_apart(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"), now), "rest")
+    # Crowded nodes are asked again below, so only what the others told is looked at here.
+    rest = written(still_apart(pairs.where("open >= 0").select("a", "b").join(tried, ["a", "b"], "left_anti"), now), "rest")
     links = links.union(written(_verified(rest, hashes, similarity), "links"))
     tried = tried.union(rest)
     crowded = found.where("a < 0").select("unit").distinct()
@@ -529,7 +529,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, se
         labelled = nodes.select("node", "prints").join(now.select("node", "root"), "node")
         units = _bands(labelled, seeds).join(crowded, "unit", "left_semi")
         others = _unit_pairs(units, CANDIDATE_BITS, True).select("a", "b").distinct()
-        rest = written(_plausible(others.join(tried, ["a", "b"], "left_anti"), nodes), "rest")
+        rest = written(others.join(tried, ["a", "b"], "left_anti"), "rest")
         links = links.union(written(_verified(rest, hashes, similarity), "links"))
     now = rooted(links)
     heads = now.groupBy("root").agg(F.min("first").alias("head"))
