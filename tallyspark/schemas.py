@@ -27,13 +27,6 @@ SETTLEMENT_COLUMNS = (
     "status",
 )
 
-TRANSACTIONS_RAW = (
-    "id long, transaction_id string, merchant_id string, amount double, currency string, "
-    "status string, description string, created_at string, updated_at string, "
-    "Op string, _timestamp string"
-)
-TRANSACTIONS_RAW_DRIFTED = TRANSACTIONS_RAW + ", payment_method string"
-
 RUNS_RAW = (
     "id long, reference_date string, file_name string, status string, "
     "total_transactions long, started_at string, completed_at string, created_at string, "

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tallyspark.operators.cdc import (
     latest_state,
-    null_count,
     require_timestamps,
     typed_company,
     typed_results,
@@ -17,7 +16,7 @@ from tallyspark.operators.cdc import (
     union_batches,
 )
 from tallyspark.schemas import COMPANY_RAW, RESULTS_RAW, RUNS_RAW
-from tallyspark.sources.store import Store, path_exists
+from tallyspark.sources.store import Store, delete_path, path_exists, stage
 
 logger = logging.getLogger(__name__)
 
@@ -71,13 +70,21 @@ def land(store: Store, name: str, path: str) -> int:
 
 
 def _seed(store: Store, raw: str, silver: str, typed: DataFrame) -> int:
-    written = Observation(silver)
-    table = store.replace(silver, typed.observe(written, F.count("*").alias("n")))
-    # Uniqueness of id comes with the ranking; what is left of a primary key is NOT NULL.
-    if null_count(table, "id"):
-        raise ValueError(f"{silver}: id is NULL in {null_count(table, 'id')} row(s)")
-    logger.info("%s: %d rows from %s", silver, written.get["n"], raw)
-    return written.get["n"]
+    """Publish a silver table once its staged rows have passed; a bad log leaves the old table.
+
+    Uniqueness of id comes with the ranking; what is left of a primary key is NOT NULL.
+    """
+    seen = Observation(silver)
+    missing = F.count_if(F.col("id").isNull())
+    staged, folder = stage(typed.observe(seen, F.count("*").alias("n"), missing.alias("missing")), f"seed-{silver}")
+    try:
+        if seen.get["missing"]:
+            raise ValueError(f"{silver}: id is NULL in {seen.get['missing']} row(s)")
+        store.replace(silver, staged)
+    finally:
+        delete_path(store.spark, folder)
+    logger.info("%s: %d rows from %s", silver, seen.get["n"], raw)
+    return seen.get["n"]
 
 
 def seed_reconciliation(

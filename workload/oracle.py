@@ -150,8 +150,14 @@ SELECT (SELECT count(*) FROM log) AS raw, (SELECT count(*) FROM kept) AS final,
   (SELECT count(*) FROM log) - (SELECT count(*) FROM kept) AS removed"""
 
 ORACLE["cdc_null_timestamps"] = _with(EVENT_LOG) + """
-SELECT CASE WHEN _timestamp < '2024-01-20' THEN 1 ELSE 2 END AS batch, count(*) AS rows,
-  count(*) - count(_timestamp) AS missing FROM log GROUP BY ALL"""
+SELECT concat('_timestamp is NULL in ', count(*), ' row(s); the latest change is undecidable') AS said, false AS published
+FROM log WHERE id % 9 = 4"""
+
+ORACLE["extracts_landed"] = _with(RUNS, COMPANY) + """
+SELECT 'raw_reconciliation_runs' AS artifact, n AS landed, n AS rows, 0 AS no_id FROM (
+  SELECT count(*) + count(*) FILTER (status <> 'IN_PROGRESS') + count(*) FILTER (id % 50 = 0) AS n FROM runs)
+UNION ALL SELECT 'raw_reconciliation_results', count(*), count(*), 0 FROM lineitem
+UNION ALL SELECT 'raw_enterprise_company', count(*), count(*), 0 FROM company"""
 
 ORACLE["silver_runs"] = _with(RUNS) + f"""
 SELECT id, reference_date, file_name,
@@ -390,6 +396,10 @@ TOTALS = """totals AS (
 
 ORACLE["cfo_category_totals"] = _with(*TO_WEEKLY, TOTALS) + "SELECT * FROM totals"
 
+ORACLE["cfo_category_texts"] = _with(*TO_WEEKLY, TOTALS) + """
+SELECT category, 'R$ ' || format('{:,.2f}', CAST(amount_brl AS DOUBLE)) AS amount, format('{:,}', CAST(txn_count AS BIGINT)) AS transactions
+FROM totals"""
+
 ORACLE["cfo_headline"] = _with(*TO_WEEKLY, TOTALS) + """
 SELECT CAST(sum(amount_brl) AS DECIMAL(38,2)) AS total_brl, CAST(sum(txn_count) AS BIGINT) AS total_txn
 FROM totals"""

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyspark.functions.amounts import normalize_amount
+from tallyspark.functions.text import money, thousands
 from tallyspark.operators import cdc, profile, quality, reconcile as matching
 from tallyspark.plans import alerts, build, checks, curated, incremental, marts, reports
 from tallyspark.session import configure, fresh_dir
@@ -85,27 +87,46 @@ def transactions_loaded(spark, sf):
     return store.read("raw_transactions")
 
 
+def _written_batches(spark: SparkSession, sf: str, change=lambda batch: batch) -> list[str]:
+    paths = []
+    for batch in star.transaction_batches(spark, sf):
+        paths.append(fresh_dir(spark, "batch"))
+        change(batch).write.parquet(paths[-1])
+    return paths
+
+
 @query
 def cdc_load_accounting(spark, sf):
-    """Raw, final and removed rows of a load, from one pass over the log."""
-    log = cdc.union_batches(star.transaction_batches(spark, sf))
-    per_key = log.groupBy("transaction_id").agg(
-        F.count("*").alias("raw"),
-        F.max_by(F.coalesce(F.col("Op"), F.lit("D")) != "D", F.struct("_timestamp", "id")).alias("kept"),
-    )
-    return per_key.agg(
-        F.sum("raw").alias("raw"), F.count_if("kept").alias("final")
-    ).withColumn("removed", F.col("raw") - F.col("final"))
+    """Raw, final and removed rows, as the load returns them."""
+    counts = changelog.load_transactions(_store(spark, "counted-lake"), _written_batches(spark, sf))
+    return spark.sql(f"SELECT {counts['raw']}L AS raw, {counts['final']}L AS final, {counts['removed']}L AS removed")
 
 
 @query
 def cdc_null_timestamps(spark, sf):
-    """Rows per batch whose change time is missing (none may be)."""
-    first, second = star.transaction_batches(spark, sf)
-    log = cdc.union_batches([first.withColumn("batch", F.lit(1)), second.withColumn("batch", F.lit(2))])
-    return log.groupBy("batch").agg(
-        F.count("*").alias("rows"), F.count_if(F.col("_timestamp").isNull()).alias("missing")
-    )
+    """What the load says to a log in which some changes have no time; nothing is published."""
+    store = _store(spark, "rejected-lake")
+    holes = F.when(F.col("id") % 9 != 4, F.col("_timestamp"))
+    paths = _written_batches(spark, sf, lambda batch: batch.withColumn("_timestamp", holes))
+    try:
+        changelog.load_transactions(store, paths)
+        said = None
+    except ValueError as exc:
+        said = str(exc)
+    return spark.sql("SELECT :said AS said, :published AS published", {"said": said, "published": store.exists("raw_transactions")})
+
+
+@query
+def extracts_landed(spark, sf):
+    """Extracts copied as they are, with the row count that the copy returns, and what the table holds."""
+    store, counts = _store(spark, "landed-lake"), []
+    logs = {"raw_reconciliation_runs": star.runs_log, "raw_reconciliation_results": star.results_log, "raw_enterprise_company": star.supplier_log}
+    for name, log in logs.items():
+        path = fresh_dir(spark, "extract")
+        log(spark, sf).write.parquet(path)
+        landed = changelog.land(store, name, path)
+        counts.append(store.read(name).agg(F.lit(name).alias("artifact"), F.lit(landed).cast("long").alias("landed"), F.count("*").alias("rows"), F.count_if(F.col("id").isNull()).alias("no_id")))
+    return reduce(DataFrame.union, counts)
 
 
 @query
@@ -391,6 +412,13 @@ def cfo_category_totals(spark, sf):
     return reports.category_totals(_weekly(spark, sf))
 
 
+@query
+def cfo_category_texts(spark, sf):
+    """Category totals as a report prints them."""
+    totals = reports.category_totals(_weekly(spark, sf))
+    return totals.select("category", money(F.col("amount_brl")).alias("amount"), thousands(F.col("txn_count")).alias("transactions"))
+
+
 @query
 def cfo_headline(spark, sf):
     return reports.headline(reports.category_totals(_weekly(spark, sf)))
