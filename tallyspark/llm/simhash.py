@@ -285,6 +285,11 @@ RUN_ROWS = 512
 NEXT_BITS = 26
 #: Pairs that a small unit tells at once, per fingerprint.
 TOLD_PAIRS = 4
+#: Rows that a task looks for nearest pairs in at a time.
+NEAR_ROWS = 20_000
+#: Texts and hashes in one of the two blocks whose sets a task compares at a time.
+BLOCK_ROWS = 1000
+BLOCK_HASHES = 1_000_000
 
 
 def seeded_fingerprints(hashes: np.ndarray, seeds: int) -> np.ndarray:
@@ -320,7 +325,7 @@ def _sets(docs: DataFrame, words: int, seeds: int) -> DataFrame:
 
 
 def _bands(nodes: DataFrame, seeds: int) -> DataFrame:
-    """A row for each fingerprint and block turned to the front: (unit, v, next, node, root).
+    """A row for each fingerprint and block turned to the front: (unit, v, next, node).
 
     The unit is the trie node at depth 16, `next` is another fingerprint, in which the trie goes on below the first.
     """
@@ -336,13 +341,13 @@ def _bands(nodes: DataFrame, seeds: int) -> DataFrame:
                 v = np.stack(turned, 2).reshape(-1)
                 band = np.tile(np.arange(4 * seeds, dtype=np.int64), n)
                 unit = (band << 16) | (v >> np.uint64(48)).astype(np.int64)
-                each = [np.repeat(part.column(c).to_numpy(), 4 * seeds) for c in ("node", "root")]
+                node = np.repeat(part.column("node").to_numpy(), 4 * seeds)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(unit), pa.array(v.view(np.int64)), pa.array(after.view(np.int64)), *map(pa.array, each)],
-                    names=["unit", "v", "next", "node", "root"],
+                    [pa.array(unit), pa.array(v.view(np.int64)), pa.array(after.view(np.int64)), pa.array(node)],
+                    names=["unit", "v", "next", "node"],
                 )
 
-    return nodes.select("prints", "node", "root").mapInArrow(run, "unit long, v long, next long, node long, root long")
+    return nodes.select("prints", "node").mapInArrow(run, "unit long, v long, next long, node long")
 
 
 def _nearest_forest(n: int, a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -365,13 +370,12 @@ def _nearest_forest(n: int, a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> n
     return np.concatenate(kept) if kept else np.empty(0, np.int64)
 
 
-def _unit_pairs(units: DataFrame, bits: int, apart: bool) -> DataFrame:
-    """Candidate pairs (a, b, bits) of all units, and (unit, -1, -1) for units that have more to tell.
+def _unit_pairs(units: DataFrame, bits: int) -> DataFrame:
+    """Candidate pairs (a, b, bits) of all units, (unit, -1, -1) for units that have more to tell, (unit, node, -2) for ends.
 
-    The pairs of a unit that has more to tell have negative bits (-1 - bits).
-
-    First (`apart` False) a unit tells a forest of its nearest pairs, or all of them if they are few; a large unit does
-    so for runs in the order of its trie, linked end to end. Then (`apart` True) it tells all pairs whose roots differ.
+    The pairs of a unit that has more to tell have negative bits (-1 - bits). A unit tells a forest of its nearest pairs,
+    or all of them if they are few; a large unit does so for runs in the order of its trie, linked end to end. Rows are
+    dealt by ranges, so that several tasks may hold a part of one unit; each tells its first and its last unit as ends.
     """
 
     def runs_of(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -381,82 +385,196 @@ def _unit_pairs(units: DataFrame, bits: int, apart: bool) -> DataFrame:
         lo = starts[of] + nth * RUN_ROWS
         return np.stack([lo, np.minimum(lo + RUN_ROWS, ends[of]), lo, np.minimum(lo + RUN_ROWS, ends[of]), 0 * lo, 0 * lo + 16], 1)
 
-    def told(rows: np.ndarray) -> pa.RecordBatch:
+    def batch_of(unit: np.ndarray, a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (unit, a, b, bits)], names=["unit", "a", "b", "bits"])
+
+    def told(rows: np.ndarray, cut: set[int]) -> pa.RecordBatch:
+        """`cut` are units of which other rows were or will be told apart from these."""
         value = rows[:, 1].astype(np.int64).view(np.uint64)
         order = np.lexsort((rows[:, 2], value, rows[:, 0]))
         rows, value = rows[order], value[order]
-        after = rows[:, 4].astype(np.int64).view(np.uint64)
+        after = rows[:, 3].astype(np.int64).view(np.uint64)
         starts = np.flatnonzero(np.r_[True, rows[1:, 0] != rows[:-1, 0]])
         ends = np.r_[starts[1:], len(rows)]
         many = ends - starts > 1
         starts, ends = starts[many], ends[many]
-        if apart:
-            found = [_across(rows, value, after, s, e, bits) for s, e in zip(starts.tolist(), ends.tolist())]
-            x = np.concatenate([f[0] for f in found] or [np.empty(0, np.int64)])
-            y = np.concatenate([f[1] for f in found] or [np.empty(0, np.int64)])
-            more = np.empty(0, np.int64)
-        else:
-            firsts = runs_of(starts, ends)
-            x, y = trie_pairs(value, firsts, bits)
-            near = np.bitwise_count(after[x] ^ after[y]) <= NEXT_BITS
-            x, y = x[near], y[near]
-            differ = np.bitwise_count(value[x] ^ value[y]).astype(np.int64)
-            unit_of = np.searchsorted(starts, x, "right") - 1
-            pairs = np.bincount(unit_of, minlength=len(starts))
-            size = ends - starts
-            dense = (pairs > TOLD_PAIRS * size) | (size > RUN_ROWS)
-            inner = np.flatnonzero(dense[unit_of])
-            keep = np.r_[np.flatnonzero(~dense[unit_of]), inner[_nearest_forest(len(value), x[inner], y[inner], differ[inner])]]
-            joints = firsts[:-1, 1][firsts[:-1, 1] == firsts[1:, 0]] if len(firsts) > 1 else np.empty(0, np.int64)
-            joints = joints[rows[joints, 0] == rows[joints - 1, 0]]
-            x, y = np.r_[x[keep], joints - 1], np.r_[y[keep], joints]
-            more = rows[starts[dense], 0]
+        firsts = runs_of(starts, ends)
+        x, y = trie_pairs(value, firsts, bits)
+        near = np.bitwise_count(after[x] ^ after[y]) <= NEXT_BITS
+        x, y = x[near], y[near]
+        differ = np.bitwise_count(value[x] ^ value[y]).astype(np.int64)
+        unit_of = np.searchsorted(starts, x, "right") - 1
+        pairs = np.bincount(unit_of, minlength=len(starts))
+        size = ends - starts
+        dense = (pairs > TOLD_PAIRS * size) | (size > RUN_ROWS) | np.isin(rows[starts, 0], list(cut))
+        inner = np.flatnonzero(dense[unit_of])
+        keep = np.r_[np.flatnonzero(~dense[unit_of]), inner[_nearest_forest(len(value), x[inner], y[inner], differ[inner])]]
+        joints = firsts[:-1, 1][firsts[:-1, 1] == firsts[1:, 0]] if len(firsts) > 1 else np.empty(0, np.int64)
+        joints = joints[rows[joints, 0] == rows[joints - 1, 0]]
+        x, y = np.r_[x[keep], joints - 1], np.r_[y[keep], joints]
+        more = rows[starts[dense], 0]
         differ = np.bitwise_count(value[x] ^ value[y]).astype(np.int64)
         a, b = np.minimum(rows[x, 2], rows[y, 2]), np.maximum(rows[x, 2], rows[y, 2])
         none = np.full(len(more), -1, np.int64)
         differ = np.where(np.isin(rows[x, 0], more), -1 - differ, differ)
-        columns = (np.r_[rows[x, 0], more], np.r_[a, none], np.r_[b, none], np.r_[differ, none])
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["unit", "a", "b", "bits"])
+        return batch_of(np.r_[rows[x, 0], more], np.r_[a, none], np.r_[b, none], np.r_[differ, none])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count = [], 0
+        held, count, first, cut = [], 0, None, set()
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(np.stack([batch.column(c).to_numpy() for c in ("unit", "v", "node", "root", "next")], 1))
-            count += batch.num_rows
-            if count >= CHUNK_ROWS:
-                rows = np.concatenate(held)
-                cut = np.flatnonzero(rows[1:, 0] != rows[:-1, 0])
-                if len(cut):
-                    yield told(rows[: cut[-1] + 1])
-                    rows = rows[cut[-1] + 1 :]
-                held, count = [rows], len(rows)
+            for start in range(0, batch.num_rows, NEAR_ROWS):
+                part = batch.slice(start, NEAR_ROWS)
+                held.append(np.stack([part.column(c).to_numpy() for c in ("unit", "v", "node", "next")], 1))
+                count += part.num_rows
+                first = held[0][0] if first is None else first
+                if count >= NEAR_ROWS:
+                    rows = np.concatenate(held)
+                    last = np.flatnonzero(rows[1:, 0] != rows[:-1, 0])
+                    if len(last):
+                        yield told(rows[: last[-1] + 1], cut)
+                        rows, cut = rows[last[-1] + 1 :], set()
+                    if len(rows) >= NEAR_ROWS:
+                        # One unit fills the chunk: its last row goes on, so that the parts are linked end to end.
+                        cut = {int(rows[0, 0])}
+                        yield told(rows, cut)
+                        rows = rows[-1:]
+                    held, count = [rows], len(rows)
         if count:
-            yield told(np.concatenate(held))
+            rows = np.concatenate(held)
+            yield told(rows, cut)
+            ends = np.stack([first, rows[-1]])
+            yield batch_of(ends[:, 0], ends[:, 2], np.full(2, -2), np.full(2, -1))
 
-    dealt = units.repartition("unit").sortWithinPartitions("unit")
+    dealt = units.repartitionByRange("unit", "v").sortWithinPartitions("unit", "v")
     return dealt.mapInArrow(run, "unit long, a long, b long, bits long")
 
 
-def _across(rows: np.ndarray, value: np.ndarray, after: np.ndarray, start: int, end: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one unit within the bits whose roots differ; rows of the largest component are not paired among themselves."""
-    roots, sizes = np.unique(rows[start:end, 3], return_counts=True)
-    if len(roots) < 2:
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common elements of each set on the left with each on the right.
+
+    Elements that many pairs share are counted by products of 0/1 matrices, the others pair by pair, both in parts.
+    """
+    n, m = len(left), len(right)
+    out = np.zeros(n * m, np.int32)
+    _, all_ids = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    cut = sum(map(len, left))
+    p = np.repeat(np.arange(n), list(map(len, left)))
+    q = np.repeat(np.arange(m), list(map(len, right)))
+    x, y = all_ids[:cut], all_ids[cut:]
+    kinds = int(all_ids.max(initial=-1)) + 1
+    times = np.bincount(x, minlength=kinds) * np.bincount(y, minlength=kinds)
+    heavy = np.flatnonzero(times * 64 > n * m)
+    place = np.full(kinds, -1)
+    for i in range(0, len(heavy), 1024):
+        some = heavy[i : i + 1024]
+        place[some] = np.arange(len(some))
+        a, b = np.zeros((n, len(some)), np.float32), np.zeros((m, len(some)), np.float32)
+        on = place[x] >= 0
+        a[p[on], place[x[on]]] = 1
+        on = place[y] >= 0
+        b[q[on], place[y[on]]] = 1
+        out += (a @ b.T).astype(np.int32).reshape(-1)
+        place[some] = -1
+    light = (times > 0) & (times * 64 <= n * m)
+    on = light[y]
+    order = np.argsort(y[on], kind="stable")
+    y, q = y[on][order], q[on][order]
+    p, x = p[light[x]], x[light[x]]
+    low, high = np.searchsorted(y, x, "left"), np.searchsorted(y, x, "right")
+    ends = np.cumsum(high - low)
+    start = 0
+    while start < len(x):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + (1 << 20), "right")))
+        sizes = (high - low)[start:stop]
+        nth = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at = np.repeat(p[start:stop], sizes) * m + q[np.repeat(low[start:stop], sizes) + nth]
+        out += np.bincount(at, minlength=n * m).astype(np.int32)
+        start = stop
+    return out.reshape(n, m)
+
+
+def _alike_links(node: np.ndarray, root: np.ndarray, side: np.ndarray, sets: list[np.ndarray], alone: bool, similarity: float):
+    """Positions of links that span all alike pairs of different roots between the sides, or within if there is one."""
+    if len(np.unique(root)) < 2:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    left = np.arange(len(node)) if alone else np.flatnonzero(side == 0)
+    right = left if alone else np.flatnonzero(side == 1)
+    if not (len(left) and len(right)):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    at = np.arange(start, end)
-    rest = at[rows[start:end, 3] != roots[np.argmax(sizes)]]
-    x, y = [], []
-    step = max(1, (1 << 21) // (end - start))
-    for i in range(0, len(rest), step):
-        part = rest[i : i + step]
-        near = np.bitwise_count(value[part][:, None] ^ value[None, start:end]) <= bits
-        near &= np.bitwise_count(after[part][:, None] ^ after[None, start:end]) <= NEXT_BITS
-        near &= rows[part, 3][:, None] != rows[None, start:end, 3]
-        p, q = np.nonzero(near)
-        x.append(part[p])
-        y.append(start + q)
-    return np.concatenate(x), np.concatenate(y)
+    both = overlaps([sets[i] for i in left], [sets[i] for i in right])
+    size = np.array(list(map(len, sets)))
+    alike = (both >= similarity * (size[left][:, None] + size[right][None, :] - both)) & (both > 0)
+    alike &= root[left][:, None] != root[right][None, :]
+    a, b = np.nonzero(alike)
+    a, b = left[a], right[b]
+    names, of = np.unique(root, return_inverse=True)
+    kept = _nearest_forest(len(names), of[a], of[b], np.zeros(len(a), np.int64))
+    return a[kept], b[kept]
+
+
+def _met(units: DataFrame, hashes: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that connect what all alike pairs of different roots within the units (unit, node, root, size) do.
+
+    The rows of a unit outside its largest component are paired with all others, in pairs of blocks of bounded size,
+    each a key of its own; the sets themselves are compared there, and a pair of blocks tells a forest of true links.
+    """
+    by_root = units.groupBy("unit", "root").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
+    largest = by_root.groupBy("unit").agg(
+        F.max(F.struct("n", "root", "s")).alias("m"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("roots")
+    ).where("roots > 1")
+
+    def blocks(n, s):
+        return F.greatest(F.ceil(n / F.lit(BLOCK_ROWS)), F.ceil(s / F.lit(BLOCK_HASHES))).cast("int")
+
+    m = F.col("m")
+    shape = largest.select(
+        "unit", m["root"].alias("main"), blocks(m["n"], m["s"]).alias("km"), blocks(F.col("n") - m["n"], F.col("s") - m["s"]).alias("kr")
+    )
+    rows = units.join(shape, "unit").withColumn("rest", F.col("root") != F.col("main"))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("rest"), F.col("kr")).otherwise(F.col("km"))).cast("int")
+    rows = rows.withColumn("own", own)
+
+    def key(kind: int, i, j, side):
+        return F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
+
+    def all_of(k: str, make):
+        return F.transform(F.sequence(F.lit(0), F.col(k) - 1), make)
+
+    mine = F.col("own")
+    rest = F.concat(
+        all_of("kr", lambda j: key(0, F.least(mine, j), F.greatest(mine, j), mine > j)), all_of("km", lambda j: key(1, mine, j, F.lit(0)))
+    )
+    main = all_of("kr", lambda i: key(1, i, mine, F.lit(1)))
+    dealt = rows.select("unit", "node", "root", F.explode(F.when(F.col("rest"), rest).otherwise(main)).alias("k"))
+    dealt = dealt.select("unit", "k.kind", "k.i", "k.j", "k.side", "node", "root").join(hashes, "node")
+    names = ["unit", "kind", "i", "j"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            whole = pa.Table.from_batches(parts)
+            node, root, side = (whole.column(c).to_numpy() for c in ("node", "root", "side"))
+            sets = [np.frombuffer(h, "<u4") for h in whole.column("hashes").to_pylist()]
+            kind, i, j = (whole.column(c)[0].as_py() for c in ("kind", "i", "j"))
+            x, y = _alike_links(node, root, side, sets, kind == 0 and i == j, similarity)
+            return pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], names=["a", "b"])
+
+        held, known = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names], 1)
+            starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)])
+            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
+                now = tuple(keys[s].tolist())
+                if held and now != known:
+                    yield links(held)
+                    held = []
+                held.append(batch.slice(s, e - s))
+                known = now
+        if held:
+            yield links(held)
+
+    return dealt.repartition(*names).sortWithinPartitions(*names).mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -484,20 +602,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, se
     Texts link when the sets of their runs of `words` words resemble each other (Jaccard) by at least `similarity`, and
     groups are what links connect. Texts of equal sets are one node. Candidates come from SimHash: pairs that share a
     block of sixteen bits in one of several fingerprints are found below that trie node, within a budget of differing
-    bits, and then compared exactly. A crowded node first tells its nearest pairs; once these are joined to groups, it
-    tells every pair that is still in different groups, so that no candidate is left out. Texts without words are alike.
+    bits, and then compared exactly. A crowded node first tells its nearest pairs; once these are joined to groups, all
+    its pairs that are still in different groups are compared, block by block. Texts without words are alike.
     """
     sets = written(_sets(docs, words, seeds), "sets")
     order = F.struct(F.col("id").isNull(), "id", "row")
-    grouped = sets.groupBy("sign").agg(F.min(order).alias("first"), F.first("prints").alias("prints"))
-    nodes = written(grouped.select("sign", F.col("first.row").alias("node"), "first", "prints"), "nodes")
+    grouped = sets.groupBy("sign").agg(F.min(order).alias("first"), F.first("prints").alias("prints"), F.first(F.length("hashes") / 4).alias("size"))
+    nodes = written(grouped.select("sign", F.col("first.row").alias("node"), "first", "prints", F.col("size").cast("long").alias("size")), "nodes")
     hashes = sets.select(F.col("row").alias("node"), "hashes")
 
-    found = written(
-        _unit_pairs(_bands(nodes.withColumn("root", F.col("node")), seeds), CANDIDATE_BITS, False), "candidates"
-    )
+    found = written(_unit_pairs(_bands(nodes, seeds), CANDIDATE_BITS), "candidates")
     bits = F.when(F.col("bits") < 0, -1 - F.col("bits")).otherwise(F.col("bits"))
-    pairs = found.where("a >= 0").groupBy("a", "b").agg(
+    # Parts of a unit in several tasks are linked by their ends at first, then as a crowded unit.
+    parted = found.where("b = -2").groupBy("unit").agg(F.collect_set("a").alias("ends")).where("size(ends) > 1 ")
+    joints = parted.select(F.array_min("ends").alias("a"), F.explode("ends").alias("b"), F.lit(-1 - CANDIDATE_BITS).cast("long").alias("bits")).where("a < b")
+    pairs = found.where("b >= 0").select("a", "b", "bits").union(joints).groupBy("a", "b").agg(
         F.min(bits).alias("bits"), F.count("*").alias("n"), F.max("bits").alias("open")
     )
     pairs = written(pairs, "pairs")
@@ -522,15 +641,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, se
     # Crowded nodes are asked again below, so only what the others told is looked at here.
     rest = written(still_apart(pairs.where("open >= 0").select("a", "b").join(tried, ["a", "b"], "left_anti"), now), "rest")
     links = links.union(written(_verified(rest, hashes, similarity), "links"))
-    tried = tried.union(rest)
-    crowded = found.where("a < 0").select("unit").distinct()
+    crowded = found.where("b = -1").select("unit").union(parted.select("unit")).distinct()
     if not crowded.isEmpty():
         now = rooted(links)
-        labelled = nodes.select("node", "prints").join(now.select("node", "root"), "node")
-        units = _bands(labelled, seeds).join(crowded, "unit", "left_semi")
-        others = _unit_pairs(units, CANDIDATE_BITS, True).select("a", "b").distinct()
-        rest = written(others.join(tried, ["a", "b"], "left_anti"), "rest")
-        links = links.union(written(_verified(rest, hashes, similarity), "links"))
+        label = now.join(nodes.select("node", "size"), "node").select("node", "root", "size")
+        units = _bands(nodes, seeds).select("unit", "node").join(crowded, "unit", "left_semi").join(label, "node")
+        links = links.union(written(_met(written(units, "crowds"), hashes, similarity), "links"))
     now = rooted(links)
     heads = now.groupBy("root").agg(F.min("first").alias("head"))
     labels = written(now.select("sign", "root").join(heads, "root").select("sign", F.col("head.row").alias("group_row")), "labels")
