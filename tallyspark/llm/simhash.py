@@ -285,6 +285,9 @@ RUN_ROWS = 512
 NEXT_BITS = 26
 #: Pairs that a small unit tells at once, per fingerprint.
 TOLD_PAIRS = 4
+#: Texts with at most so many shingles also meet by their rare shingles, which misses no pair: few shingles give few
+#: distinct majorities, and a pair meets in a block with a probability of only 0.9 to 0.99.
+SHORT_SHINGLES = 32
 #: Rows that a task looks for nearest pairs in at a time.
 NEAR_ROWS = 20_000
 #: Texts and hashes in one of the two blocks whose sets a task compares at a time.
@@ -577,6 +580,32 @@ def _met(units: DataFrame, hashes: DataFrame, similarity: float) -> DataFrame:
     return dealt.repartition(*names).sortWithinPartitions(*names).mapInArrow(run, "a long, b long")
 
 
+def _short_units(nodes: DataFrame, hashes: DataFrame, similarity: float) -> DataFrame:
+    """(unit, node) for texts of few shingles, in which every alike pair of them meets: prefix filtering.
+
+    An alike text shares at least `similarity` of a set's n elements, so it holds one of any n - ceil(similarity n) + 1
+    of them. With one order of elements for all, the first so many of both sets have one in common. Rare elements come
+    first, so that few texts meet.
+    """
+    short = nodes.where(F.col("size").between(1, SHORT_SHINGLES)).select("node").join(hashes, "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(h, "<u4") for h in batch.column("hashes").to_pylist()]
+            node = np.repeat(batch.column("node").to_numpy(), [len(x) for x in sets])
+            items = np.concatenate([np.empty(0, "<u4"), *sets]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(items)], names=["node", "item"])
+
+    items = written(short.mapInArrow(run, "node long, item long"), "items")
+    times = items.groupBy("item").agg(F.count("*").alias("n"))
+    by_node = items.join(times, "item").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "item"))).alias("all"))
+    n = F.size("all")
+    # A hair less, as the comparison of the sets is in floating point as well.
+    first = F.slice("all", F.lit(1), n - F.ceil(n * (similarity - 1e-9) - 1e-9).cast("int") + 1)
+    met = by_node.select("node", F.explode(first).alias("x")).where("x.n > 1")
+    return met.select((-1 - F.col("x.item")).alias("unit"), "node")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) whose shingle sets resemble each other that much, by the sets themselves."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -603,7 +632,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, se
     groups are what links connect. Texts of equal sets are one node. Candidates come from SimHash: pairs that share a
     block of sixteen bits in one of several fingerprints are found below that trie node, within a budget of differing
     bits, and then compared exactly. A crowded node first tells its nearest pairs; once these are joined to groups, all
-    its pairs that are still in different groups are compared, block by block. Texts without words are alike.
+    its pairs that are still in different groups are compared, block by block. Pairs of texts with at most `SHORT_SHINGLES`
+    distinct shingles are found exactly, by rare shingles. Texts without words are alike.
     """
     sets = written(_sets(docs, words, seeds), "sets")
     order = F.struct(F.col("id").isNull(), "id", "row")
@@ -642,11 +672,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, se
     rest = written(still_apart(pairs.where("open >= 0").select("a", "b").join(tried, ["a", "b"], "left_anti"), now), "rest")
     links = links.union(written(_verified(rest, hashes, similarity), "links"))
     crowded = found.where("b = -1").select("unit").union(parted.select("unit")).distinct()
+    now = rooted(links)
+    label = now.join(nodes.select("node", "size"), "node").select("node", "root", "size")
+    units = _short_units(nodes, hashes, similarity)
     if not crowded.isEmpty():
-        now = rooted(links)
-        label = now.join(nodes.select("node", "size"), "node").select("node", "root", "size")
-        units = _bands(nodes, seeds).select("unit", "node").join(crowded, "unit", "left_semi").join(label, "node")
-        links = links.union(written(_met(written(units, "crowds"), hashes, similarity), "links"))
+        units = units.union(_bands(nodes, seeds).select("unit", "node").join(crowded, "unit", "left_semi"))
+    links = links.union(written(_met(written(units.join(label, "node"), "crowds"), hashes, similarity), "links"))
     now = rooted(links)
     heads = now.groupBy("root").agg(F.min("first").alias("head"))
     labels = written(now.select("sign", "root").join(heads, "root").select("sign", F.col("head.row").alias("group_row")), "labels")
