@@ -127,7 +127,8 @@ def _plain(char: str) -> str | None:
 
 
 def _signs(words: tuple[str, ...], sign: str) -> str:
-    return rf"\s*[\[({{<]\s*(?:{'|'.join(words)}|{re.escape(sign)})\s*[\])}}>]\s*"
+    # Blanks before a bracket are only read from where they begin, so that long runs take linear time.
+    return rf"(?:(?<!\s)\s+)?[\[({{<]\s*(?:{'|'.join(words)}|{re.escape(sign)})\s*[\])}}>]\s*"
 
 
 _NUMBER = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
@@ -147,28 +148,45 @@ _REWRITE = re.compile(
     rf"(?P<at>{_AT_IN}|{_AT_BARE})|(?P<dot>{_DOT_IN}|{_DOT_BARE})|(?P<plus>{_PLUS})|{_DIGIT}", re.IGNORECASE
 )
 
-_RUN = re.compile(rf"\b(?:{_NUMBER})\b(?:[ ,.()+-]+(?:{_NUMBER}|[0-9]+)\b){{2,}}|[0-9](?:[ ,.()+-]+(?:{_NUMBER})\b){{2,}}", re.IGNORECASE)
-_DOT_WORD = re.compile(rf"\s(?:{'|'.join(DOT_WORDS)})\s", re.IGNORECASE)
-_OPEN = re.compile(r"[\[({<]\s*(?:at|arroba|arobase|@|dot|punkt|point|punto|\.)\s*[\])}>]", re.IGNORECASE)
 # ASCII and the letters of the four languages cannot be disguises.
 _STRANGE = re.compile(r"[^\x00-\x7fÀ-ÖØ-öø-ÿœŒŸ]")
-_LONGER = frozenset(w for w in DIGIT_WORDS if len(w) > 2)
+
+
+def _strange(text: str) -> bool:
+    """Whether any character of the text stands for another one or for nothing."""
+    return not text.isascii() and any(_plain(c) is not None for c in set(_STRANGE.findall(text)))
+
+
+_OPEN = re.compile(rf"[\[({{<]\s*(?:{'|'.join((*AT_WORDS, *DOT_WORDS))}|[@.])\s*[\])}}>]")
+_DOT_WORD = re.compile(rf"\s(?:{'|'.join(DOT_WORDS)})\s")
+_PLUS_WORD = re.compile(_PLUS)
+_WORDS = re.compile(r"\w+")
+_NEAR = re.compile(rf"\b(?:{_NUMBER})[ .-](?:[0-9]|(?:{_NUMBER})\b)|[0-9][ .-](?:{_NUMBER})\b")
+
+
+def _lower(text: str) -> str:
+    """Lower case as IGNORECASE takes it, where the Turkish letters match i as well."""
+    return text.lower() if text.isascii() else text.replace("İ", "i").replace("ı", "i").lower()
 
 
 def disguised(text: str) -> bool:
-    """Whether anything in the text may be rewritten to part of an identifier."""
-    if not text.isascii() and any(_plain(c) is not None for c in set(_STRANGE.findall(text))):
+    """False only if the transducers cannot add a span; cheaper than running them.
+
+    The at word alone needs a disguised dot. A spelled digit matters in a card or ip only beside a digit or another
+    spelled digit, with at most one blank, hyphen or dot between, and else in texts with a plus or an at sign.
+    """
+    if _strange(text):
         return True
-    low = text.lower()
+    low = _lower(text)
     if any(w in low for w in DOT_WORDS) and _DOT_WORD.search(low):
         return True
     if ("[" in low or "(" in low or "{" in low or "<" in low) and _OPEN.search(low):
         return True
-    spaced = low
-    for sign in ",.()+-":
-        if sign in spaced:
-            spaced = spaced.replace(sign, " ")
-    return not _LONGER.isdisjoint(spaced.split()) and _RUN.search(low) is not None
+    if "plus" in low and _PLUS_WORD.search(low):
+        return True
+    if DIGIT_WORDS.keys().isdisjoint(_WORDS.findall(low)):
+        return False
+    return "+" in low or "@" in low or _NEAR.search(low) is not None
 
 
 def transduce(text: str) -> tuple[str, list[int], list[int], list[int]]:
@@ -178,7 +196,9 @@ def transduce(text: str) -> tuple[str, list[int], list[int], list[int]]:
     steps write down the source range of every character they emit, so that the composition maps spans back.
     """
     chars, begin, end, new = [], [], [], []
-    for i, c in enumerate(text):
+    if not _strange(text):
+        chars, begin, end, new = [text], list(range(len(text))), list(range(1, len(text) + 1)), [0] * len(text)
+    for i, c in enumerate("" if chars else text):
         plain = None if c.isascii() else _plain(c)
         if plain == "":
             if end:
@@ -193,7 +213,7 @@ def transduce(text: str) -> tuple[str, list[int], list[int], list[int]]:
     out, begins, ends, news, at = [], [], [], [], 0
     for m in _REWRITE.finditer(middle):
         a, b = m.span()
-        sign = "@" if m["at"] else "." if m["dot"] else "+" if m["plus"] else DIGIT_WORDS[m["digit"].lower()]
+        sign = "@" if m["at"] else "." if m["dot"] else "+" if m["plus"] else DIGIT_WORDS[_lower(m["digit"])]
         out += [middle[at:a], sign]
         begins += begin[at:a]
         ends += end[at:a]
