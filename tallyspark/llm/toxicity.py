@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -49,12 +50,17 @@ MAX_UNITS, MIN_TEXTS = 2000, 4
 PREFIX_SIZES = (4, 5, 6, 7)
 
 _SOLID = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
-_CLAUSE_END = re.compile(r"[.!?;\n]")
+_CLAUSE_END = re.compile("[.!?;\n\u0085\u2028\u2029…‽。．｡！？；؟۔।॥]")
 
 
 def spaced(text: str) -> str:
-    """Lower case with ASCII signs as blanks; positions stay."""
-    return text.lower().encode("utf-8", "surrogatepass").translate(_SOLID).decode("utf-8", "surrogatepass")
+    """Lower case with signs of any script as blanks; positions stay. Combining marks belong to their word."""
+    # No other letter becomes longer in lower case.
+    low = text.replace("İ", "i").lower().encode("utf-8", "surrogatepass").translate(_SOLID).decode("utf-8", "surrogatepass")
+    if low.isascii():
+        return low
+    signs = [c for c in set(low) if not (c.isalnum() or unicodedata.category(c).startswith("M"))]
+    return low.translate(dict.fromkeys(map(ord, signs), " "))
 
 
 @dataclass
@@ -148,13 +154,13 @@ GRAMMAR = Composition(NEGATION, REPORT, TARGET)
 
 
 def clause_weights(text: str, lexicon: Lexicon) -> list[tuple[int, int, float]]:
-    """(start, end, weight) of every clause with an insult or a threat; clauses end at . ! ? ; and line ends."""
+    """(start, end, weight) of every clause with an insult or a threat; clauses end at . ! ? ; their like in other scripts and line ends."""
     plain = f" {spaced(text)} "
     hits = [end + 1 - size for end, size in lexicon.scan.iter(plain)]
     if not hits:
         return []
     # plain has one blank before the text.
-    ends = [m.start() for m in _CLAUSE_END.finditer(text)] if len(plain) == len(text) + 2 else []
+    ends = [m.start() for m in _CLAUSE_END.finditer(text)]
     out, last = [], -1
     for at in sorted(hits):
         i = bisect_right(ends, at - 1)
