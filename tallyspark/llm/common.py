@@ -32,20 +32,24 @@ def fold(key: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(n)).cast("int")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Parts of the batches with their texts; a null text is the empty one."""
+def parts(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Parts of the batches whose texts have about `SLICE_CHARS` bytes together, or are one text."""
     for batch in batches:
         lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start = held = 0
         for i, n in enumerate(lengths):
             if held and held + n > SLICE_CHARS:
-                part = batch.slice(start, i - start)
-                yield part, [t or "" for t in part.column(column).to_pylist()]
+                yield batch.slice(start, i - start)
                 start, held = i, 0
             held += int(n)
         if start < batch.num_rows:
-            part = batch.slice(start)
-            yield part, [t or "" for t in part.column(column).to_pylist()]
+            yield batch.slice(start)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Parts of the batches with their texts; a null text is the empty one."""
+    for part in parts(batches, column):
+        yield part, [t or "" for t in part.column(column).to_pylist()]
 
 
 def free_name(df: DataFrame, name: str) -> str:

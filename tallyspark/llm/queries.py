@@ -6,14 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pii, quality, sketch, toxicity
+from . import bpe, infill, pii, quality, sketch, toxicity
 from .common import fold, table
+from .digest_index import exact_duplicates
 from .embeddings import embedding_groups
 from .labelled import held_out
 from .ngram import ngram_scores
 from .packing import pack
 from .sharding import histogram_shards
 from .simhash import simhash_groups
+from .whitening import whiten
 
 
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,6 +92,25 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("length", F.col("length").cast("long"))
 
 
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents come to a new index as two deliveries, so that the second one meets digests of the first."""
+    docs = table(spark, folder, "documents")
+    return exact_duplicates(docs, batch=F.concat(F.lit("delivery-"), fold(F.col("doc_id"), 2)))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whiten(table(spark, folder, "embeddings"), 16, keep=["vec_id"])
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_infill(spark: SparkSession, folder: str) -> DataFrame:
+    shape = ["doc_id", "n", "form", "prefix_chars", "middle_chars"]
+    moved = infill.infill(table(spark, folder, "documents"), keep=["doc_id"])
+    digest = F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256")
+    back = infill.restore(moved.select(*shape, "output", digest), keep=[*shape, "output_sha256"])
+    return back.select(*shape, "output_sha256", F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
@@ -101,6 +122,44 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_whitening": op12_whitening,
+    "op13_infill": op13_infill,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_exact_dedup": r"""
+        WITH hashed AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+                sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+            FROM documents
+        ), ranked AS (
+            SELECT doc_id, text_sha256, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+                first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id) AS keep_id
+            FROM hashed
+        )
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
+    """,
+    "op13_infill": """
+        WITH hashed AS (
+            SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h FROM documents
+        ), words AS (
+            SELECT doc_id, t, n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+                ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+            FROM hashed
+        ), cut AS (
+            SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                    WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM words
+        ), parts AS (
+            SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM cut
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+            sha256(t) AS restored_sha256
+        FROM parts
+    """,
+}
