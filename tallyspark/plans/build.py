@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 
 from tallyspark.plans import marts
 from tallyspark.plans.curated import merchants_unique, results_current, runs_latest
-from tallyspark.plans.incremental import keep_closed_weeks, open_runs
-from tallyspark.sources.store import Store, delete_path, stage
+from tallyspark.plans.dated import publish_whole, publish_weeks
+from tallyspark.plans.incremental import open_runs
+from tallyspark.sources.store import Store
 
 logger = logging.getLogger(__name__)
 
@@ -39,8 +40,9 @@ def build_gold(store: Store, as_of: str | None = None) -> dict[str, str]:
     """Build the gold artifacts in dependency order and register them for spark.sql.
 
     Aggregated artifacts become tables, so that alerts and reports do not go back to the
-    results; the ledger is a view. With ``as_of`` weeks that closed before it keep their
-    stored figures.
+    results; the ledger is a view. Each table is published by one rename, so a build that dies
+    leaves the last version to its readers. With ``as_of`` weeks that closed before it keep
+    their stored figures and files.
 
     Company rows matter to the aggregates without names only where a merchant_id is
     listed twice. This is checked once on the company table; if it is unique, these
@@ -55,21 +57,18 @@ def build_gold(store: Store, as_of: str | None = None) -> dict[str, str]:
     current = results_current(runs, results, counted)
 
     def weekly(name: str, mart: Callable[[DataFrame], DataFrame], joined: DataFrame | None) -> DataFrame:
-        if as_of is None or not store.exists(name):
-            return store.replace(name, mart(results_current(runs, results, joined)))
-        # Results of closed weeks fall out before they are joined and summed.
-        fresh = mart(results_current(open_runs(runs, store.read(name), as_of), results, joined))
-        kept, folder = stage(keep_closed_weeks(store.read(name), fresh, as_of), name)
-        table = store.replace(name, kept)
-        delete_path(store.spark, folder)
-        return table
+        known = runs
+        if as_of is not None and store.exists(name):
+            # Results of closed weeks fall out before they are joined and summed.
+            known = open_runs(runs, store.read(name), as_of)
+        return publish_weeks(store, name, mart(results_current(known, results, joined)), as_of)
 
     summary, ranking = "gold_cfo_weekly_summary", "gold_cfo_weekly_merchant_ranking"
     daily, trend = "gold_ops_reconciliation_daily", "gold_ops_reconciliation_trend"
     steps: dict[str, Callable[[], DataFrame]] = {
-        daily: lambda: store.replace(daily, marts.ops_daily(runs, current)),
-        trend: lambda: store.replace(trend, marts.ops_trend(store.read(daily))),
-        "gold_ops_run_history": lambda: store.replace("gold_ops_run_history", marts.run_history(runs, results)),
+        daily: lambda: publish_whole(store, daily, marts.ops_daily(runs, current)),
+        trend: lambda: publish_whole(store, trend, marts.ops_trend(store.read(daily))),
+        "gold_ops_run_history": lambda: publish_whole(store, "gold_ops_run_history", marts.run_history(runs, results)),
         summary: lambda: weekly(summary, marts.cfo_weekly_summary, counted),
         ranking: lambda: weekly(ranking, lambda rows: marts.cfo_weekly_merchant_ranking(rows, company), None),
         "gold_compliance_ledger": lambda: marts.compliance_ledger(runs, results, company),

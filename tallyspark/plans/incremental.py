@@ -1,29 +1,14 @@
-"""Rebuilding only what changed: dates, closed weeks, the ledger, snapshots."""
+"""What a change reaches: trend rows, open weeks, new ledger rows; exports and snapshots by date."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyspark.functions.dates import week_end, week_start
-from tallyspark.plans.curated import results_current, winning_runs
-from tallyspark.plans.marts import TREND_ROWS, ops_daily, ops_trend
+from tallyspark.plans.marts import TREND_ROWS
 from tallyspark.sources.store import Store, delete_path, in_partitions, same_keys, stage
 
 
-def daily_for_dates(
-    runs: DataFrame, results: DataFrame, company: DataFrame | None, dates: DataFrame
-) -> DataFrame:
-    """The daily mart of some dates; ``dates`` has one row per calendar date.
-
-    The winning run ids, one per touched date, become literals, so that the scan of the
-    results skips the row groups of other runs instead of reading everything for a join.
-    """
-    touched = runs.join(F.broadcast(dates), "reference_date", "left_semi")
-    ids = [r.run_id for r in winning_runs(touched).select("run_id").collect()]
-    theirs = results.filter(F.col("run_id").isin(ids))
-    return ops_daily(touched, results_current(touched, theirs, company))
-
-
 def trend_reach(before: DataFrame, after: DataFrame, dates: DataFrame) -> DataFrame:
     """Dates whose trend rows may change when the daily rows of ``dates`` change.
 
@@ -48,33 +33,6 @@ def trend_reach(before: DataFrame, after: DataFrame, dates: DataFrame) -> DataFr
     )
 
 
-def _replace_dates(store: Store, name: str, fresh: DataFrame, dates: DataFrame) -> DataFrame:
-    """Put the rows of ``fresh`` in place of the stored rows of ``dates``.
-
-    For marts with a few rows per calendar date: the whole table is as small as one
-    partition should be, so it is rewritten in one piece and not split into tiny files.
-    """
-    kept = store.read(name).join(F.broadcast(dates), "reference_date", "left_anti")
-    merged, folder = stage(kept.unionByName(fresh), name)
-    table = store.replace(name, merged)
-    delete_path(store.spark, folder)
-    return table
-
-
-def refresh_ops(
-    store: Store, runs: DataFrame, results: DataFrame, company: DataFrame | None, dates: DataFrame
-) -> None:
-    """Rebuild daily and trend for touched dates; rows of all other dates stay as they are."""
-    daily, trend = "gold_ops_reconciliation_daily", "gold_ops_reconciliation_trend"
-    before, before_dir = stage(store.read(daily), "daily-before")
-    after = _replace_dates(store, daily, daily_for_dates(runs, results, company, dates), dates)
-    reached, reached_dir = stage(trend_reach(before, after, dates), "trend-reach")
-    fresh = ops_trend(after).join(F.broadcast(reached), "reference_date", "left_semi")
-    _replace_dates(store, trend, fresh, reached)
-    delete_path(store.spark, before_dir)
-    delete_path(store.spark, reached_dir)
-
-
 def open_runs(runs: DataFrame, frozen: DataFrame, as_of: str) -> DataFrame:
     """Runs outside the weeks that are stored and ended before ``as_of``: only these are aggregated anew."""
     closed = frozen.filter(week_end(F.col("week_start")) < F.lit(as_of).cast("date"))
@@ -83,14 +41,6 @@ def open_runs(runs: DataFrame, frozen: DataFrame, as_of: str) -> DataFrame:
     return runs.join(F.broadcast(weeks), week_start(F.col("reference_date")) == F.col("_week"), "left_anti")
 
 
-def keep_closed_weeks(frozen: DataFrame, fresh: DataFrame, as_of: str) -> DataFrame:
-    """Weeks that ended before ``as_of`` and were stored stay; the rest is taken fresh."""
-    closed = frozen.filter(week_end(F.col("week_start")) < F.lit(as_of).cast("date"))
-    weeks = closed.select("week_start").distinct()
-    # One row per calendar week.
-    return closed.unionByName(fresh.join(F.broadcast(weeks), "week_start", "left_anti"))
-
-
 def new_ledger_rows(ledger: DataFrame, fresh: DataFrame) -> DataFrame:
     """Rows whose result is not in the ledger; a NULL id is in it if the ledger has one."""
     known = ledger.select(F.col("result_id").alias("result_id"))
@@ -103,12 +53,15 @@ def append_ledger(store: Store, fresh: DataFrame, name: str = "gold_compliance_l
     A result stays with its run and so with its date: only the ledger's partitions of the
     dates at hand are searched for its id.
     """
+    # Evaluated once, as both the partitions at hand and the new rows are asked for.
+    fresh, folder = stage(fresh, "ledger-rows")
+    new = fresh
     if store.exists(name):
-        stored = in_partitions(store.read(name), "reference_date", fresh)
-        fresh = new_ledger_rows(stored, fresh)
-    fresh.hint("rebalance", "reference_date").write.mode("append").partitionBy(
+        new = new_ledger_rows(in_partitions(store.read(name), "reference_date", fresh), fresh)
+    new.hint("rebalance", "reference_date").write.mode("append").partitionBy(
         "reference_date"
     ).parquet(store.path(name))
+    delete_path(store.spark, folder)
 
 
 def export_by_date(df: DataFrame, path: str) -> None:

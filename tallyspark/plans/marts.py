@@ -130,6 +130,19 @@ def cfo_weekly_merchant_ranking(current: DataFrame, company: DataFrame) -> DataF
     )
 
 
+def cfo_weekly_ranking_of_named(current: DataFrame) -> DataFrame:
+    """The same from results that carry their merchant's names, one row per name it is listed under."""
+    amount = financial_amount(F.col("processor_amount"), F.col("internal_amount"))
+    return (
+        current.filter(F.col("category").isin(*RISK_CATEGORIES))
+        .groupBy(
+            week_start(F.col("reference_date")).alias("week_start"), "merchant_id", "category", "legal_name", "trade_name"
+        )
+        .agg(F.count("*").alias("txn_count"), F.sum(amount).cast("decimal(38,2)").alias("amount_brl"))
+        .select("week_start", "merchant_id", "category", "txn_count", "amount_brl", "legal_name", "trade_name")
+    )
+
+
 def compliance_ledger(runs: DataFrame, results: DataFrame, company: DataFrame) -> DataFrame:
     """All results of all runs, superseded ones included."""
     attempts = runs.select(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyspark.session import fresh_dir
+from tallyspark.sources.published import PERIOD, Published
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -83,8 +84,19 @@ class Store:
         if missing:
             raise RuntimeError(f"not loaded yet: {', '.join(missing)}")
 
+    def published(self, name: str) -> Published:
+        return Published(self.spark, self.path(name))
+
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A table, or the newest version of one that is published by version."""
+        published = self.published(name)
+        return published.read().drop(PERIOD) if published.exists() else self.spark.read.parquet(self.path(name))
+
+    def publish(
+        self, name: str, df: DataFrame, by: str | None = None, replaced: Iterable | None = None, append: bool = False
+    ) -> int:
+        """Publish partitions by one rename, see ``Published.publish``."""
+        return self.published(name).publish(df, by, replaced, append)
 
     def register(self, *names: str) -> None:
         """Make tables available to spark.sql under their names."""

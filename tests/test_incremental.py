@@ -1,31 +1,9 @@
 from pyspark.sql import functions as F
 
 from golden import company, results, runs
-from tallyspark.plans import curated, incremental, marts
+from tallyspark.plans import incremental, marts
 from tallyspark.session import configure, fresh_dir, shared_dir
 
-DAILY, TREND = "gold_ops_reconciliation_daily", "gold_ops_reconciliation_trend"
-
-
-def test_refresh_equals_rebuild(spark, store):
-    days = [f"2024-02-{d:02d}" for d in range(1, 21)]
-    old_runs = [(100 + i, d, "f", "COMPLETED", 1, f"{d} 08:00:00") for i, d in enumerate(days)]
-    old_results = [(1000 + i, 100 + i, f"t{i}", "M001", "MATCHED" if i % 2 else "MISMATCHED", "1", "3") for i in range(20)]
-    old_results += [(2000 + i, 100 + i, f"u{i}", "M002", "MATCHED", "1", "1") for i in range(20)]
-    r0, s0 = runs(spark, *old_runs), results(spark, *old_results)
-    daily = store.replace(DAILY, marts.ops_daily(r0, curated.results_current(r0, s0, company(spark))))
-    store.replace(TREND, marts.ops_trend(daily))
-    # A rerun of two dates: one loses a category, one fails after having completed.
-    reruns = [(300, days[3], "f", "COMPLETED", 1, f"{days[3]} 09:00:00"), (301, days[9], "f", "FAILED", 1, f"{days[9]} 09:00:00")]
-    r1 = runs(spark, *old_runs, *reruns)
-    s1 = results(spark, *old_results, (5000, 300, "t", "M001", "UNRECONCILED_INTERNAL", "1", None))
-    dates = spark.createDataFrame([(days[3],), (days[9],)], "d string").select(F.col("d").cast("date").alias("reference_date"))
-    incremental.refresh_ops(store, r1, s1, company(spark), dates)
-    whole = marts.ops_daily(r1, curated.results_current(r1, s1, company(spark)))
-    for name, expected in ((DAILY, whole), (TREND, marts.ops_trend(whole))):
-        got = store.read(name)
-        assert sorted(map(repr, got.select(*expected.columns).collect())) == sorted(map(repr, expected.collect())), name
-
 
 def test_trend_reach_is_bounded(spark):
     cells = spark.createDataFrame([("A", f"2024-01-{d:02d}") for d in range(1, 21)], "category string, reference_date string")
@@ -34,18 +12,6 @@ def test_trend_reach_is_bounded(spark):
     assert reached == [f"2024-01-{d:02d}" for d in range(5, 13)]
 
 
-def test_closed_weeks(spark):
-    schema = "week_start string, category string, txn_count int"
-
-    def weeks(*rows):
-        return spark.createDataFrame(rows, schema).withColumn("week_start", F.col("week_start").cast("date"))
-
-    frozen = weeks(("2024-01-01", "A", 1), ("2024-01-08", "A", 1))
-    fresh = weeks(("2024-01-01", "A", 9), ("2024-01-01", "B", 9), ("2024-01-08", "A", 2), ("2024-01-15", "A", 3))
-    kept = {(str(r.week_start), r.category): r.txn_count for r in incremental.keep_closed_weeks(frozen, fresh, "2024-01-14").collect()}
-    assert kept == {("2024-01-01", "A"): 1, ("2024-01-08", "A"): 2, ("2024-01-15", "A"): 3}
-
-
 def test_ledger_only_grows(spark, store):
     def ledger(*extra):
         return marts.compliance_ledger(runs(spark), results(spark, *extra), company(spark))

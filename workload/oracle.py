@@ -730,6 +730,10 @@ FROM pairs WHERE created BETWEEN ref - 7 AND ref"""
 
 ORACLE["incremental_daily"] = ORACLE["ops_daily"]
 ORACLE["incremental_trend"] = ORACLE["ops_trend"]
+ORACLE["incremental_current"] = ORACLE["results_current"]
+ORACLE["incremental_run_history"] = ORACLE["run_history"]
+ORACLE["incremental_weekly_summary"] = ORACLE["cfo_weekly_summary"]
+ORACLE["incremental_weekly_ranking"] = ORACLE["cfo_weekly_merchant_ranking"]
 
 ORACLE["frozen_weeks"] = _with(*TO_CURRENT) + """
 SELECT CAST(date_trunc('week', reference_date) AS DATE) AS week_start,

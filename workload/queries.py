@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyspark.functions.amounts import normalize_amount
 from tallyspark.functions.text import money, thousands
 from tallyspark.operators import cdc, profile, quality, reconcile as matching
-from tallyspark.plans import alerts, build, checks, curated, incremental, marts, reports
+from tallyspark.plans import alerts, build, checks, curated, dated, incremental, marts, reports
 from tallyspark.session import configure, fresh_dir
 from tallyspark.sources import changelog, settlements as csv
 from tallyspark.sources.store import Store
@@ -797,51 +797,108 @@ def stream_matches(spark, sf):
     return spark.read.parquet(table)
 
 
-def _incremental_ops(spark: SparkSession, sf: str) -> Store:
-    """Daily and trend built without some runs of 1998, then refreshed for their dates."""
+def _dates(runs: DataFrame) -> list:
+    """One per calendar date."""
+    return sorted(r[0] for r in runs.select("reference_date").distinct().collect())
+
+
+def _arrival(spark: SparkSession, sf: str) -> tuple:
+    """A store, the runs before some runs of 1998 arrive, the dates of these, and the results of the weeks they lie in.
+
+    The results are stored by date; marts are built from the earlier runs and then refreshed for the dates.
+    """
     runs, results, company = star.runs(spark, sf), star.results(spark, sf), star.company(spark, sf)
     late = (F.year("reference_date") == 1998) & (F.col("id") % 4 == 1)
-    store = _store(spark, "incremental-lake")
-    early = runs.filter(~late)
-    daily = marts.ops_daily(early, curated.results_current(early, results, company))
-    store.replace("gold_ops_reconciliation_daily", daily)
-    trend = marts.ops_trend(store.read("gold_ops_reconciliation_daily"))
-    store.replace("gold_ops_reconciliation_trend", trend)
-    dates = runs.filter(late).select("reference_date").distinct()
-    incremental.refresh_ops(store, runs, results, company, dates)
-    return store
+    store, early, dates = _store(spark, "dated-lake"), runs.filter(~late), _dates(runs.filter(late))
+    weeks = F.date_trunc("week", "reference_date").cast("date")
+    at_hand = runs.filter(weeks >= F.lit("1997-12-29").cast("date"))
+    days = dated.add_results(store, at_hand, results, "month")
+    dated.refresh_current(store, runs, company, days, "month")
+    return store, runs, early, dates
 
 
 @query
 def incremental_daily(spark, sf):
-    return _incremental_ops(spark, sf).read("gold_ops_reconciliation_daily")
+    """Daily mart without some runs of 1998, then refreshed for their dates."""
+    store, runs, early, dates = _arrival(spark, sf)
+    current = curated.results_current(early, star.results(spark, sf), star.company(spark, sf))
+    dated.publish_whole(store, dated.DAILY, marts.ops_daily(early, current))
+    return dated.refresh_daily(store, runs, dates, "month")
 
 
 @query
 def incremental_trend(spark, sf):
-    trend = _incremental_ops(spark, sf).read("gold_ops_reconciliation_trend")
-    return trend.withColumn("pct_of_total_7d_avg", F.round("pct_of_total_7d_avg", 9))
+    store, runs, early, dates = _arrival(spark, sf)
+    current = curated.results_current(early, star.results(spark, sf), star.company(spark, sf))
+    daily = dated.publish_whole(store, dated.DAILY, marts.ops_daily(early, current))
+    dated.publish_whole(store, dated.TREND, marts.ops_trend(daily))
+    dated.publish_whole(store, dated.HISTORY, marts.run_history(early, star.results(spark, sf)))
+    dated.refresh_ops(store, runs, dates, "month")
+    return store.read(dated.TREND).withColumn("pct_of_total_7d_avg", F.round("pct_of_total_7d_avg", 9))
+
+
+@query
+def incremental_run_history(spark, sf):
+    store, runs, early, dates = _arrival(spark, sf)
+    dated.publish_whole(store, dated.HISTORY, marts.run_history(early, star.results(spark, sf)))
+    dated.refresh_history(store, runs, dates, "month")
+    return _times_as_text(store.read(dated.HISTORY), "started_at", "completed_at")
+
+
+def _incremental_weeks(spark: SparkSession, sf: str) -> Store:
+    store, runs, early, dates = _arrival(spark, sf)
+    results, company = star.results(spark, sf), star.company(spark, sf)
+    summary = marts.cfo_weekly_summary(curated.results_current(early, results, company))
+    dated.publish_weeks(store, dated.SUMMARY, summary)
+    ranking = marts.cfo_weekly_merchant_ranking(curated.results_current(early, results), company)
+    dated.publish_weeks(store, dated.RANKING, ranking)
+    dated.refresh_weeks(store, dates, grain="month")
+    return store
+
+
+@query
+def incremental_weekly_summary(spark, sf):
+    return _incremental_weeks(spark, sf).read(dated.SUMMARY)
+
+
+@query
+def incremental_weekly_ranking(spark, sf):
+    return _incremental_weeks(spark, sf).read(dated.RANKING)
+
+
+@query
+def incremental_current(spark, sf):
+    """Results of the winning runs, stored while some runs are missing, then found anew for the dates of these."""
+    runs, results, company = star.runs(spark, sf), star.results(spark, sf), star.company(spark, sf)
+    late = (F.year("reference_date") == 1998) & (F.col("id") % 4 == 1)
+    store, early = _store(spark, "dated-lake"), runs.filter(~late)
+    days = dated.add_results(store, early, results, "year")
+    dated.refresh_current(store, early, company, days, "year")
+    days = dated.add_results(store, runs.filter(late), results, "year")
+    dated.refresh_current(store, runs, company, days, "year")
+    return _times_as_text(store.read(dated.CURRENT), "created_at")
 
 
 @query
 def frozen_weeks(spark, sf):
     """Weekly summary of a partial load, kept where closed, fresh elsewhere."""
     runs, results, company = star.runs(spark, sf), star.results(spark, sf), star.company(spark, sf)
-    partial = results.filter("id % 8 <= 3")
-    frozen = marts.cfo_weekly_summary(curated.results_current(runs, partial, company))
-    still_open = incremental.open_runs(runs, frozen, "1998-01-01")
+    store, partial = _store(spark, "frozen-lake"), results.filter("id % 8 <= 3")
+    dated.publish_weeks(store, dated.SUMMARY, marts.cfo_weekly_summary(curated.results_current(runs, partial, company)))
+    still_open = incremental.open_runs(runs, store.read(dated.SUMMARY), "1998-01-01")
     fresh = marts.cfo_weekly_summary(curated.results_current(still_open, results, company))
-    return incremental.keep_closed_weeks(frozen, fresh, "1998-01-01")
+    return dated.publish_weeks(store, dated.SUMMARY, fresh, "1998-01-01")
 
 
 @query
 def ledger_appended(spark, sf):
-    """Ledger of the even runs, then of all: the second time only the odd ones are added."""
+    """Results of even ids, then all: the second time every run has grown or is new, and only new results are added."""
     runs, results, company = star.runs(spark, sf), star.results(spark, sf), star.company(spark, sf)
     store = _store(spark, "ledger-lake")
-    for part in (results.filter("run_id % 2 = 0"), results):
-        incremental.append_ledger(store, marts.compliance_ledger(runs, part, company))
-    ledger = store.read("gold_compliance_ledger")
+    for part in (results.filter("run_id % 2 = 0 AND id % 3 > 0"), results):
+        dated.add_results(store, runs, part, "year")
+        dated.append_ledger_by_run(store, runs, company, grain="year")
+    ledger = store.read(dated.LEDGER)
     return ledger.select("result_id", "run_id", "reference_date", "run_status", "merchant_id", "legal_name", "category", "internal_amount")
 
 
