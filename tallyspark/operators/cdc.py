@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tallyspark.functions.amounts import MONEY
 from tallyspark.schemas import DELETE
+from tallyspark.sources.store import stage
 
 LINEAGE = "historical_backfill"
 
@@ -103,6 +104,32 @@ def typed_company(log: DataFrame, tie_breakers: Sequence[str] = ()) -> DataFrame
     )
 
 
+#: A key's bucket with at least so many changes, and a thousandth of all, is cut into ranges of about this size.
+HOT_CHANGES, HOT_PART = 1_000_000, 1000
+
+
+def _in_ranges(stamped: DataFrame, key: str, order: Sequence[str], hot_changes: int) -> DataFrame:
+    """The changes with ``_range``: 0, or the number of the range that a change of a hot bucket lies in.
+
+    Hot buckets are at most ``HOT_PART``, so they are broadcast. Their changes, and no others, are
+    dealt by range of key and order and written to the shared folder, so that a range is the same
+    whenever it is read again. A range is bounded in size unless changes are alike in key and order.
+    """
+    placed = stamped.filter("_at IS NOT NULL")
+    cells = placed.groupBy(F.col(key).alias("_of"), F.col("_bucket").alias("_in")).agg(F.count("*").alias("_n"))
+    total = placed.count()
+    hot = [r for r in cells.filter((F.col("_n") >= hot_changes) & (F.col("_n") * HOT_PART >= total)).collect()]
+    if not hot:
+        return stamped.withColumn("_range", F.lit(0))
+    schema = T.StructType([*(cells.schema[c] for c in ("_of", "_in")), T.StructField("_n", T.LongType())])
+    marks = F.broadcast(stamped.sparkSession.createDataFrame(hot, schema).drop("_n"))
+    same = F.col(key).eqNullSafe(F.col("_of")) & F.col("_bucket").eqNullSafe(F.col("_in"))
+    ranges = -(-sum(r["_n"] for r in hot) // hot_changes)
+    dealt = stamped.join(marks, same, "left_semi").repartitionByRange(ranges + len(hot), key, "_at", *order)
+    ranged, _ = stage(dealt.withColumn("_range", F.spark_partition_id() + 1), "hot-changes")
+    return stamped.join(marks, same, "left_anti").withColumn("_range", F.lit(0)).unionByName(ranged)
+
+
 def versioned_history(
     log: DataFrame,
     key: str,
@@ -110,34 +137,38 @@ def versioned_history(
     tie_breakers: Sequence[str] = (),
     bucket: str = "month",
     op: str = "Op",
+    hot_changes: int = HOT_CHANGES,
 ) -> DataFrame:
     """Every version of every key with ``valid_from``, ``valid_to`` and ``is_current``.
 
     ``valid_to`` is the time of the next change. A key with very many changes is split by
     time bucket: inside a bucket the next change is a window lead, and the last change of a
     bucket takes the first time of the key's next bucket from a frame of one row per key
-    and bucket. A delete closes its predecessor and is no version itself. NULL is a key
+    and bucket. A bucket that holds much of the log by itself is cut further, into ranges of
+    about ``hot_changes`` changes, see ``_in_ranges``. A delete closes its predecessor and is no version itself. NULL is a key
     like any other. A change without a time has no place in the order: it comes out with
     neither ``valid_from`` nor ``valid_to`` and is never current.
     """
     stamped = log.withColumn("_at", F.col(at).cast("timestamp")).withColumn(
         "_bucket", F.date_trunc(bucket, "_at")
     )
-    inside = Window.partitionBy(key, "_bucket").orderBy("_at", *[F.col(c) for c in tie_breakers])
-    across = Window.partitionBy("_of").orderBy("_in")
+    stamped = _in_ranges(stamped, key, tie_breakers, hot_changes)
+    inside = Window.partitionBy(key, "_bucket", "_range").orderBy("_at", *[F.col(c) for c in tie_breakers])
+    across = Window.partitionBy("_of").orderBy("_in", "_part")
     starts = (
         stamped.filter("_at IS NOT NULL")
-        .groupBy(F.col(key).alias("_of"), F.col("_bucket").alias("_in"))
+        .groupBy(F.col(key).alias("_of"), F.col("_bucket").alias("_in"), F.col("_range").alias("_part"))
         .agg(F.min("_at").alias("_first"))
         .withColumn("_next_first", F.lead("_first").over(across))
         .drop("_first")
     )
+    place = F.col(key).eqNullSafe(F.col("_of")) & F.col("_bucket").eqNullSafe(F.col("_in")) & (F.col("_range") == F.col("_part"))
     return (
         stamped.withColumn("_next", F.lead("_at").over(inside))
-        .join(starts, F.col(key).eqNullSafe(F.col("_of")) & F.col("_bucket").eqNullSafe(F.col("_in")), "left")
+        .join(starts, place, "left")
         .withColumn("valid_from", F.col("_at"))
         .withColumn("valid_to", F.coalesce("_next", "_next_first"))
         .withColumn("is_current", F.col("valid_to").isNull() & F.col("_at").isNotNull())
         .filter(~F.col(op).eqNullSafe(DELETE))
-        .drop("_at", "_bucket", "_next", "_next_first", "_of", "_in")
+        .drop("_at", "_bucket", "_range", "_next", "_next_first", "_of", "_in", "_part")
     )

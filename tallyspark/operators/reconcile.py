@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyspark.schemas import (
     MATCHED,
@@ -48,10 +48,9 @@ def reconcile(
     file with every internal row of its window, so an internal row appears once for every
     run date within reach.
 
-    The join is an equi-join that carries the window as a further condition. In scope "run"
-    internal rows are not multiplied before they are shuffled: the processor side takes its
-    partners in one join, and what no file of a date within reach has comes from a second
-    one with the dates per transaction, after which the days are laid out in the same stage.
+    Scope "transaction" is an equi-join that carries the window as a further condition. In
+    scope "run" both sides move once, into one sorted group per transaction, and the days are
+    laid out from there; see ``_by_run``.
     """
     ours = _keyed(internal, 1, "i").select(
         "i_key",
@@ -70,19 +69,47 @@ def reconcile(
         F.col("reference_date").alias("p_date"),
     )
     if scope == "run":
-        run_dates = theirs.select(F.col("p_date").alias("i_run")).distinct()
-        reach = F.sequence("i_date", F.date_add("i_date", window_days))
-        in_window = F.col("p_date").between(F.col("i_date"), F.date_add("i_date", window_days))
-        anchor = F.coalesce("p_date", "i_run")
-    elif scope == "transaction":
-        in_window = F.col("i_date").between(F.date_sub("p_date", window_days), F.col("p_date"))
-        anchor = F.coalesce("p_date", "i_date")
-    else:
+        return _classified(*_by_run(ours, theirs, window_days), tolerance)
+    if scope != "transaction":
         raise ValueError(f"scope must be 'transaction' or 'run', not {scope!r}")
-
+    in_window = F.col("i_date").between(F.date_sub("p_date", window_days), F.col("p_date"))
     same = (
         (F.col("i_key") == F.col("p_key")) & (F.col("i_side") == F.col("p_side")) & in_window
     )
+    joined = ours.join(theirs, same, "full_outer")
+    return _classified(joined, F.coalesce("p_date", "i_date"), tolerance)
+
+
+def _by_run(ours: DataFrame, theirs: DataFrame, window_days: int) -> tuple[DataFrame, Column]:
+    """Every file row with its partner in the window, and every internal row on each run date in
+    reach whose file does not have it.
+
+    The rows of both sides are one frame, exchanged once by transaction. In the sorted group of a
+    transaction a file row sees the internal row, and the internal row the dates that have it;
+    only then is it laid out over the other dates, so it is not multiplied before it moves. A
+    group is as long as a transaction has dates.
+    """
+    run_dates = theirs.select(F.col("p_date").alias("i_run")).distinct().withColumn("_ran", F.lit(True))
+    one = ours.withColumnsRenamed({"i_key": "_key", "i_side": "_side"}).unionByName(
+        theirs.withColumnsRenamed({"p_key": "_key", "p_side": "_side"}), allowMissingColumns=True
+    )
+    group = Window.partitionBy("_key", "_side")
+    internal = F.col("i_date").isNotNull()
+    partner = F.max(F.when(internal, F.struct("i_date", "i_id", "i_merchant", "internal_amount"))).over(group)
+    met = one.withColumn("_with", partner).withColumn("_days", F.collect_set("p_date").over(group))
+    reach = F.sequence("i_date", F.date_add("i_date", window_days))
+    laid = met.withColumn("i_run", F.explode_outer(F.when(internal, F.array_except(reach, F.col("_days")))))
+    # One row per calendar date, hence broadcast whatever the volume.
+    dated = laid.join(F.broadcast(run_dates), "i_run", "left").filter(~internal | F.col("_ran"))
+    first = F.col("_with.i_date")
+    near = F.col("p_date").between(first, F.date_add(first, window_days))
+    pairs = {c: F.when(internal, F.col(c)).when(near, F.col(f"_with.{c}")) for c in ("i_id", "i_merchant", "internal_amount")}
+    # The partner's date is needed last, as it tells the sides apart.
+    paired = dated.withColumns({**pairs, "i_date": F.when(internal, F.col("i_date")).when(near, first)})
+    return paired, F.coalesce("p_date", "i_run")
+
+
+def _classified(joined: DataFrame, anchor: Column, tolerance: str) -> DataFrame:
     difference = F.abs(F.col("internal_amount") - F.col("processor_amount"))
     category = (
         F.when(F.col("i_date").isNull(), UNRECONCILED_PROCESSOR)
@@ -90,17 +117,6 @@ def reconcile(
         .when(difference <= F.lit(tolerance).cast("decimal(18,2)"), MATCHED)
         .otherwise(MISMATCHED)
     )
-    if scope == "run":
-        days = theirs.groupBy(F.col("p_key").alias("i_key"), F.col("p_side").alias("i_side")).agg(
-            F.collect_set("p_date").alias("p_days")
-        )
-        free = F.array_except(reach, F.coalesce("p_days", F.array().cast("array<date>")))
-        alone = ours.join(days, ["i_key", "i_side"], "left").withColumn("i_run", F.explode(free)).drop("p_days")
-        # One row per calendar date, hence broadcast whatever the volume.
-        alone = alone.join(F.broadcast(run_dates), "i_run", "left_semi")
-        joined = theirs.join(ours, same, "left").unionByName(alone, allowMissingColumns=True)
-    else:
-        joined = ours.join(theirs, same, "full_outer")
     return joined.select(
         F.coalesce("i_id", "p_id").alias("transaction_id"),
         anchor.alias("reference_date"),

@@ -28,20 +28,23 @@ def match_streams(
     window_days: int = WINDOW_DAYS,
     tolerance: str = TOLERANCE,
 ) -> DataFrame:
-    """Match two streams on transaction_id inside the window.
+    """Match two streams on transaction_id inside the window, into the four categories.
 
     ``internal`` has transaction_id, amount, created_at; ``processor`` has transaction_id,
     amount, settled_at, whose date is the reference date. The interval in the condition
     bounds the state; an unmatched row comes out once the watermark has passed its window,
     so a settlement that is later than that is reported as unreconciled, and the internal
     row as well.
+
+    Rows without a transaction id can match nothing. They do not enter the state, where all
+    of them would meet in one partition, but come out at once as unreconciled.
     """
-    ours = internal.select(
+    ours = internal.filter("transaction_id IS NOT NULL").select(
         F.col("transaction_id").alias("i_id"),
         F.col("amount").cast("decimal(18,2)").alias("internal_amount"),
         F.col("created_at"),
     ).withWatermark("created_at", lateness)
-    theirs = processor.select(
+    theirs = processor.filter("transaction_id IS NOT NULL").select(
         F.col("transaction_id").alias("p_id"),
         F.col("amount").cast("decimal(18,2)").alias("processor_amount"),
         F.col("settled_at"),
@@ -61,7 +64,7 @@ def match_streams(
         .when(difference <= F.lit(tolerance).cast("decimal(18,2)"), MATCHED)
         .otherwise(MISMATCHED)
     )
-    return ours.join(theirs, condition, how).select(
+    matched = ours.join(theirs, condition, how).select(
         F.coalesce("i_id", "p_id").alias("transaction_id"),
         F.coalesce(reference, created).alias("reference_date"),
         category.alias("category"),
@@ -69,3 +72,20 @@ def match_streams(
         "processor_amount",
         difference.cast("decimal(18,2)").alias("difference"),
     )
+    if how in ("full_outer", "left_outer"):
+        matched = matched.unionByName(_without_id(internal, "created_at", UNRECONCILED_INTERNAL, "internal_amount"))
+    if how in ("full_outer", "right_outer"):
+        matched = matched.unionByName(_without_id(processor, "settled_at", UNRECONCILED_PROCESSOR, "processor_amount"))
+    return matched
+
+
+def _without_id(stream: DataFrame, at: str, category: str, amount: str) -> DataFrame:
+    none = F.lit(None).cast("decimal(18,2)")
+    amounts = {c: none for c in ("internal_amount", "processor_amount")} | {amount: F.col("amount").cast("decimal(18,2)")}
+    return stream.filter("transaction_id IS NULL").select(
+        F.lit(None).cast("string").alias("transaction_id"),
+        F.col(at).cast("date").alias("reference_date"),
+        F.lit(category).alias("category"),
+        *(c.alias(name) for name, c in amounts.items()),
+        none.alias("difference"),
+    )

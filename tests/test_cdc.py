@@ -111,3 +111,23 @@ def test_history_splits_by_bucket(spark):
         ("a", 3, "2025-03-01", "2025-03-02", False),
         ("b", 1, "2025-02-01", None, True),
     ]
+
+
+def test_history_of_a_hot_key_is_cut_into_ranges(spark):
+    """One key has most changes of one month, many at the same time; ranges are bounded and give what one window gives."""
+    from pyspark.sql import Window, functions as F
+
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
+        F.col("id").cast("int").alias("v"),
+        F.when(F.col("id") % 11 == 0, "D").otherwise("U").alias("Op"),
+        F.timestamp_seconds(1700000000 + (F.col("id") * 7919) % 900 * 2000).alias("_timestamp"),
+    )
+    stamped = rows.withColumn("_at", F.col("_timestamp")).withColumn("_bucket", F.date_trunc("month", "_at"))
+    ranged = cdc._in_ranges(stamped, "k", ("v",), 300)
+    sizes = [r["count"] for r in ranged.filter("_range > 0").groupBy("_range").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 900 and ranged.count() == 6000
+    lead = F.lead("_timestamp").over(Window.partitionBy("k").orderBy("_timestamp", "v"))
+    want = rows.withColumn("valid_to", lead).filter("Op <> 'D'").select("k", "v", F.col("_timestamp").alias("valid_from"), "valid_to")
+    got = cdc.versioned_history(rows, "k", tie_breakers=("v",), hot_changes=300).select("k", "v", "valid_from", "valid_to")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))

@@ -79,3 +79,11 @@ def test_audit_counts_like_a_row_level_join(spark):
     again = spark.createDataFrame([("a", "MATCHED"), ("c", "X"), ("c", "Y"), ("d", "X")], "transaction_id string, category string")
     rows = {(r.stored, r.recomputed): r.transactions for r in audit_categories(stored, again).collect()}
     assert rows == {("MATCHED", "MATCHED"): 1, ("MISMATCHED", None): 1, ("MATCHED", "X"): 2, ("MATCHED", "Y"): 2, (None, "X"): 1}
+
+
+def test_scope_run_moves_each_side_once(spark):
+    internal = spark.createDataFrame([("a", "M", 1.0, "2025-01-01")], "transaction_id string, merchant_id string, amount double, created_at string")
+    processor = spark.createDataFrame([("a", "M", 1.0, "2025-01-02")], "transaction_id string, merchant_id string, amount double, reference_date string")
+    frames = internal.selectExpr("*"), processor.withColumn("reference_date", F.col("reference_date").cast("date"))
+    plan = reconcile(*frames, scope="run")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(_key") == 1 and "SortMergeJoin" not in plan

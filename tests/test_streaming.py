@@ -121,3 +121,17 @@ def test_stable_partitions_limit_what_a_batch_rewrites(spark, store, tmp_path):
     handle(batch(("b", 2, "2025-01-02", "2"), ("b", 0, "2025-01-02", "0")), 1)
     assert {r.k: r.v for r in store.read("state").collect()} == {"a": 1, "b": 2}
     assert sorted(p.name for p in folder.glob("*.parquet")) == before
+
+
+def test_rows_without_an_id_come_out_at_once(spark):
+    ours, theirs, table, checkpoint = (fresh_dir(spark, x) for x in ("ours", "theirs", "table", "checkpoint"))
+    internal, processor = ("transaction_id string, amount double, " + c for c in ("created_at timestamp", "settled_at timestamp"))
+    write(spark, ours, internal, (None, 1.0, "2025-03-10 10:00:00"), (None, 2.0, "2025-03-10 10:00:00"), ("a", 3.0, "2025-03-10"))
+    write(spark, theirs, processor, (None, 1.0, "2025-03-12 10:00:00"), ("a", 3.0, "2025-03-12"))
+    pairs = matching.match_streams(changes.file_stream(spark, ours, internal), changes.file_stream(spark, theirs, processor))
+    changes.append_stream(pairs, table, checkpoint).awaitTermination()
+    got = sorted((r.transaction_id or "", r.category, str(r.reference_date)) for r in spark.read.parquet(table).collect())
+    assert got == [
+        ("", "UNRECONCILED_INTERNAL", "2025-03-10"), ("", "UNRECONCILED_INTERNAL", "2025-03-10"),
+        ("", "UNRECONCILED_PROCESSOR", "2025-03-12"), ("a", "MATCHED", "2025-03-12"),
+    ]

@@ -717,16 +717,27 @@ QUALIFY row_number() OVER (PARTITION BY CASE WHEN event_id % 50 <> 7 THEN user_i
 
 ORACLE["stream_deduplicated"] = "SELECT event_id, event_type FROM events"
 
+ORACLE["history_hot_key"] = """
+WITH log AS (
+  SELECT CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS k, event_id, event_type, ts FROM events),
+versions AS (SELECT *, lead(ts) OVER (PARTITION BY k ORDER BY ts, event_id) AS next FROM log)
+SELECT k, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS valid_from, strftime(next, '%Y-%m-%d %H:%M:%S.%f') AS valid_to,
+  next IS NULL AS is_current
+FROM versions WHERE event_type <> 'error'"""
+
 ORACLE["stream_matches"] = """
-WITH pairs AS (
-  SELECT event_id, CAST(value AS DECIMAL(18,2)) AS ours,
+WITH i AS (
+  SELECT CASE WHEN event_id % 40 <> 11 THEN CAST(event_id AS VARCHAR) END AS id, CAST(value AS DECIMAL(18,2)) AS ours,
+    CAST(ts AS DATE) AS created FROM events),
+p AS (
+  SELECT CASE WHEN event_id % 40 <> 12 THEN CASE WHEN event_id % 5 = 0 THEN 'P' ELSE '' END || CAST(event_id AS VARCHAR) END AS id,
     CAST(value + CASE WHEN event_id % 9 = 0 THEN 1.5 ELSE 0 END AS DECIMAL(18,2)) AS theirs,
-    CAST(ts AS DATE) AS created, CAST(ts + to_days(CAST(event_id % 12 AS INTEGER)) AS DATE) AS ref
-  FROM events WHERE event_id % 5 <> 0)
-SELECT CAST(event_id AS VARCHAR) AS transaction_id, ref AS reference_date,
-  CASE WHEN abs(ours - theirs) <= 0.01 THEN 'MATCHED' ELSE 'MISMATCHED' END AS category,
+    CAST(ts + to_days(CAST(event_id % 12 AS INTEGER)) AS DATE) AS ref FROM events)
+SELECT coalesce(i.id, p.id) AS transaction_id, coalesce(ref, created) AS reference_date,
+  CASE WHEN created IS NULL THEN 'UNRECONCILED_PROCESSOR' WHEN ref IS NULL THEN 'UNRECONCILED_INTERNAL'
+    WHEN abs(ours - theirs) <= 0.01 THEN 'MATCHED' ELSE 'MISMATCHED' END AS category,
   ours AS internal_amount, theirs AS processor_amount, CAST(abs(ours - theirs) AS DECIMAL(18,2)) AS difference
-FROM pairs WHERE created BETWEEN ref - 7 AND ref"""
+FROM i FULL JOIN p ON i.id = p.id AND created BETWEEN ref - 7 AND ref"""
 
 ORACLE["incremental_daily"] = ORACLE["ops_daily"]
 ORACLE["incremental_trend"] = ORACLE["ops_trend"]

@@ -175,6 +175,20 @@ def results_current(spark, sf):
     return _times_as_text(_current(spark, sf), "created_at")
 
 
+@query
+def history_hot_key(spark, sf):
+    """Versions of users of whom one has a third of all changes, all in one month."""
+    log = star.table(spark, sf, "events").select(
+        F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id")).alias("k"),
+        "event_id",
+        F.when(F.col("event_type") == "error", "D").otherwise("U").alias("Op"),
+        F.col("ts").cast("timestamp").alias("_timestamp"),
+    )
+    versions = cdc.versioned_history(log, "k", tie_breakers=("event_id",), hot_changes=1000)
+    text = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("valid_from", "valid_to")}
+    return versions.withColumns(text).select("k", "event_id", "valid_from", "valid_to", "is_current")
+
+
 # --- marts ----------------------------------------------------------------------------------------
 
 
@@ -731,8 +745,8 @@ def stream_upsert(spark, sf):
     store, folder = _store(spark, "stream-lake"), fresh_dir(spark, "stream-files")
     events = star.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     for half in (0, 1):
-        events.filter(F.col("event_id") % 2 == half).coalesce(1).write.mode("append").parquet(folder)
-    stream = changes.file_stream(spark, folder, EVENTS.replace("timestamp_ntz", "timestamp"), files_per_batch=1).select(
+        events.filter(F.col("event_id") % 2 == half).repartition(2).write.mode("append").parquet(folder)
+    stream = changes.file_stream(spark, folder, EVENTS.replace("timestamp_ntz", "timestamp"), files_per_batch=2).select(
         F.concat(F.lit("U"), F.col("user_id")).alias("transaction_id"),
         F.when(F.col("event_id") % 40 > 3, F.col("ts").cast("date")).alias("reference_date"),
         F.col("value").alias("amount"),
@@ -754,10 +768,10 @@ def stream_current_state(spark, sf):
     log = log.withColumn("user_id", F.when(F.col("event_id") % 50 != 7, F.col("user_id")))
     part = F.pmod(F.col("event_id"), F.lit(3))
     for i in (2, 1, 0):
-        log.filter(part == i).coalesce(1).write.mode("append").parquet(folder)
+        log.filter(part == i).repartition(2).write.mode("append").parquet(folder)
     store = _store(spark, "state-lake")
     schema = EVENTS.replace("timestamp_ntz", "timestamp")
-    stream = changes.file_stream(spark, folder, schema, files_per_batch=1)
+    stream = changes.file_stream(spark, folder, schema, files_per_batch=2)
     handle = changes.merge_changes_handler(store, "state", "user_id", ["ts", "event_id"], buckets=8)
     started = changes.batch_stream(stream, handle, fresh_dir(spark, "stream-checkpoint"))
     started.awaitTermination()
@@ -777,23 +791,46 @@ def stream_deduplicated(spark, sf):
     return spark.read.parquet(table)
 
 
+#: Days of event time that a micro-batch of the matched streams covers; with a batch's delay they stay inside the lateness.
+BATCH_DAYS, MATCH_LATENESS = 8, "21 days"
+
+
+def _arriving(frame: DataFrame, at: str, label: str) -> tuple[str, int]:
+    """Files in order of event time, every 13th row one batch late, and at last a row that closes the streams."""
+    folder = fresh_dir(frame.sparkSession, label)
+    day = F.datediff(F.col(at).cast("date"), F.lit("2024-01-01").cast("date"))
+    late = (F.xxhash64("transaction_id", "amount") % 13 == 0).cast("int")
+    numbered = frame.withColumn("_batch", F.floor(day / BATCH_DAYS) + F.coalesce(late, F.lit(0)))
+    first, last = numbered.agg(F.min("_batch"), F.max("_batch")).first()
+    for i in range(first, last + 1):
+        numbered.filter(F.col("_batch") == i).drop("_batch").repartition(2).write.mode("append").parquet(folder)
+    end = {"transaction_id": F.lit("end"), "amount": F.lit(0.0), at: F.lit("2100-01-01").cast("timestamp")}
+    frame.sparkSession.range(2).select(*(end[c].alias(c) for c in frame.columns)).repartition(2).write.mode("append").parquet(folder)
+    return folder, last - first + 1
+
+
 @query
 def stream_matches(spark, sf):
-    """Two streams matched within the window; what settled too late stays out."""
-    internal = _events(spark, sf).select(
-        F.col("event_id").cast("string").alias("transaction_id"),
-        F.col("value").alias("amount"),
-        F.col("ts").alias("created_at"),
+    """Two streams in several micro-batches: all four categories, late rows, rows without an id on both sides."""
+    events = star.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    key, name = F.col("event_id"), F.col("event_id").cast("string")
+    internal = events.select(
+        F.when(key % 40 != 11, name).alias("transaction_id"), F.col("value").alias("amount"), F.col("ts").alias("created_at")
+    )
+    unknown = F.when(key % 5 == 0, F.concat(F.lit("P"), name)).otherwise(name)
+    processor = events.select(
+        F.when(key % 40 != 12, unknown).alias("transaction_id"),
+        (F.col("value") + F.when(key % 9 == 0, 1.5).otherwise(0.0)).alias("amount"),
+        (F.col("ts") + F.make_dt_interval(key.cast("int") % 12)).alias("settled_at"),
     )
-    delay = F.make_dt_interval(F.col("event_id").cast("int") % 12)
-    processor = _events(spark, sf).filter("event_id % 5 <> 0").select(
-        F.col("event_id").cast("string").alias("transaction_id"),
-        (F.col("value") + F.when(F.col("event_id") % 9 == 0, 1.5).otherwise(0.0)).alias("amount"),
-        (F.col("ts") + delay).alias("settled_at"),
+    ours, theirs = _arriving(internal, "created_at", "internal-files")[0], _arriving(processor, "settled_at", "processor-files")[0]
+    matched = stream_matching.match_streams(
+        changes.file_stream(spark, ours, "transaction_id string, amount double, created_at timestamp", files_per_batch=2),
+        changes.file_stream(spark, theirs, "transaction_id string, amount double, settled_at timestamp", files_per_batch=2),
+        lateness=MATCH_LATENESS,
     )
-    pairs = stream_matching.match_streams(internal, processor, how="inner")
     table, checkpoint = fresh_dir(spark, "stream-table"), fresh_dir(spark, "stream-checkpoint")
-    changes.append_stream(pairs, table, checkpoint).awaitTermination()
+    changes.append_stream(matched.filter("transaction_id IS NULL OR transaction_id <> 'end'"), table, checkpoint).awaitTermination()
     return spark.read.parquet(table)
 
 
