@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyspark.functions.text import display_name, percent, short_label, thousands
 from tallyspark.plans.alerts import requested_date
@@ -102,13 +102,31 @@ def runs_between(history: DataFrame, start: str, end: str) -> DataFrame:
     return history.filter(days)
 
 
+def report_order(artifact: str) -> list[Column]:
+    """The order of a gold artifact. Tables are stored without one, as each reader may want only a part."""
+    if artifact == "gold_ops_run_history":
+        return [
+            F.col("reference_date").desc(),
+            F.col("started_at").desc_nulls_last(),
+            F.col("run_id").asc(),
+            F.col("category").asc_nulls_last(),
+        ]
+    if artifact == "gold_cfo_weekly_merchant_ranking":
+        ties = ("merchant_id", "category", "legal_name", "trade_name")
+        return [F.col("week_start").asc(), F.col("amount_brl").desc_nulls_last(), *(F.col(c).asc_nulls_last() for c in ties)]
+    if artifact == "gold_compliance_ledger":
+        return [F.col(c).asc_nulls_last() for c in ("reference_date", "run_id", "result_id", "legal_name", "document")]
+    first = "week_start" if artifact == "gold_cfo_weekly_summary" else "reference_date"
+    return [F.col(first).asc(), F.col("category").asc_nulls_last()]
+
+
+def ordered(artifact: str, rows: DataFrame) -> DataFrame:
+    """The rows of a gold artifact, or some of them, in the order it is shown in."""
+    return rows.orderBy(*report_order(artifact))
+
+
 def in_report_order(history: DataFrame) -> DataFrame:
-    return history.orderBy(
-        F.col("reference_date").desc(),
-        F.col("started_at").desc_nulls_last(),
-        F.col("run_id").asc(),
-        F.col("category").asc_nulls_last(),
-    )
+    return ordered("gold_ops_run_history", history)
 
 
 def nested_runs(history: DataFrame) -> DataFrame:

@@ -334,6 +334,33 @@ SELECT transaction_id, DATE '1999-01-31' AS reference_date, amount, 'all[1].csv'
   (SELECT count(*) FROM kept) AS loaded
 FROM kept"""
 
+ORACLE["settlements_loaded_at"] = _with(LINES) + """
+SELECT file_date AS reference_date, count(*) AS rows, true AS fresh FROM texts
+WHERE file_date NOT IN (FROM bad) AND seq = CASE WHEN o_orderkey % 200 = 0 THEN 1 ELSE 0 END GROUP BY ALL"""
+
+ORACLE["settlements_broken_rows"] = """
+WITH months AS (
+  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS reference_date, (year(o_orderdate) * 12 + month(o_orderdate)) % 7 AS kind,
+    count(*) AS rows, count(*) FILTER (o_orderkey % 20 = 0) AS hits
+  FROM orders GROUP BY ALL),
+noted AS (
+  SELECT *, concat(CASE kind WHEN 0 THEN 'merchant_id is blank' WHEN 1 THEN 'Unknown statuses found' WHEN 2 THEN 'Missing currencies found'
+      WHEN 3 THEN 'Missing amounts found' WHEN 4 THEN 'Missing processor references found' WHEN 5 THEN 'Ambiguous amounts found'
+      ELSE 'Currency codes not of length 3 found' END, ' (', hits, ' rows)') AS note FROM months)
+SELECT reference_date, rows, CASE WHEN kind < 5 AND hits > 0 THEN 0 ELSE rows END AS loaded,
+  CASE WHEN kind < 5 AND hits > 0 THEN note ELSE '' END AS reasons, CASE WHEN kind >= 5 AND hits > 0 THEN note ELSE '' END AS warnings
+FROM noted"""
+
+ORACLE["refusals"] = _with(COMPANY) + """
+SELECT 'no folder' AS "case", 'NotADirectoryError: settlement folder not found: <drop>/nowhere' AS said
+UNION ALL SELECT 'no file', 'FileNotFoundError: settlement file not found: <drop>/none.csv'
+UNION ALL SELECT 'no file matches', 'returned {}'
+UNION ALL SELECT 'no batch', 'FileNotFoundError: input not found: <drop>/batch.parquet'
+UNION ALL SELECT 'no silver', 'RuntimeError: not loaded yet: silver_reconciliation_runs, silver_reconciliation_results, silver_enterprise_company'
+UNION ALL SELECT 'doubled merchants', concat('ValueError: company: ', count(*), ' duplicate key(s) on (merchant_id)')
+FROM (SELECT merchant_id FROM company GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'unique runs', 'returned None'"""
+
 ORACLE["settlements_normalized"] = _with(LINES) + "SELECT DISTINCT amount, parsed FROM texts"
 
 ORACLE["settlements_union_by_name"] = _with(LINES) + """
@@ -465,6 +492,38 @@ ORACLE["run_report_ordered"] = _with(*TO_HISTORY) + """
 SELECT reference_date, run_id, category, txn_count, pct_of_total FROM history
 ORDER BY reference_date DESC, started_at DESC, run_id, category"""
 
+ORACLE["ops_daily_positions"] = _with(*TO_DAILY) + """
+SELECT reference_date, category, txn_count, row_number() OVER (ORDER BY reference_date, category NULLS LAST) AS position FROM daily"""
+
+ORACLE["ops_trend_positions"] = _with(*TO_DAILY) + """
+SELECT reference_date, category, run_id, row_number() OVER (ORDER BY reference_date, category NULLS LAST) AS position FROM daily"""
+
+ORACLE["run_history_positions"] = _with(*TO_HISTORY) + """
+SELECT run_id, category, txn_count,
+  row_number() OVER (ORDER BY reference_date DESC, started_at DESC, run_id, category NULLS LAST) AS position FROM history"""
+
+ORACLE["cfo_weekly_positions"] = _with(*TO_WEEKLY) + """
+SELECT week_start, category, amount_brl, row_number() OVER (ORDER BY week_start, category NULLS LAST) AS position FROM weekly"""
+
+ORACLE["cfo_ranking_positions"] = _with(*TO_RANKING) + """
+SELECT week_start, merchant_id, category, legal_name, amount_brl, row_number() OVER (ORDER BY week_start, amount_brl DESC NULLS LAST,
+  merchant_id NULLS LAST, category NULLS LAST, legal_name NULLS LAST, trade_name NULLS LAST) AS position FROM ranking"""
+
+ORACLE["ledger_positions"] = _with(*TO_LEDGER) + """
+SELECT result_id, legal_name, row_number() OVER (ORDER BY reference_date, run_id, result_id, legal_name NULLS LAST,
+  document NULLS LAST) AS position FROM ledger"""
+
+ORACLE["run_results_listed"] = _with(RESULTS) + """
+SELECT run_id, results, md5(results) AS digest FROM (
+  SELECT run_id, string_agg(part, ';' ORDER BY id, part) AS results FROM (
+    SELECT run_id, id, concat_ws(':', id, category, coalesce(CAST(internal_amount AS VARCHAR), '-')) AS part FROM results)
+  GROUP BY run_id)"""
+
+ORACLE["no_data"] = """
+SELECT product, count(o_orderkey) AS rows
+FROM (VALUES ('ops_alert'), ('alert_payload'), ('cfo_period'), ('run_report'), ('run_calendar')) AS p(product)
+  LEFT JOIN orders ON o_orderdate < DATE '1900-01-01' GROUP BY ALL"""
+
 ORACLE["run_distinct_ids"] = _with(*TO_DAILY) + "SELECT DISTINCT reference_date, run_id FROM daily"
 
 # --- alerts ------------------------------------------------------------------------------------------------
@@ -704,6 +763,9 @@ SELECT run_label, 'silver_reconciliation_results' AS subject, found.* FROM found
 ORACLE["stream_append"] = """
 SELECT event_type, count(*) AS n, max(event_id) AS last_event FROM events GROUP BY ALL"""
 
+ORACLE["stream_interval"] = """
+SELECT user_id, count(*) AS n, max(event_id) AS last_event FROM events GROUP BY ALL"""
+
 ORACLE["stream_upsert"] = """
 SELECT concat('U', user_id) AS transaction_id, CASE WHEN event_id % 40 > 3 THEN CAST(ts AS DATE) END AS reference_date,
   value AS amount, event_id

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyspark.functions.amounts import normalize_amount
 from tallyspark.functions.text import money, thousands
 from tallyspark.operators import cdc, profile, quality, reconcile as matching
+from tallyspark.operators.ordering import numbered
 from tallyspark.plans import alerts, build, checks, curated, dated, incremental, marts, reports
 from tallyspark.session import configure, fresh_dir
 from tallyspark.sources import changelog, settlements as csv
@@ -344,6 +345,63 @@ def settlement_file_loaded(spark, sf):
     return table.select("transaction_id", "reference_date", "amount", "_source_file", F.lit(loaded).cast("long").alias("loaded"))
 
 
+@query
+def settlements_loaded_at(spark, sf):
+    """Rows per loaded file, and whether all carry a load time of this run."""
+    started = spark.sql("SELECT current_timestamp()").first()[0]
+    store, _ = _loaded_drop(spark, sf)
+    fresh = F.bool_and(F.coalesce(F.col("_loaded_at") >= F.lit(started), F.lit(False))).alias("fresh")
+    return store.read(csv.TABLE).groupBy("reference_date").agg(F.count("*").alias("rows"), fresh)
+
+
+@query
+def settlements_broken_rows(spark, sf):
+    """One kind of broken row per month: blank merchant, unknown status, missing fields, ambiguous amount, long currency."""
+    kind, hit = F.col("month") % 7, F.col("_key") % 20 == 0
+    lines = star.settlement_lines(spark, sf).filter("_seq = 0").withColumn("month", F.year("file_date") * 12 + F.month("file_date"))
+    lines = lines.withColumns({"transaction_id": F.concat(F.lit("T"), "_key"), "amount": F.concat("_key", F.lit(".50"))})
+    broken = {
+        "merchant_id": (0, "   "), "status": (1, "PENDING"), "currency": (2, None), "amount": (3, None),
+        "processor_reference": (4, None),
+    }
+    for column, (n, value) in broken.items():
+        lines = lines.withColumn(column, F.when((kind == n) & hit, F.lit(value)).otherwise(F.col(column)))
+    lines = lines.withColumn("amount", F.when((kind == 5) & hit, F.lit("1,234.50")).otherwise(F.col("amount")))
+    lines = lines.withColumn("currency", F.when((kind == 6) & hit, F.lit("REAL")).otherwise(F.col("currency")))
+    folder = fresh_dir(spark, "broken")
+    star.write_drop(lines.drop("month"), folder)
+    verdicts = csv.judge_and_load(_store(spark, "broken-lake"), folder, r"file_date=(\d{4}-\d{2}-\d{2})", recursive=True)
+    return verdicts.select(
+        "reference_date", "rows", "loaded", F.array_join("reasons", "; ").alias("reasons"), F.array_join("warnings", "; ").alias("warnings")
+    )
+
+
+def _said(work: Callable[[], object]) -> str:
+    try:
+        return f"returned {work()}"
+    except Exception as exc:
+        return f"{type(exc).__name__}: {exc}"
+
+
+@query
+def refusals(spark, sf):
+    """What loaders and checks say where inputs are missing, no file matches, or a key is not unique."""
+    folder, store = fresh_dir(spark, "drop"), _store(spark, "refusing-lake")
+    star.write_drop(star.settlement_lines(spark, sf), folder)
+    company, runs = star.company(spark, sf), star.runs(spark, sf)
+    cases = {
+        "no folder": lambda: csv.load_directory(store, f"{folder}/nowhere", "(.*)"),
+        "no file": lambda: csv.load_file(store, f"{folder}/none.csv", "2024-01-01"),
+        "no file matches": lambda: csv.load_directory(store, folder, "(.*)", glob="*.tsv", recursive=True),
+        "no batch": lambda: changelog.load_transactions(store, [f"{folder}/batch.parquet"]),
+        "no silver": lambda: build.build_gold(store),
+        "doubled merchants": lambda: quality.require_unique(company, ["merchant_id"], "company"),
+        "unique runs": lambda: quality.require_unique(runs, ["id"], "runs"),
+    }
+    said = [(case, _said(work).replace(folder, "<drop>")) for case, work in cases.items()]
+    return spark.createDataFrame(said, "case string, said string")
+
+
 @query
 def settlements_normalized(spark, sf):
     """Amount texts and what they parse to, every distinct pair once."""
@@ -495,6 +553,77 @@ def run_report_ordered(spark, sf):
     return ordered.select("reference_date", "run_id", "category", "txn_count", "pct_of_total")
 
 
+def _shown(artifact: str, rows: DataFrame, *columns: str) -> DataFrame:
+    """Columns of an artifact with the position that each row has in the artifact's order."""
+    placed = numbered(rows.select(*{*columns, *ORDER_COLUMNS[artifact]}), reports.report_order(artifact))
+    return placed.select(*columns, "position")
+
+
+#: Columns that the order of an artifact goes by.
+ORDER_COLUMNS = {
+    "gold_ops_reconciliation_daily": ("reference_date", "category"),
+    "gold_ops_reconciliation_trend": ("reference_date", "category"),
+    "gold_ops_run_history": ("reference_date", "started_at", "run_id", "category"),
+    "gold_cfo_weekly_summary": ("week_start", "category"),
+    "gold_cfo_weekly_merchant_ranking": ("week_start", "amount_brl", "merchant_id", "category", "legal_name", "trade_name"),
+    "gold_compliance_ledger": ("reference_date", "run_id", "result_id", "legal_name", "document"),
+}
+
+
+@query
+def ops_daily_positions(spark, sf):
+    return _shown("gold_ops_reconciliation_daily", _daily(spark, sf), "reference_date", "category", "txn_count")
+
+
+@query
+def ops_trend_positions(spark, sf):
+    return _shown("gold_ops_reconciliation_trend", _trended(spark, sf), "reference_date", "category", "run_id")
+
+
+@query
+def run_history_positions(spark, sf):
+    return _shown("gold_ops_run_history", _history(spark, sf), "run_id", "category", "txn_count")
+
+
+@query
+def cfo_weekly_positions(spark, sf):
+    return _shown("gold_cfo_weekly_summary", _weekly(spark, sf), "week_start", "category", "amount_brl")
+
+
+@query
+def cfo_ranking_positions(spark, sf):
+    return _shown("gold_cfo_weekly_merchant_ranking", _ranking(spark, sf), "week_start", "merchant_id", "category", "legal_name", "amount_brl")
+
+
+@query
+def ledger_positions(spark, sf):
+    rows = marts.compliance_ledger(star.runs(spark, sf), star.results(spark, sf), star.company(spark, sf))
+    return _shown("gold_compliance_ledger", rows, "result_id", "legal_name")
+
+
+@query
+def run_results_listed(spark, sf):
+    """Per run its results as one text in order, and the hash of the text; a run has a few results."""
+    part = F.concat_ws(":", "id", "category", F.coalesce(F.col("internal_amount").cast("string"), F.lit("-")))
+    listed = star.results(spark, sf).withColumn("_part", part).groupBy("run_id").agg(
+        F.expr("listagg(_part, ';') WITHIN GROUP (ORDER BY id, _part)").alias("results")
+    )
+    return listed.withColumn("digest", F.md5(F.col("results").cast("binary")))
+
+
+@query
+def no_data(spark, sf):
+    """What alerts and reports say of a time before the first date: nothing."""
+    before = F.col("reference_date") < "1900-01-01"
+    trended, history = _trended(spark, sf).filter(before), _history(spark, sf).filter(before)
+    weekly = _weekly(spark, sf).filter("week_start < '1900-01-01'")
+    said = {
+        "ops_alert": alerts.evaluate(trended), "alert_payload": alerts.payload(alerts.evaluate(trended)), "cfo_period": reports.period_range(weekly),
+        "run_report": reports.nested_runs(history), "run_calendar": reports.report_calendar(history),
+    }
+    return reduce(DataFrame.union, [df.agg(F.lit(name).alias("product"), F.count("*").alias("rows")) for name, df in said.items()])
+
+
 @query
 def run_distinct_ids(spark, sf):
     return checks.distinct_values(_daily(spark, sf), "reference_date", "run_id")
@@ -736,6 +865,23 @@ def stream_append(spark, sf):
     )
 
 
+@query
+def stream_interval(spark, sf):
+    """Events in several files, taken up by micro-batches at an interval until nothing is left."""
+    folder, table, checkpoint = (fresh_dir(spark, x) for x in ("stream-files", "stream-table", "stream-checkpoint"))
+    events = star.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    events.repartition(6).write.parquet(folder)
+    stream = changes.file_stream(spark, folder, EVENTS.replace("timestamp_ntz", "timestamp"), files_per_batch=2)
+    running = changes.append_stream(stream, table, checkpoint, every="1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    if sum(p["numInputRows"] > 0 for p in running.recentProgress) < 2:
+        raise AssertionError("the events came in one batch")
+    return spark.read.parquet(table).groupBy("user_id").agg(F.count("*").alias("n"), F.max("event_id").alias("last_event"))
+
+
 @query
 def stream_upsert(spark, sf):
     """Events as settlements of their user and day, in two batches; what is sent last stays.
