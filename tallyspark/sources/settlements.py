@@ -7,7 +7,7 @@ import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyspark.functions.amounts import ambiguous_amount, normalize_amount
 from tallyspark.operators.cdc import last_per_key
@@ -21,6 +21,8 @@ TABLE = "raw_paysettler_settlements"
 KEYS = ("transaction_id", "reference_date")
 READ_BYTES = 1 << 16
 FILES_PER_PROBE_TASK = 256
+#: Characters of a record at most.
+MAX_RECORD = 1 << 21
 
 DatePattern = str | Callable[[str], str]
 
@@ -49,18 +51,30 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*.csv", recursive:
 
 def hidden_files(spark: SparkSession, folder: str, glob: str = "*.csv", recursive: bool = False) -> list[tuple[str, str]]:
     """(file, name) of matching files that Spark's readers pass over, as a part of the path
-    begins with an underscore or a dot. Listed by the file system, in the driver; usually none."""
+    begins with an underscore or a dot; usually none.
+
+    The file system matches such names level by level, so that only they reach the driver,
+    and only hidden folders are walked.
+    """
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(folder)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     matches, base = jvm.org.apache.hadoop.fs.GlobFilter(glob), root.toUri().getPath().rstrip("/") + "/"
-    found, status = [], fs.listFiles(root, recursive)
-    while status.hasNext():
-        path = status.next().getPath()
-        name = path.toUri().getPath().split(base, 1)[-1]
-        if matches.accept(path) and any(part[0] in "_." for part in name.split("/")):
-            found.append((path.toString(), name))
-    return found
+    literal = re.sub(r"([\\*?\[\]{}^,])", r"\\\1", folder.rstrip("/"))
+    found, level = [], ""
+    while True:
+        for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{literal}/{level}[_.]*")) or []:
+            if not status.isDirectory():
+                found.append(status.getPath())
+            elif recursive:
+                inside = fs.listFiles(status.getPath(), True)
+                while inside.hasNext():
+                    found.append(inside.next().getPath())
+        level += "[!_.]*/"
+        # Visible folders of the next level; a trailing star would name their files, too.
+        if not recursive or not fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{literal}/{level}*")):
+            break
+    return [(p.toString(), p.toUri().getPath().split(base, 1)[-1]) for p in found if matches.accept(p)]
 
 
 def with_headers(files: DataFrame) -> DataFrame:
@@ -103,18 +117,37 @@ def with_headers(files: DataFrame) -> DataFrame:
     )
 
 
+def _width(files: DataFrame) -> int:
+    return files.agg(F.max(F.size("header"))).first()[0] or 1
+
+
+def _by_name(lines: DataFrame, files: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The named columns of ``lines`` (file, _block, _line, _open, _fields), by the headers of ``files``.
+
+    A column that a file lacks is NULL. ``_surplus`` marks rows with more fields than the
+    header has names.
+    """
+    named = files.withColumn("_width", F.size("header")).select("*", *[F.array_position("header", c).alias(f"_at_{i}") for i, c in enumerate(columns)])
+    fields = [
+        F.get("_fields", F.col(f"_at_{i}").cast("int") - 1).alias(c) for i, c in enumerate(columns)
+    ]
+    extra = [c for c in files.columns if c not in ("file", "header")]
+    surplus = F.get("_fields", F.col("_width")).isNotNull().alias("_surplus")
+    return lines.join(named, "file").select(*extra, "_block", "_line", "_open", surplus, *fields)
+
+
 def read_by_name(files: DataFrame, folder: str, columns: Sequence[str], glob: str, recursive: bool) -> DataFrame:
-    """The named columns of all files as text, wherever each file has them.
+    """The named columns of all files as text, wherever each file has them, read line by line.
 
     One scan over the folder reads columns by position; ``files`` (file, header, further
-    columns) turns positions into names and drops the rows of files it does not list. A
-    column that a file lacks is NULL. ``_block`` and ``_line`` order the rows of a file
-    also when the file is read in several splits; ``_surplus`` marks rows with more fields
-    than the header has names.
+    columns) turns positions into names and drops the rows of files it does not list.
+    ``_block`` and ``_line`` order the rows of a file also when the file is read in several
+    splits; ``_open`` marks lines with an odd number of quotes, on which a field goes on.
     """
-    spark = files.sparkSession
-    width = files.agg(F.max(F.size("header"))).first()[0] or 1
-    reader = spark.read.schema(", ".join(f"_c{i} string" for i in range(width + 1)))
+    width = _width(files)
+    # No line has as many fields as the schema, so the reader keeps the text of each beside them.
+    reader = files.sparkSession.read.schema(", ".join([*(f"_c{i} string" for i in range(width + 2)), "_text string"]))
+    reader = reader.option("columnNameOfCorruptRecord", "_text")
     reader = reader.option("header", True).option("escape", '"').option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
@@ -122,15 +155,75 @@ def read_by_name(files: DataFrame, folder: str, columns: Sequence[str], glob: st
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"),
-        F.array(*[f"_c{i}" for i in range(width + 1)]).alias("_fields"),
+        F.coalesce(_quotes(F.col("_text")) % 2 == 1, F.lit(False)).alias("_open"),
+        F.array(*[f"_c{i}" for i in range(width + 2)]).alias("_fields"),
     )
-    named = files.withColumn("_width", F.size("header")).select("*", *[F.array_position("header", c).alias(f"_at_{i}") for i, c in enumerate(columns)])
-    fields = [
-        F.get("_fields", F.col(f"_at_{i}").cast("int") - 1).alias(c) for i, c in enumerate(columns)
-    ]
-    extra = [c for c in files.columns if c not in ("file", "header")]
-    surplus = F.get("_fields", F.col("_width")).isNotNull().alias("_surplus")
-    return lines.join(named, "file").select(*extra, "_block", "_line", surplus, *fields)
+    return _by_name(lines, files, columns)
+
+
+def _quotes(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+
+
+def records(lines: DataFrame) -> DataFrame:
+    """Whole records (file, _block, _line, text) from the lines (file, _block, _line, text) of files.
+
+    A line break between quotes belongs to its field. Whether a line begins inside a field is
+    the parity of all quotes before it in its file: the quotes of each split are counted, the
+    counts of a file's splits are added up in order, and only then is the parity carried on from
+    line to line within a split. So files stay splittable, and a field may even reach over a
+    split. Lines are joined up by the line that their record begins with. A file with a record
+    of more than ``MAX_RECORD`` characters, as one quote too many makes, has no records.
+    """
+    line = lines.withColumn("_odd", _quotes(F.col("text")))
+    file, split = Window.partitionBy("file").orderBy("_block"), Window.partitionBy("file", "_block").orderBy("_line")
+    earlier = (Window.unboundedPreceding, -1)
+    # One row per split of a file.
+    splits = line.groupBy("file", "_block").agg(F.sum("_odd").alias("_quotes"))
+    splits = splits.withColumn("_quoted", F.coalesce(F.sum("_quotes").over(file.rowsBetween(*earlier)), F.lit(0))).drop("_quotes")
+    before = F.col("_quoted") + F.coalesce(F.sum("_odd").over(split.rowsBetween(*earlier)), F.lit(0))
+    begins = line.join(splits, ["file", "_block"]).withColumn("_begins", before % 2 == 0)
+    own = F.last(F.when(F.col("_begins"), F.col("_line")), ignorenulls=True).over(split.rowsBetween(Window.unboundedPreceding, 0))
+    placed = begins.withColumn("_own", own)
+    lasts = placed.groupBy("file", "_block").agg(F.max("_own").alias("_last"))
+    last = F.when(F.col("_last").isNotNull(), F.struct("_block", "_last"))
+    lasts = lasts.withColumn("_carried", F.last(last, ignorenulls=True).over(file.rowsBetween(*earlier))).drop("_last")
+    record = placed.join(lasts, ["file", "_block"]).select(
+        "file",
+        F.when(F.col("_own").isNotNull(), F.col("_block")).otherwise(F.col("_carried._block")).alias("_first_block"),
+        F.coalesce("_own", "_carried._last").alias("_first"),
+        F.struct("_block", "_line", "text").alias("_part"),
+    )
+    size = record.groupBy("file", "_first_block", "_first").agg(F.sum(F.length("_part.text") + 1).alias("_size"))
+    endless = size.filter(F.col("_size") > MAX_RECORD).select("file").distinct()
+    joined = record.join(endless, "file", "left_anti").groupBy("file", "_first_block", "_first").agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
+    text = F.rtrim(F.array_join("_parts.text", "\n"), F.lit("\r"))
+    return joined.select("file", F.col("_first_block").alias("_block"), F.col("_first").alias("_line"), text.alias("text"))
+
+
+def read_records(files: DataFrame, folder: str, columns: Sequence[str], glob: str, recursive: bool) -> DataFrame:
+    """As ``read_by_name``, for files with line breaks between quotes: by record instead of line."""
+    width = _width(files)
+    reader = files.sparkSession.read.option("lineSep", "\n").option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    lines = reader.text(folder).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+        F.col("value").alias("text"),
+    )
+    whole = records(lines.join(files.select("file"), "file", "left_semi")).filter("length(trim(text)) > 0")
+    # The first record of a file is its header.
+    head = F.min(F.struct("_block", "_line")).alias("_head")
+    heads = whole.groupBy("file").agg(head)
+    rows = whole.join(heads, "file").filter(F.struct("_block", "_line") > F.col("_head"))
+    schema = ", ".join(f"_c{i} string" for i in range(width + 1))
+    parsed = F.from_csv("text", schema, {"escape": '"'})
+    fields = rows.withColumn("_row", parsed).select(
+        "file", "_block", "_line", F.lit(False).alias("_open"), F.array(*[f"_row._c{i}" for i in range(width + 1)]).alias("_fields")
+    )
+    return _by_name(fields, files, columns)
 
 
 def union_by_name(spark: SparkSession, folder: str, glob: str = "*.csv", recursive: bool = False) -> DataFrame:
@@ -204,6 +297,7 @@ def settlement_rules() -> list[Rule]:
         Rule("currency_present", F.col("currency").isNotNull(), "Missing currencies found"),
         Rule("reference_present", F.col("processor_reference").isNotNull(), "Missing processor references found"),
         Rule("status_known", F.coalesce(F.col("status").isin(*SETTLEMENT_STATUSES), F.lit(False)), "Unknown statuses found"),
+        Rule("quotes_end", ~F.col("_open"), "Quoted fields without an end found"),
         Rule("fields_fit", ~F.col("_surplus"), "Rows with surplus fields found"),
         Rule("amount_unambiguous", ~ambiguous_amount(text), "Ambiguous amounts found", WARN),
         Rule("currency_length", F.length("currency") == 3, "Currency codes not of length 3 found", WARN),
@@ -224,7 +318,7 @@ def _parse(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     bits = [F.when(r.violated, 1 << i).otherwise(0) for i, r in enumerate(rules)]
     mask = reduce(lambda a, b: a.bitwiseOR(b), bits)
     return typed.withColumn("violated", mask).select(
-        "file_no", "_block", "_line", *SETTLEMENT_COLUMNS, "violated"
+        "file_no", "_block", "_line", *SETTLEMENT_COLUMNS, "violated", "_open"
     )
 
 
@@ -289,12 +383,12 @@ def _verdicts(
             FAIL,
             F.col("problem"),
             F.when(F.col("problem").isNull() & ~header_ok, F.concat(F.lit("header lacks "), F.array_join(F.sort_array(absent), ", "))),
-            F.when(header_ok & dated & (rows_read == 0), F.lit("File contains no data rows")),
+            F.when(header_ok & dated & (rows_read == 0), F.lit("no rows below the header")),
             F.when(F.col("problem").isNull() & ~dated, F.lit("No reference_date can be derived")),
         ).alias("reasons"),
         notes(
             WARN,
-            F.when(F.col("duplicates") > 0, F.concat("duplicates", F.lit(" duplicate transaction_id(s), last occurrence kept"))),
+            F.when(F.col("duplicates") > 0, F.concat("duplicates", F.lit(" transaction ids occur several times, the last row counts"))),
         ).alias("warnings"),
     )
     loaded = F.when(F.size("reasons") == 0, F.col("distinct_ids")).otherwise(F.lit(0))
@@ -331,6 +425,13 @@ def judge_and_load(
         readable = readable.filter(F.array_contains("header", column))
     lines = read_by_name(readable, folder, SETTLEMENT_COLUMNS, glob, recursive)
     rows, rows_dir = stage(_parse(lines, rules), "settlement-rows")
+    # Files in which a quoted field goes on over a line break are read again, by record.
+    broken = rows.filter("_open").select("file_no").distinct()
+    broken_dir = None
+    if not broken.isEmpty():
+        again = read_records(readable.join(broken, "file_no", "left_semi"), folder, SETTLEMENT_COLUMNS, glob, recursive)
+        whole, broken_dir = stage(_parse(again, rules), "settlement-records")
+        rows = rows.join(whole.select("file_no").distinct(), "file_no", "left_anti").unionByName(whole)
     repeated, repeated_dir = stage(_repeated(rows), "settlement-repeated")
     verdicts, verdicts_dir = stage(_verdicts(files, rows, repeated, rules), "settlement-verdicts")
 
@@ -354,8 +455,9 @@ def judge_and_load(
             incoming = last_per_key(incoming, KEYS, [F.col("_source_file").desc()])
         store.upsert(TABLE, incoming, KEYS, touched=[d.reference_date for d in per_date])
     delete_path(spark, files_dir)
-    delete_path(spark, rows_dir)
-    delete_path(spark, repeated_dir)
+    for folder_of in (rows_dir, broken_dir, repeated_dir):
+        if folder_of:
+            delete_path(spark, folder_of)
     logger.info("verdicts of %s written to %s", folder, verdicts_dir)
     return verdicts
 

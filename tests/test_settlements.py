@@ -49,7 +49,7 @@ def test_last_occurrence_in_file_wins(store, tmp_path, caplog):
     path = drop(tmp_path / "in", "a.csv", line(amount="100.00"), line(amount="200.00"))
     with caplog.at_level(logging.WARNING):
         assert csv.load_file(store, path, "2025-03-15") == 1
-    assert any("duplicate transaction_id" in r.message for r in caplog.records)
+    assert any("transaction ids occur several times" in r.message for r in caplog.records)
     assert loaded(store) == {("TXN1", "2025-03-15"): Decimal("200.00")}
 
 
@@ -120,7 +120,7 @@ def test_bad_files_are_left_out_and_others_load(store, tmp_path, caplog):
     with caplog.at_level(logging.ERROR):
         assert csv.load_directory(store, str(folder), DATED) == {"settlement_2025-03-16.csv": 1}
     log = caplog.text
-    assert "header lacks status" in log and "no data rows" in log and "reference_date" in log
+    assert "header lacks status" in log and "no rows below the header" in log and "reference_date" in log
     assert set(loaded(store)) == {("TXN2", "2025-03-16")}
 
 
@@ -239,3 +239,44 @@ def test_file_names_are_no_patterns(store, tmp_path, monkeypatch):
 def test_union_marks_surplus_fields(spark, tmp_path):
     drop(tmp_path / "in", "a.csv", line(), line("TXN2") + ",more")
     assert {r.transaction_id: r.surplus for r in csv.union_by_name(spark, str(tmp_path / "in")).collect()} == {"TXN1": False, "TXN2": True}
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_quoted_line_breaks_in_several_splits(spark, store, tmp_path, ending):
+    """Fields with line breaks, quotes and commas, long enough to reach over splits of the file."""
+    folder, want = tmp_path / "in", {}
+    folder.mkdir()
+    text = [HEADER]
+    for i in range(400):
+        merchant = f"M{i}" if i % 3 else f"M{i}" + "\n".join(["", 'say ""it"", twice', "x" * (i % 7) * 40, ""])
+        want[f"TXN{i}"] = merchant.replace('""', '"')
+        text.append(line(f"TXN{i}", f'"{merchant}"' if i % 3 == 0 else merchant, amount=f"{i + 1}.00"))
+    (folder / "2025-03-15.csv").write_bytes(ending.join(text).encode() + ending.encode())
+    drop(folder, "2025-03-16.csv", line("A"), line("B"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert csv.load_directory(store, str(folder), DATED) == {"2025-03-15.csv": 400, "2025-03-16.csv": 2}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    table = store.read(csv.TABLE).filter("reference_date = '2025-03-15'").collect()
+    assert {r.transaction_id: r.merchant_id for r in table} == want
+
+
+def test_a_quote_too_many_costs_its_file_only(store, tmp_path, caplog, monkeypatch):
+    monkeypatch.setattr(csv, "MAX_RECORD", 500)
+    folder = tmp_path / "in"
+    drop(folder, "2025-03-15.csv", line("A"), line("B", merchant='"M'), *[line(f"C{i}") for i in range(30)])
+    drop(folder, "2025-03-16.csv", line("A"))
+    assert csv.load_directory(store, str(folder), DATED) == {"2025-03-16.csv": 1}
+    assert "Quoted fields without an end" in caplog.text
+
+
+def test_hidden_names_at_every_level(spark, tmp_path):
+    for name in ("a.csv", "_b.csv", "c/d.csv", "c/.e.csv", "_f/g.csv", "c/_h/i/j.csv", "c/_k.txt", "c[1]/_l.csv"):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_text("x")
+    root = str(tmp_path / "in")
+    assert sorted(n for _, n in csv.hidden_files(spark, root, "*.csv", True)) == ["_b.csv", "_f/g.csv", "c/.e.csv", "c/_h/i/j.csv", "c[1]/_l.csv"]
+    assert [n for _, n in csv.hidden_files(spark, root)] == ["_b.csv"]

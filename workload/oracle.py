@@ -305,21 +305,21 @@ judged AS (
 
 ORACLE["settlements_verdicts"] = _with(LINES, FILES) + """
 SELECT file_date AS reference_date, rows, loaded, dup AS duplicates, reasons,
-  CASE WHEN dup > 0 THEN concat(dup, ' duplicate transaction_id(s), last occurrence kept') ELSE '' END AS warnings
+  CASE WHEN dup > 0 THEN concat(dup, ' transaction ids occur several times, the last row counts') ELSE '' END AS warnings
 FROM judged"""
 
 ORACLE["settlements_awkward_drop"] = _with(LINES, FILES, """named AS (
   SELECT *, CASE WHEN year(file_date) < 1994 THEN 'wide' WHEN year(file_date) = 1994 THEN 'lacking'
-    WHEN year(file_date) = 1995 THEN 'hidden' ELSE 'good' END AS part
+    WHEN year(file_date) = 1995 THEN 'hidden' WHEN year(file_date) = 1996 THEN 'breaks' ELSE 'good' END AS part
   FROM judged)""") + """
 SELECT part, CASE WHEN part <> 'hidden' THEN file_date END AS reference_date,
-  CASE WHEN part IN ('wide', 'good') THEN rows ELSE 0 END AS rows,
-  CASE WHEN part IN ('wide', 'good') THEN loaded ELSE 0 END AS loaded,
+  CASE WHEN part IN ('wide', 'breaks', 'good') THEN rows ELSE 0 END AS rows,
+  CASE WHEN part IN ('wide', 'breaks', 'good') THEN loaded ELSE 0 END AS loaded,
   CASE part WHEN 'lacking' THEN 'header lacks status'
     WHEN 'hidden' THEN 'file or folder name begins with an underscore or a dot, which Spark does not read'
     ELSE reasons END AS reasons
 FROM named
-UNION ALL SELECT 'empty', DATE '2001-01-01', 0, 0, 'File contains no data rows'"""
+UNION ALL SELECT 'empty', DATE '2001-01-01', 0, 0, 'no rows below the header'"""
 
 ORACLE["settlements_by_callable"] = _with(LINES, FILES) + """
 SELECT CASE WHEN ok THEN file_date END AS reference_date, CASE WHEN ok THEN rows ELSE 0 END AS rows,

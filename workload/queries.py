@@ -294,7 +294,8 @@ def _rename_parts(spark: SparkSession, folder: str, name: Callable[[str, str], s
 
 @query
 def settlements_awkward_drop(spark, sf):
-    """A wide header, a missing column, hidden names, a file without rows, and good files, side by side."""
+    """A wide header, a missing column, hidden names, a file without rows, line breaks between quotes in files that are
+    cut into several splits, and good files, side by side."""
     folder, lines = fresh_dir(spark, "awkward"), star.settlement_lines(spark, sf)
     year = F.year("file_date")
     wide = [F.lit(None).cast("string").alias(f"{'filler' * 160}{i}") for i in range(75)]
@@ -302,10 +303,17 @@ def settlements_awkward_drop(spark, sf):
     star.write_drop(lines.filter(year == 1994).drop("status"), f"{folder}/lacking")
     star.write_drop(lines.filter(year == 1995), f"{folder}/hidden")
     _rename_parts(spark, f"{folder}/hidden", lambda _, name: f"_{name}")
-    star.write_drop(lines.filter(year > 1995), f"{folder}/good")
+    branch = F.concat("merchant_id", F.lit("\nbranch \"x\", floor\n"), F.col("_key") % 9)
+    star.write_drop(lines.filter(year == 1996).withColumn("merchant_id", branch), f"{folder}/breaks")
+    star.write_drop(lines.filter(year > 1996), f"{folder}/good")
     nothing = lines.filter("1 = 0").drop("file_date", "_key", "_seq").coalesce(1)
     nothing.write.option("header", True).csv(f"{folder}/empty/file_date=2001-01-01")
-    verdicts = csv.judge_and_load(_store(spark, "awkward-lake"), folder, r"file_date=(\d{4}-\d{2}-\d{2})", recursive=True)
+    whole = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        verdicts = csv.judge_and_load(_store(spark, "awkward-lake"), folder, r"file_date=(\d{4}-\d{2}-\d{2})", recursive=True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", whole)
     return verdicts.select(
         F.substring_index("name", "/", 1).alias("part"),
         "reference_date",

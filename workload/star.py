@@ -267,6 +267,7 @@ def write_drop(lines: DataFrame, folder: str) -> None:
         .write.partitionBy("file_date")
         .option("header", True)
         .option("emptyValue", "")
+        .option("escape", '"')
         .csv(folder)
     )
 
