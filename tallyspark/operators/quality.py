@@ -84,6 +84,23 @@ def require_unique(df: DataFrame, keys: Sequence[str], name: str) -> None:
         raise ValueError(f"{name}: {duplicates} duplicate key(s) on ({', '.join(keys)})")
 
 
+def daily_totals(daily: DataFrame) -> DataFrame:
+    """(reference_date, volume, match_rate) from the daily mart, one row per calendar date."""
+    matched = F.col("category") == "MATCHED"
+    return daily.groupBy("reference_date").agg(
+        F.sum("txn_count").alias("volume"),
+        F.coalesce(F.max(F.when(matched, F.col("pct_of_total"))), F.lit(0.0)).alias("match_rate"),
+    )
+
+
+def _checked(per_date: DataFrame, min_match_rate: float, deviations: float) -> dict[str, Column]:
+    unusual = F.abs(F.col("volume") - F.col("volume_mean")) > F.col("volume_stddev") * deviations
+    return {
+        "low_match_rate": F.col("match_rate") <= min_match_rate,
+        "unusual_volume": F.coalesce(unusual, F.lit(False)),
+    }
+
+
 def daily_checks(
     daily: DataFrame,
     min_match_rate: float = MIN_MATCH_RATE,
@@ -94,26 +111,72 @@ def daily_checks(
     The input is the daily mart. Its dates are totalled before the window, which therefore
     sees one row per calendar date.
     """
-    matched = F.col("category") == "MATCHED"
-    per_date = daily.groupBy("reference_date").agg(
-        F.sum("txn_count").alias("volume"),
-        F.coalesce(F.max(F.when(matched, F.col("pct_of_total"))), F.lit(0.0)).alias("match_rate"),
-    )
+    per_date = daily_totals(daily)
     before = Window.orderBy("reference_date").rowsBetween(Window.unboundedPreceding, -1)
     mean, spread = F.avg("volume").over(before), F.stddev_samp("volume").over(before)
-    return per_date.withColumn("volume_mean", mean).withColumn("volume_stddev", spread).select(
-        "reference_date",
-        "volume",
-        "match_rate",
-        "volume_mean",
-        "volume_stddev",
-        (F.col("match_rate") <= min_match_rate).alias("low_match_rate"),
-        F.coalesce(
-            F.abs(F.col("volume") - F.col("volume_mean")) > F.col("volume_stddev") * deviations,
-            F.lit(False),
-        ).alias("unusual_volume"),
+    measured = per_date.withColumn("volume_mean", mean).withColumn("volume_stddev", spread)
+    return measured.withColumns(_checked(measured, min_match_rate, deviations))
+
+
+#: Nothing before the first date.
+NO_MOMENTS = {"n": 0, "mean": 0.0, "m2": 0.0}
+
+
+def daily_checks_after(
+    daily: DataFrame,
+    moments: dict,
+    min_match_rate: float = MIN_MATCH_RATE,
+    deviations: float = VOLUME_DEVIATIONS,
+) -> DataFrame:
+    """The same for dates that follow others, of which only the moments are known: count, mean,
+    and sum of squared deviations. Adds ``n``, ``mean`` and ``m2`` up to and with each date.
+
+    Moments merge: with volumes taken from the mean so far, d = v - mean, the new ones are
+    n + k, mean + S(d) / (n + k), and m2 + S(d d) - S(d)^2 / (n + k). So a new date needs the
+    last one's moments, not the history.
+    """
+    d = F.col("volume").cast("double") - F.lit(float(moments["mean"]))
+    upto = Window.orderBy("reference_date").rowsBetween(Window.unboundedPreceding, 0)
+    n = F.lit(int(moments["n"])) + F.count("*").over(upto)
+    own = daily_totals(daily).withColumns({"_s": F.sum(d).over(upto), "_ss": F.sum(d * d).over(upto), "n": n})
+    merged = own.withColumns(
+        {
+            "mean": F.lit(float(moments["mean"])) + F.col("_s") / F.col("n"),
+            "m2": F.greatest(F.lit(float(moments["m2"])) + F.col("_ss") - F.col("_s") * F.col("_s") / F.col("n"), F.lit(0.0)),
+        }
     )
 
+    def before(column: str) -> Column:
+        return F.lag(column, 1, moments[column]).over(Window.orderBy("reference_date"))
+
+    known = merged.withColumns({"_n": before("n"), "_mean": before("mean"), "_m2": before("m2")})
+    measured = known.withColumns(
+        {
+            "volume_mean": F.when(F.col("_n") > 0, F.col("_mean")),
+            "volume_stddev": F.when(F.col("_n") > 1, F.sqrt(F.col("_m2") / (F.col("_n") - 1))),
+        }
+    )
+    return measured.withColumns(_checked(measured, min_match_rate, deviations)).drop("_s", "_ss", "_n", "_mean", "_m2")
+
+
+def daily_violations(checked: DataFrame) -> DataFrame:
+    """Daily checks as rule rows: dates that fail each check, of all dates."""
+    return _as_rules(checked, {"match_rate": F.col("low_match_rate"), "daily_volume": F.col("unusual_volume")}, WARN)
+
+
+def file_violations(verdicts: DataFrame) -> DataFrame:
+    """Verdicts on settlement files as rule rows: files that were rejected, and that had repeated transactions."""
+    rejected = _as_rules(verdicts, {"file_accepted": F.size("reasons") > 0}, FAIL)
+    return rejected.unionByName(_as_rules(verdicts, {"transactions_once": F.col("duplicates") > 0}, WARN))
+
+
+def _as_rules(rows: DataFrame, failed: dict[str, Column], action: str) -> DataFrame:
+    listed = [
+        F.struct(F.lit(name).alias("rule"), F.lit(action).alias("action"), F.count_if(bad).alias("violations"), F.count("*").alias("rows"))
+        for name, bad in failed.items()
+    ]
+    return rows.agg(F.array(*listed).alias("_all")).select(F.explode("_all").alias("r")).select("r.*")
+
 
 def append_audit(results: DataFrame, path: str, run_label: str, subject: str) -> None:
     """Append one row per rule to the audit table."""

@@ -12,6 +12,7 @@ import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyspark.functions.dates import in_dates, period_of, week_end
+from tallyspark.operators import quality
 from tallyspark.plans import marts
 from tallyspark.plans.curated import results_current
 from tallyspark.plans.incremental import trend_reach
@@ -21,9 +22,10 @@ from tallyspark.sources.store import Store, delete_path, same_keys, stage
 RESULTS, CURRENT = "silver_results_by_date", "silver_results_current"
 DAILY, TREND, HISTORY = "gold_ops_reconciliation_daily", "gold_ops_reconciliation_trend", "gold_ops_run_history"
 SUMMARY, RANKING = "gold_cfo_weekly_summary", "gold_cfo_weekly_merchant_ranking"
+CHECKS = "gold_quality_daily"
 LEDGER, LEDGER_RUNS = "gold_compliance_ledger", "gold_compliance_ledger_runs"
 #: Marts with a few rows per date or week lie by year, as a partition is a file at least; the ranking has a row per merchant.
-GRAINS = {DAILY: "year", TREND: "year", HISTORY: "year", SUMMARY: "year", RANKING: "month"}
+GRAINS = {DAILY: "year", TREND: "year", HISTORY: "year", SUMMARY: "year", RANKING: "month", CHECKS: "year"}
 
 
 def _period(grain: str, column: str = "reference_date") -> Column:
@@ -124,6 +126,24 @@ def refresh_history(store: Store, runs: DataFrame, dates: list[datetime.date], g
     _replace(store, HISTORY, marts.run_history(touched, results_of(store, dates, grain)), dates, GRAINS[HISTORY])
 
 
+def refresh_checks(store: Store, dates: list[datetime.date]) -> None:
+    """The daily checks from the first of some dates on; before it, only the moments of the last date are read."""
+    first, moments = min(dates), quality.NO_MOMENTS
+    day = F.lit(first).cast("date")
+    if store.published(CHECKS).exists():
+        last = store.read(CHECKS).filter(F.col("reference_date") < day).orderBy(F.desc("reference_date")).select("n", "mean", "m2").first()
+        moments = last.asDict() if last else moments
+    daily = store.published(DAILY).read()
+    # The mart's partitions before the first date's are not read.
+    period = F.lit(period_of(first, GRAINS[DAILY])).cast("date")
+    fresh = quality.daily_checks_after(daily.filter((F.col(PERIOD) >= period) & (F.col("reference_date") >= day)), moments)
+    later = [datetime.date.fromisoformat(p) for p in store.published(CHECKS).partitions() if p >= period_of(first, GRAINS[CHECKS]).isoformat()]
+    rows = fresh.withColumn(PERIOD, _period(GRAINS[CHECKS]))
+    if later:
+        rows = rows.unionByName(store.published(CHECKS).read().filter(in_dates(PERIOD, later, GRAINS[CHECKS])).filter(F.col("reference_date") < day))
+    store.publish(CHECKS, rows, PERIOD, later)
+
+
 def open_weeks(store: Store, name: str, dates: list[datetime.date], as_of: str | None = None) -> list[datetime.date]:
     """Weeks of some dates, without those that are stored and ended before ``as_of``: these never change again."""
     weeks = _periods(dates, "week")

@@ -103,3 +103,20 @@ def test_small_reports(spark):
     known = spark.createDataFrame([("a",), (None,)], "id string")
     assert {r.id for r in checks.absent_from(ids, known, "id").collect()} == {"b", None}
     assert {r.id for r in checks.present_in(ids, known, "id").collect()} == {"a"}
+
+
+def test_moments_merge(spark):
+    """Checks from the moments of a last date equal those over the whole history, wherever it is cut."""
+    days = [(f"2024-01-{d:02d}", "MATCHED", v, 0.9) for d, v in zip(range(1, 29), [100, 120, 90, 1000, 110, 95, 105] * 4)]
+    daily = spark.createDataFrame(days, "reference_date string, category string, txn_count long, pct_of_total double")
+    whole = {r.reference_date: r for r in quality.daily_checks(daily).collect()}
+    for cut in ("2024-01-01", "2024-01-02", "2024-01-03", "2024-01-15"):
+        early = quality.daily_checks_after(daily.filter(f"reference_date < '{cut}'"), quality.NO_MOMENTS).orderBy("reference_date").collect()
+        moments = {k: early[-1][k] for k in quality.NO_MOMENTS} if early else quality.NO_MOMENTS
+        rows = [*early, *quality.daily_checks_after(daily.filter(f"reference_date >= '{cut}'"), moments).collect()]
+        assert len(rows) == len(whole)
+        for r in rows:
+            w = whole[r.reference_date]
+            assert (r.volume, r.low_match_rate, r.unusual_volume) == (w.volume, w.low_match_rate, w.unusual_volume)
+            for a, b in ((r.volume_mean, w.volume_mean), (r.volume_stddev, w.volume_stddev)):
+                assert (a is None) == (b is None) and (a is None or abs(a - b) < 1e-9)

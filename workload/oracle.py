@@ -750,6 +750,20 @@ framed AS (
 SELECT reference_date, volume, match_rate, round(m, 6) AS volume_mean, round(s, 6) AS volume_stddev,
   match_rate <= 0.80 AS low_match_rate, coalesce(abs(volume - m) > s * 2.0, false) AS unusual_volume FROM framed"""
 
+ORACLE["quality_daily_incremental"] = ORACLE["quality_daily"]
+
+ORACLE["quality_audit_checks"] = _with(*TO_DAILY, LINES, FILES, """days AS (
+  SELECT reference_date, sum(txn_count) AS volume,
+    coalesce(max(pct_of_total) FILTER (category = 'MATCHED'), 0.0) AS match_rate FROM daily GROUP BY ALL),
+framed AS (
+  SELECT *, avg(volume) OVER w AS m, stddev_samp(volume) OVER w AS s FROM days
+  WINDOW w AS (ORDER BY reference_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""") + """
+SELECT 'run' AS run_label, 'gold_ops_reconciliation_daily' AS subject, 'match_rate' AS rule, 'warn' AS action,
+  count(*) FILTER (match_rate <= 0.80) AS violations, count(*) AS rows FROM framed
+UNION ALL SELECT 'run', 'gold_ops_reconciliation_daily', 'daily_volume', 'warn', count(*) FILTER (abs(volume - m) > s * 2.0), count(*) FROM framed
+UNION ALL SELECT 'run', 'raw_paysettler_settlements', 'file_accepted', 'fail', count(*) FILTER (reasons <> ''), count(*) FROM judged
+UNION ALL SELECT 'run', 'raw_paysettler_settlements', 'transactions_once', 'warn', count(*) FILTER (dup > 0), count(*) FROM judged"""
+
 ORACLE["quality_audit"] = _with(RESULTS, """found AS (
   SELECT 'valid_transaction_id' AS rule, 'fail' AS action, count(*) FILTER (transaction_id IS NULL) AS violations,
     count(*) AS rows FROM results

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from functools import reduce
 
@@ -844,6 +845,36 @@ def quality_daily(spark, sf):
     )
 
 
+@query
+def quality_daily_incremental(spark, sf):
+    """Daily checks kept up: dates before 1998 first, then the others from the moments of the last date, some of them twice."""
+    store, daily = _store(spark, "checks-lake"), _daily(spark, sf)
+    dated.publish_whole(store, dated.DAILY, daily.filter("reference_date < '1998-01-01'"))
+    dated.refresh_checks(store, [datetime.date(1900, 1, 1)])
+    dated.publish_whole(store, dated.DAILY, daily)
+    for first in (datetime.date(1998, 1, 1), datetime.date(1998, 4, 1)):
+        dated.refresh_checks(store, [first])
+    return store.read(dated.CHECKS).select(
+        "reference_date",
+        "volume",
+        "match_rate",
+        F.round("volume_mean", 6).alias("volume_mean"),
+        F.round("volume_stddev", 6).alias("volume_stddev"),
+        "low_match_rate",
+        "unusual_volume",
+    )
+
+
+@query
+def quality_audit_checks(spark, sf):
+    """Audit rows of the daily checks and of the verdicts on settlement files."""
+    folder = fresh_dir(spark, "audit")
+    quality.append_audit(quality.daily_violations(quality.daily_checks(_daily(spark, sf))), folder, "run", dated.DAILY)
+    _, verdicts = _loaded_drop(spark, sf)
+    quality.append_audit(quality.file_violations(verdicts), folder, "run", csv.TABLE)
+    return spark.read.parquet(folder).drop("checked_at")
+
+
 @query
 def quality_audit(spark, sf):
     folder = fresh_dir(spark, "audit")
