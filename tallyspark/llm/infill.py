@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import beside, free_name, parts, schema_with
+from .common import SLICE_CHARS, beside, free_name, schema_with
 
 #: What stands before prefix, suffix and middle.
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
@@ -25,6 +26,18 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def parts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches, each of about `SLICE_CHARS` bytes of text or of one text; nothing is decoded for it."""
+    for batch in batches:
+        ends = np.cumsum(pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_CHARS, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def _texts(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data))
 

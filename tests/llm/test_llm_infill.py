@@ -68,6 +68,14 @@ def test_steps_do_not_matter(monkeypatch, step):
     assert infill.restored(out, kind).to_pylist() == texts
 
 
+def test_parts_are_bounded(monkeypatch):
+    monkeypatch.setattr(infill, "SLICE_CHARS", 10)
+    batch = pa.RecordBatch.from_pydict({"t": ["", "abc", "defg", "x" * 30, "", "hi", "y" * 10, ""]})
+    got = [p.column("t").to_pylist() for p in infill.parts(iter([batch]), "t")]
+    assert got == [["", "abc", "defg"], ["x" * 30], ["", "hi"], ["y" * 10, ""]]
+    assert list(infill.parts(iter([batch.slice(0, 0)]), "t")) == []
+
+
 def test_broken_outputs_are_refused(spark):
     bad = spark.createDataFrame([("no marks here", "psm")], "output string, form string")
     with pytest.raises(Exception, match="just once"):
