@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -10,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.session import fresh_dir
+from tallyspark.sources.store import delete_path
 
 #: Rows of one Arrow batch are handed on in slices of about this many characters, so that
 #: a run of very long texts does not fill a worker.
@@ -20,9 +23,27 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that `written` makes inside are deleted at the end; what is to last is staged inside by other means."""
+    paths: list[str] = []
+    token = _SCRATCH.set(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in paths:
+            delete_path(spark, path)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame as a table in the shared folder: lineage is cut and every executor can reread it."""
     path = fresh_dir(df.sparkSession, label)
+    if (paths := _SCRATCH.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
