@@ -10,7 +10,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import beside, schema_with, slices, with_text, written
+from tallyspark.sources.store import stage
+
+from .common import beside, schema_with, scratch, slices, with_text, written
 from .components import components
 
 #: Work units with more fingerprints than this are divided further.
@@ -283,6 +285,12 @@ RUN_ROWS = 512
 #: Differing bits of the next fingerprint beyond which a pair is no candidate. At a resemblance of 0.8 twelve of 64 differ
 #: at most, give or take three; of unlike texts one half does.
 NEXT_BITS = 26
+#: Greatest probability that a bit of the fingerprints of two texts of resemblance 0.8 differs, over all sizes of their
+#: sets: that of four shingles and the same with a fifth. From 33 shingles on it is 0.156.
+BIT_DIFFERS = 0.1875
+#: Standard deviations that all fingerprints together may exceed this by: a pair of resemblance 0.8 does so with a
+#: probability below 1e-12 (Chernoff bound for 16 fingerprints), unlike texts differ in half of all bits.
+DEVIATIONS = 8
 #: Pairs that a small unit tells at once, per fingerprint.
 TOLD_PAIRS = 4
 #: Texts with at most so many shingles also meet by their rare shingles, which misses no pair: few shingles give few
@@ -353,6 +361,32 @@ def _bands(nodes: DataFrame, seeds: int) -> DataFrame:
     return nodes.select("prints", "node").mapInArrow(run, "unit long, v long, next long, node long")
 
 
+def most_apart(seeds: int) -> int:
+    """Differing bits in all fingerprints together beyond which two texts do not resemble each other by 0.8."""
+    bits = 64 * seeds
+    return int(bits * BIT_DIFFERS + DEVIATIONS * (bits * BIT_DIFFERS * (1 - BIT_DIFFERS)) ** 0.5)
+
+
+def _prints_of(packed: pa.Array) -> np.ndarray:
+    """A row of fingerprints for each value; at least one is needed."""
+    return np.frombuffer(b"".join(packed.to_pylist()), "<u8").reshape(len(packed), -1)
+
+
+def _near_prints(pairs: DataFrame, nodes: DataFrame, seeds: int) -> DataFrame:
+    """The pairs (a, b, ...) whose fingerprints, all together, are near enough for the sets to be compared at all."""
+    most = most_apart(seeds)
+    left = nodes.select(F.col("node").alias("a"), F.col("prints").alias("_x"))
+    right = nodes.select(F.col("node").alias("b"), F.col("prints").alias("_y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                apart = np.bitwise_count(_prints_of(batch.column("_x")) ^ _prints_of(batch.column("_y"))).sum(1, dtype=np.int64)
+                yield batch.select(pairs.columns).filter(pa.array(apart <= most))
+
+    return pairs.join(left, "a").join(right, "b").mapInArrow(run, pairs.schema)
+
+
 def _nearest_forest(n: int, a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Positions of pairs that span what all pairs span, nearest first."""
     root, kept = np.arange(n), []
@@ -649,7 +683,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, se
     pairs = found.where("b >= 0").select("a", "b", "bits").union(joints).groupBy("a", "b").agg(
         F.min(bits).alias("bits"), F.count("*").alias("n"), F.max("bits").alias("open")
     )
-    pairs = written(pairs, "pairs")
+    pairs = written(_near_prints(pairs, nodes, seeds), "pairs")
     # The nearest partner of each text first: that joins large groups with few comparisons.
     best = pairs.groupBy(F.col("b").alias("node")).agg(F.max(F.struct("n", F.negative("bits"), F.negative("a"))).alias("m"))
     chosen = best.select(F.negative(F.col("m").getField("col3")).alias("a"), F.col("node").alias("b"))
