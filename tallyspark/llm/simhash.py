@@ -374,7 +374,7 @@ def _prints_of(packed: pa.Array) -> np.ndarray:
 
 def _near_prints(pairs: DataFrame, nodes: DataFrame, seeds: int) -> DataFrame:
     """The pairs (a, b, ...) whose fingerprints, all together, are near enough for the sets to be compared at all."""
-    most = most_apart(seeds)
+    most, names = most_apart(seeds), pairs.columns
     left = nodes.select(F.col("node").alias("a"), F.col("prints").alias("_x"))
     right = nodes.select(F.col("node").alias("b"), F.col("prints").alias("_y"))
 
@@ -382,7 +382,7 @@ def _near_prints(pairs: DataFrame, nodes: DataFrame, seeds: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 apart = np.bitwise_count(_prints_of(batch.column("_x")) ^ _prints_of(batch.column("_y"))).sum(1, dtype=np.int64)
-                yield batch.select(pairs.columns).filter(pa.array(apart <= most))
+                yield batch.select(names).filter(pa.array(apart <= most))
 
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, pairs.schema)
 
@@ -549,12 +549,17 @@ def _alike_links(node: np.ndarray, root: np.ndarray, side: np.ndarray, sets: lis
     return a[kept], b[kept]
 
 
-def _met(units: DataFrame, hashes: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) that connect what all alike pairs of different roots within the units (unit, node, root, size) do.
+#: What one pair of blocks is known by.
+BLOCK_PAIR = ["unit", "kind", "i", "j"]
+
+
+def _dealt(members: DataFrame, data: str) -> DataFrame:
+    """(unit, kind, i, j, side, node, root, data) for `members` (node, root, size, units): units cut into pairs of blocks.
 
     The rows of a unit outside its largest component are paired with all others, in pairs of blocks of bounded size,
-    each a key of its own; the sets themselves are compared there, and a pair of blocks tells a forest of true links.
+    each a key of its own. A row carries its data along, so that nothing is joined once per unit.
     """
+    units = members.select(F.explode("units").alias("unit"), "node", "root", "size", F.col(data).alias("data"))
     by_root = units.groupBy("unit", "root").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
     largest = by_root.groupBy("unit").agg(
         F.max(F.struct("n", "root", "s")).alias("m"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("roots")
@@ -582,46 +587,97 @@ def _met(units: DataFrame, hashes: DataFrame, similarity: float) -> DataFrame:
         all_of("kr", lambda j: key(0, F.least(mine, j), F.greatest(mine, j), mine > j)), all_of("km", lambda j: key(1, mine, j, F.lit(0)))
     )
     main = all_of("kr", lambda i: key(1, i, mine, F.lit(1)))
-    dealt = rows.select("unit", "node", "root", F.explode(F.when(F.col("rest"), rest).otherwise(main)).alias("k"))
-    dealt = dealt.select("unit", "k.kind", "k.i", "k.j", "k.side", "node", "root").join(hashes, "node")
-    names = ["unit", "kind", "i", "j"]
+    dealt = rows.select("unit", "node", "root", "data", F.explode(F.when(F.col("rest"), rest).otherwise(main)).alias("k"))
+    dealt = dealt.select("unit", "k.kind", "k.i", "k.j", "k.side", "node", "root", "data")
+    return dealt.repartition(*BLOCK_PAIR).sortWithinPartitions(*BLOCK_PAIR)
+
+
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each pair of blocks, which lie one after the other."""
+    held, known = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in BLOCK_PAIR], 1)
+        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)])
+        for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
+            now = tuple(keys[s].tolist())
+            if held and now != known:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(s, e - s))
+            known = now
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _columns(whole: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """Nodes, roots and sides of a pair of blocks, and whether it is one block with itself."""
+    node, root, side = (whole.column(c).to_numpy() for c in ("node", "root", "side"))
+    kind, i, j = (whole.column(c)[0].as_py() for c in ("kind", "i", "j"))
+    return node, root, side, kind == 0 and i == j
+
+
+def _suspects(members: DataFrame, seeds: int) -> DataFrame:
+    """(unit, node) of the rows of `members` (node, root, size, units, prints) that some other root's row may resemble.
+
+    All fingerprints of all rows are compared, so that sets move only where there is something to compare. What is told
+    is rows, at most those of the pair of blocks, never pairs.
+    """
+    most = most_apart(seeds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            whole = pa.Table.from_batches(parts)
-            node, root, side = (whole.column(c).to_numpy() for c in ("node", "root", "side"))
-            sets = [np.frombuffer(h, "<u4") for h in whole.column("hashes").to_pylist()]
-            kind, i, j = (whole.column(c)[0].as_py() for c in ("kind", "i", "j"))
-            x, y = _alike_links(node, root, side, sets, kind == 0 and i == j, similarity)
-            return pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], names=["a", "b"])
-
-        held, known = [], None
-        for batch in batches:
-            if not batch.num_rows:
+        for whole in _block_pairs(batches):
+            node, root, side, alone = _columns(whole)
+            left = np.arange(len(node)) if alone else np.flatnonzero(side == 0)
+            right = left if alone else np.flatnonzero(side == 1)
+            if not (len(left) and len(right)):
                 continue
-            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names], 1)
-            starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)])
-            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
-                now = tuple(keys[s].tolist())
-                if held and now != known:
-                    yield links(held)
-                    held = []
-                held.append(batch.slice(s, e - s))
-                known = now
-        if held:
-            yield links(held)
+            prints = _prints_of(whole.column("data").combine_chunks())
+            near = np.zeros(len(node), bool)
+            # Parts of the left side, so that a part has about a million pairs.
+            step = max(1, (1 << 20) // len(right))
+            for at in range(0, len(left), step):
+                some = left[at : at + step]
+                apart = np.zeros((len(some), len(right)), np.int32)
+                for seed in range(prints.shape[1]):
+                    apart += np.bitwise_count(prints[some, seed][:, None] ^ prints[right, seed][None, :])
+                close = (apart <= most) & (root[some][:, None] != root[right][None, :])
+                near[some] |= close.any(1)
+                near[right] |= close.any(0)
+            told = node[near]
+            unit = np.full(len(told), whole.column("unit")[0].as_py(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(unit), pa.array(told)], names=["unit", "node"])
+
+    return _dealt(members, "prints").mapInArrow(run, "unit long, node long").distinct()
+
+
+def _met(members: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that connect what all alike pairs of different roots within the units do.
+
+    `members` are (node, root, size, units, hashes). The sets are compared, and a pair of blocks tells a forest of true
+    links.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in _block_pairs(batches):
+            node, root, side, alone = _columns(whole)
+            sets = [np.frombuffer(h, "<u4") for h in whole.column("data").to_pylist()]
+            x, y = _alike_links(node, root, side, sets, alone, similarity)
+            yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], names=["a", "b"])
 
-    return dealt.repartition(*names).sortWithinPartitions(*names).mapInArrow(run, "a long, b long")
+    return _dealt(members, "hashes").mapInArrow(run, "a long, b long")
 
 
 def _short_units(nodes: DataFrame, hashes: DataFrame, similarity: float) -> DataFrame:
-    """(unit, node) for texts of few shingles, in which every alike pair of them meets: prefix filtering.
+    """(node, units) for texts of few shingles, in which every alike pair of them meets: prefix filtering.
 
     An alike text shares at least `similarity` of a set's n elements, so it holds one of any n - ceil(similarity n) + 1
     of them. With one order of elements for all, the first so many of both sets have one in common. Rare elements come
     first, so that few texts meet.
     """
-    short = nodes.where(F.col("size").between(1, SHORT_SHINGLES)).select("node").join(hashes, "node")
+    few = hashes.where(F.length("hashes").between(1, 4 * SHORT_SHINGLES))
+    short = nodes.where(F.col("size").between(1, SHORT_SHINGLES)).select("node").join(few, "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -636,8 +692,8 @@ def _short_units(nodes: DataFrame, hashes: DataFrame, similarity: float) -> Data
     n = F.size("all")
     # A hair less, as the comparison of the sets is in floating point as well.
     first = F.slice("all", F.lit(1), n - F.ceil(n * (similarity - 1e-9) - 1e-9).cast("int") + 1)
-    met = by_node.select("node", F.explode(first).alias("x")).where("x.n > 1")
-    return met.select((-1 - F.col("x.item")).alias("unit"), "node")
+    met = F.filter(first, lambda x: x["n"] > 1)
+    return by_node.select("node", F.transform(met, lambda x: -1 - x["item"]).alias("units")).where(F.size("units") > 0)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -707,11 +763,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, se
     links = links.union(written(_verified(rest, hashes, similarity), "links"))
     crowded = found.where("b = -1").select("unit").union(parted.select("unit")).distinct()
     now = rooted(links)
-    label = now.join(nodes.select("node", "size"), "node").select("node", "root", "size")
-    units = _short_units(nodes, hashes, similarity)
+    label = now.join(nodes.select("node", "size", "prints"), "node").select("node", "root", "size", "prints")
+    members = written(_short_units(nodes, hashes, similarity), "few")
     if not crowded.isEmpty():
-        units = units.union(_bands(nodes, seeds).select("unit", "node").join(crowded, "unit", "left_semi"))
-    links = links.union(written(_met(written(units.join(label, "node"), "crowds"), hashes, similarity), "links"))
+        units = _bands(nodes, seeds).select("unit", "node").join(crowded, "unit", "left_semi")
+        crowds = written(units.groupBy("node").agg(F.collect_list("unit").alias("units")).join(label, "node"), "crowds")
+        near = _suspects(crowds, seeds).groupBy("node").agg(F.collect_list("unit").alias("units"))
+        # A node is in at most one unit per block of each fingerprint, so its list is bounded.
+        members = members.union(written(near.select("node", "units"), "near"))
+    members = members.groupBy("node").agg(F.flatten(F.collect_list("units")).alias("units"))
+    members = members.join(label.drop("prints"), "node").join(hashes, "node")
+    links = links.union(written(_met(written(members, "members"), similarity), "links"))
     now = rooted(links)
     heads = now.groupBy("root").agg(F.min("first").alias("head"))
     labels = written(now.select("sign", "root").join(heads, "root").select("sign", F.col("head.row").alias("group_row")), "labels")
