@@ -724,7 +724,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, se
     bits, and then compared exactly. A crowded node first tells its nearest pairs; once these are joined to groups, all
     its pairs that are still in different groups are compared, block by block. Pairs of texts with at most `SHORT_SHINGLES`
     distinct shingles are found exactly, by rare shingles. Texts without words are alike.
+
+    The result is a table of its own; what was written on the way to it is deleted.
     """
+    with scratch(docs.sparkSession):
+        return stage(_grouped(docs, words, similarity, seeds), "groups")[0]
+
+
+def _grouped(docs: DataFrame, words: int, similarity: float, seeds: int) -> DataFrame:
     sets = written(_sets(docs, words, seeds), "sets")
     order = F.struct(F.col("id").isNull(), "id", "row")
     grouped = sets.groupBy("sign").agg(F.min(order).alias("first"), F.first("prints").alias("prints"), F.first(F.length("hashes") / 4).alias("size"))
