@@ -697,9 +697,13 @@ def _short_units(nodes: DataFrame, hashes: DataFrame, similarity: float) -> Data
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) whose shingle sets resemble each other that much, by the sets themselves."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    known = sets.join(wanted, "node", "left_semi")
+    """Pairs (a, b) whose shingle sets resemble each other that much, by the sets themselves.
+
+    The wanted ids are a table, whose size Spark knows: while it is small, the sets stay where they are and only those
+    wanted are written, else all are shuffled once.
+    """
+    wanted = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted")
+    known = written(sets.join(wanted, "node", "left_semi"), "known")
     left = known.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
     right = known.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
 
@@ -746,12 +750,12 @@ def _grouped(docs: DataFrame, words: int, similarity: float, seeds: int) -> Data
     pairs = found.where("b >= 0").select("a", "b", "bits").union(joints).groupBy("a", "b").agg(
         F.min(bits).alias("bits"), F.count("*").alias("n"), F.max("bits").alias("open")
     )
-    pairs = written(_near_prints(pairs, nodes, seeds), "pairs")
+    pairs = written(pairs, "pairs")
     # The nearest partner of each text first: that joins large groups with few comparisons.
     best = pairs.groupBy(F.col("b").alias("node")).agg(F.max(F.struct("n", F.negative("bits"), F.negative("a"))).alias("m"))
     chosen = best.select(F.negative(F.col("m").getField("col3")).alias("a"), F.col("node").alias("b"))
-    links = written(_verified(chosen, hashes, similarity), "links")
     tried = written(chosen, "tried")
+    links = written(_verified(written(_near_prints(tried, nodes, seeds), "near"), hashes, similarity), "links")
 
     def rooted(links: DataFrame) -> DataFrame:
         roots = components(links)
@@ -766,7 +770,8 @@ def _grouped(docs: DataFrame, words: int, similarity: float, seeds: int) -> Data
 
     now = rooted(links)
     # Crowded nodes are asked again below, so only what the others told is looked at here.
-    rest = written(still_apart(pairs.where("open >= 0").select("a", "b").join(tried, ["a", "b"], "left_anti"), now), "rest")
+    rest = still_apart(pairs.where("open >= 0").select("a", "b").join(tried, ["a", "b"], "left_anti"), now)
+    rest = written(_near_prints(rest, nodes, seeds), "rest")
     links = links.union(written(_verified(rest, hashes, similarity), "links"))
     crowded = found.where("b = -1").select("unit").union(parted.select("unit")).distinct()
     now = rooted(links)
@@ -779,8 +784,9 @@ def _grouped(docs: DataFrame, words: int, similarity: float, seeds: int) -> Data
         # A node is in at most one unit per block of each fingerprint, so its list is bounded.
         members = members.union(written(near.select("node", "units"), "near"))
     members = members.groupBy("node").agg(F.flatten(F.collect_list("units")).alias("units"))
-    members = members.join(label.drop("prints"), "node").join(hashes, "node")
-    links = links.union(written(_met(written(members, "members"), similarity), "links"))
+    members = written(members.join(label.drop("prints"), "node"), "asked")
+    members = written(hashes.join(members, "node"), "members")
+    links = links.union(written(_met(members, similarity), "links"))
     now = rooted(links)
     heads = now.groupBy("root").agg(F.min("first").alias("head"))
     labels = written(now.select("sign", "root").join(heads, "root").select("sign", F.col("head.row").alias("group_row")), "labels")
