@@ -28,13 +28,18 @@ PIECE = "start long, length int, ids_crc32 long, doc_tokens long"
 @lru_cache(maxsize=2)
 def _tokenizer(path: str, ranks: str | None):
     """Texts to arrays of ids, by the tokenizers library or by the same vocabulary's ranks."""
-    from tokenizers import Tokenizer
 
-    exact = Tokenizer.from_file(path)
-    exact.encode_special_tokens = True
+    @lru_cache(maxsize=1)
+    def exact():
+        """Loaded when it is first needed: with ranks that is rarely, and it takes 30 MB in each worker."""
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
 
     def slow(text: str) -> np.ndarray:
-        return np.array(exact.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(exact().encode(text, add_special_tokens=False).ids, "<u4")
 
     if ranks is None:
         return slow
