@@ -231,3 +231,47 @@ def pack(
             )
 
     return ranked.mapInArrow(place, schema_with(ranked, names, "sequence_id long, offset long"))
+
+
+def windows(pieces: DataFrame) -> DataFrame:
+    """The windows themselves: sequence_id, n_tokens, their ids without padding (little-endian, four bytes each), and
+    `pieces`, all other columns of each piece in order of offset.
+
+    `pieces` is the result of `pack` with ids; each of them moves once, to its window. A task puts windows together
+    batch by batch: pieces in order of window and offset lie one after the other, so a window's ids are a stretch of
+    the batch's bytes. A window holds at most its capacity, however many documents are alike. No pieces, no windows.
+    """
+    told = [c for c in pieces.columns if c not in ("ids", "sequence_id", "ids_crc32")]
+    inner = T.StructType([pieces.schema[c] for c in told])
+    schema = T.StructType.fromDDL("sequence_id long, n_tokens int, ids binary").add("pieces", T.ArrayType(inner, False))
+
+    def whole(part: pa.RecordBatch) -> pa.RecordBatch:
+        number, length = part.column("sequence_id").to_numpy(), part.column("length").to_numpy().astype(np.int64)
+        starts = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+        tokens = np.add.reduceat(length, starts)
+        ids = part.column("ids")
+        begin, *_ = np.frombuffer(ids.buffers()[1], np.int32, 1, 4 * ids.offset)
+        ends = begin + 4 * np.r_[0, np.cumsum(tokens)]
+        stretches = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), ids.buffers()[2]])
+        items = pa.StructArray.from_arrays([part.column(c) for c in told], names=told)
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(number)].astype(np.int32)), items)
+        columns = [pa.array(number[starts], pa.int64()), pa.array(tokens.astype(np.int32)), stretches, lists]
+        return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.RecordBatch | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if rest is not None:
+                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            number = batch.column("sequence_id").to_numpy()
+            last = int(np.searchsorted(number, number[-1]))  # the last window may go on in the next batch
+            if last:
+                yield whole(batch.slice(0, last))
+            rest = batch.slice(last)
+        if rest is not None:
+            yield whole(rest)
+
+    moved = pieces.drop("ids_crc32").repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
+    return moved.mapInArrow(assemble, schema)

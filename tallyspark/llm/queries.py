@@ -12,7 +12,7 @@ from .digest_index import exact_duplicates
 from .embeddings import embedding_groups
 from .labelled import held_out
 from .ngram import ngram_scores
-from .packing import pack
+from .packing import pack, windows
 from .sharding import histogram_shards
 from .simhash import simhash_groups
 from .whitening import whiten
@@ -44,12 +44,11 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").withColumn(
-        "text_crc32", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    )
-    shards = histogram_shards(docs, 8, payload=["doc_id", "text_crc32"])
+    """Whole rows move to their shards; the checksum is taken of the text that arrived there."""
+    shards = histogram_shards(table(spark, folder, "documents"), 8)
+    checksum = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
     return shards.select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+        "doc_id", "size", checksum, F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
 
 
@@ -87,9 +86,19 @@ def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows with their ids are put together; each piece's checksum is taken of its ids in the window."""
     path, ranks = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
-    pieces = pack(table(spark, folder, "documents"), path, ranks, 1024, keep=["doc_id"], with_ids=False)
-    return pieces.withColumn("length", F.col("length").cast("long"))
+    packed = windows(pack(table(spark, folder, "documents"), path, ranks, 1024, keep=["doc_id"]))
+    ids = F.expr("substring(ids, 4 * piece.offset + 1, 4 * piece.length)")
+    return packed.withColumn("piece", F.explode("pieces")).select(
+        "piece.doc_id",
+        "piece.start",
+        F.col("piece.length").cast("long").alias("length"),
+        F.crc32(ids).alias("ids_crc32"),
+        "piece.doc_tokens",
+        "sequence_id",
+        F.col("piece.offset").cast("long").alias("offset"),
+    )
 
 
 def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:

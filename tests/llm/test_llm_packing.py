@@ -4,11 +4,14 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyspark.llm.packing import best_fit_decreasing, pack
+from tallyspark.llm.common import written
+from tallyspark.llm.packing import best_fit_decreasing, pack, windows
 
 PATH, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -82,3 +85,24 @@ def test_pieces_hold_every_id_once(docs, clashing, no_docs):
         assert sum(r["start"] == 0 for r in rows) == docs.count()
     assert pack(clashing, PATH, RANKS, 256).where("start = 0").count() == docs.count()
     assert pack(no_docs, PATH, RANKS, 256).collect() == []
+
+
+@pytest.mark.parametrize("batch", ["10000", "3"])
+def test_windows_hold_the_ids_of_their_pieces(spark, docs, clashing, no_docs, batch):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        for frame in (docs, docs.union(docs).union(docs)):
+            pieces = written(pack(frame, PATH, RANKS, 256, keep=["doc_id"]), "test")
+            want = defaultdict(list)
+            for r in pieces.collect():
+                want[r["sequence_id"]].append((r["offset"], r["doc_id"], r["start"], r["length"], r["doc_tokens"], bytes(r["ids"])))
+            rows = windows(pieces).collect()
+            assert len(rows) == len(want)
+            for r in rows:
+                told = sorted(want[r["sequence_id"]], key=lambda x: x[0])
+                assert bytes(r["ids"]) == b"".join(x[-1] for x in told) and len(r["ids"]) == 4 * r["n_tokens"] <= 1024
+                assert [(p["offset"], p["doc_id"], p["start"], p["length"], p["doc_tokens"]) for p in r["pieces"]] == [x[:-1] for x in told]
+        assert windows(pack(clashing, PATH, RANKS, 256)).agg(F.sum(F.size("pieces"))).first()[0] >= docs.count()
+        assert windows(pack(no_docs, PATH, RANKS, 256)).collect() == []
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
