@@ -39,12 +39,12 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             delete_path(spark, path)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """The frame as a table in the shared folder: lineage is cut and every executor can reread it."""
     path = fresh_dir(df.sparkSession, label)
     if (paths := _SCRATCH.get()) is not None:
         paths.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

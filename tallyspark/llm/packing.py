@@ -198,7 +198,7 @@ def pack(
     spark = docs.sparkSession
     own = ["start", "length", "ids_crc32", "doc_tokens", "ids", "sequence_id", "offset", "_part", "_nth", "_text"]
     keep = [c for c in docs.columns if c not in own and c != text_column] if keep is None else keep
-    pieces = written(cut(docs, text_column, path, ranks, capacity, keep, with_ids), "pieces")
+    pieces = written(cut(docs, text_column, path, ranks, capacity, keep, with_ids), "pieces", codec="zstd")
 
     by_part = written(pieces.groupBy("_part", "length").agg(F.count("*").alias("_n")), "lengths")
     counts = {r["length"]: r["n"] for r in by_part.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
