@@ -21,8 +21,9 @@ from .common import slices, with_text, written
 
 #: Weight of the word alone against its context, in observations (Dirichlet prior).
 PRIOR = 40.0
-#: Steps in which a decade of a pair's probability is told apart; one code stands for a pair that never occurred.
-STEPS, ABSENT = 24, 255
+#: Steps in which a decade of a pair's count is told apart, always rounded down, so that the probabilities of all
+#: successors never add up to more than one. 16 bits reach beyond 2^63; one code stands for a pair that never occurred.
+STEPS, ABSENT = 3000, 65535
 #: Characters of a chunk of documents, whose distinct words and pairs are asked for once.
 CHUNK_CHARS = 8_000_000
 #: Distinct words, and running words, that a shard is meant to hold of all chunks.
@@ -159,7 +160,7 @@ class Trie:
             EliasFano.of(context[starts]),
             EliasFano.of(np.r_[starts, len(context)].astype(np.uint64)),
             EliasFano.of(number << np.uint64(SUCCESSOR_BITS) | successor),
-            codes.astype(np.uint8),
+            codes.astype(np.uint16),
         )
 
     def save(self, folder: str) -> None:
@@ -183,7 +184,7 @@ class Trie:
     def lookup(self, context: np.ndarray, successor: np.ndarray) -> np.ndarray:
         """Codes of pairs that are in order of their contexts."""
         if not len(self.codes) or not len(context):
-            return np.full(len(context), ABSENT, np.uint8)
+            return np.full(len(context), ABSENT, np.uint16)
         starts = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
         size = np.diff(np.r_[starts, len(context)])
         at, hit = self.contexts.find(context[starts])
@@ -193,7 +194,7 @@ class Trie:
         each = lambda x: np.repeat(x, size)
         values = each(at.astype(np.uint64)) << np.uint64(SUCCESSOR_BITS) | successor
         place, found = self.successors.find(values, each(lo), each(hi))
-        return np.where(found, self.codes[np.where(found, place, 0)], ABSENT).astype(np.uint8)
+        return np.where(found, self.codes[np.where(found, place, 0)], ABSENT).astype(np.uint16)
 
 
 # Chunks of documents
@@ -372,7 +373,7 @@ def _pair_codes(chunks: DataFrame, shards: int) -> DataFrame:
         fresh = np.r_[True, (context[1:] != context[:-1]) | (successor[1:] != successor[:-1])] if len(order) else np.empty(0, bool)
         first = np.flatnonzero(fresh)
         total = np.add.reduceat(count, first) if len(first) else count
-        codes = np.minimum(np.rint(np.log10(total) * STEPS), ABSENT - 1)
+        codes = np.floor(np.log10(total) * STEPS)
         with tempfile.TemporaryDirectory() as folder:
             Trie.build(context[first], successor[first], codes).save(folder)
             trie = Trie.open(folder)
@@ -395,7 +396,7 @@ def ngram_scores(docs: DataFrame, held: str = "held_out", id_column: str = "doc_
     `held` names a boolean column (null: not held out). Result: id, held_out, n_tokens, n_known, train_tokens, base_score
     (words alone, add-one) and score, the log10 probability of the text under
     p(word | context) = (c(context, word) + PRIOR * p(word)) / (c(context) + PRIOR), where p(word) is the add-one
-    probability, the context is the word before or the start of the text, and c(context, word) is quantised.
+    probability, the context is the word before or the start of the text, and c(context, word) is quantised, rounded down.
 
     Pairs are dealt to shards by a hash of the whole pair, so no frequent word or pair makes a shard large. A shard is
     an Elias-Fano trie in a temporary file that its task maps into memory, asks for the pairs of every chunk, and drops.
@@ -439,7 +440,7 @@ def ngram_scores(docs: DataFrame, held: str = "held_out", id_column: str = "doc_
         return pa.table({
             id_column: left["ids"].combine_chunks().flatten(), "held_out": pa.array(chunk.held), "n_tokens": pa.array(chunk.lengths),
             "n_known": pa.array(total((count > 0)[chunk.token].astype(np.int64))), "train_tokens": pa.array(np.full(len(chunk.held), n)),
-            "base_score": pa.array(total(np.log10(alone)[chunk.token])), "score": pa.array(np.minimum(total(np.log10(p)), 0.0)),
+            "base_score": pa.array(total(np.log10(alone)[chunk.token])), "score": pa.array(total(np.log10(p))),
         })
 
     needed = chunks.select("chunk", "vocab", "held", "lengths", "seq", "rest", "ids")

@@ -24,7 +24,7 @@ def test_elias_fano(n, top):
 def test_trie_from_mapped_files(tmp_path):
     rnd = np.random.default_rng(1)
     pairs = np.unique(np.stack([rnd.integers(0, 50, 3000) * 7919, rnd.integers(0, 1 << 40, 3000)], 1), axis=0).astype(np.uint64)
-    codes = rnd.integers(0, 255, len(pairs)).astype(np.uint8)
+    codes = rnd.integers(0, ngram.ABSENT, len(pairs)).astype(np.uint16)
     ngram.Trie.build(pairs[:, 0], pairs[:, 1], codes).save(str(tmp_path))
     trie = ngram.Trie.open(str(tmp_path))
     assert isinstance(trie.codes, np.memmap) and (trie.lookup(pairs[:, 0], pairs[:, 1]) == codes).all()
@@ -53,9 +53,9 @@ def check(frame):
         score = 0.0
         for a, w in zip(["\n", *t], t):
             k = pairs[("start" if a == "\n" else a, w)]
-            k = 10 ** (round(math.log10(k) * ngram.STEPS) / ngram.STEPS) if k else 0
+            k = 10 ** (math.floor(np.log10(k) * ngram.STEPS) / ngram.STEPS) if k else 0
             score += math.log10((k + ngram.PRIOR * (count[w] + 1) / floor) / (count[a] + ngram.PRIOR))
-        want.append((str(i), held, len(t), sum(count[w] > 0 for w in t), n, round(base, 6), round(min(score, 0.0), 6)))
+        want.append((str(i), held, len(t), sum(count[w] > 0 for w in t), n, round(base, 6), round(score, 6)))
     got = [
         (str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6))
         for r in ngram.ngram_scores(frame).collect()
@@ -74,3 +74,24 @@ def test_nothing_learnt_and_nothing_there(docs, no_docs, clashing):
     check(docs.withColumn("held_out", F.lit(True)))
     assert ngram.ngram_scores(no_docs.withColumn("held_out", F.lit(False))).collect() == []
     assert ngram.ngram_scores(clashing.withColumn("held_out", F.lit(None).cast("boolean"))).count() == docs.count()
+
+
+def test_probabilities_of_all_successors_add_up_to_at_most_one(spark):
+    rnd = np.random.default_rng(3)
+    texts = [" ".join("abcde"[k] for k in rnd.choice(5, n, p=[0.6, 0.2, 0.1, 0.05, 0.05])) for n in rnd.integers(0, 400, 60)]
+    rows = [(i, t, False) for i, t in enumerate(texts)] + [(1000, "", True)]
+    rows += [(1001 + i, c, True) for i, c in enumerate("abcdez")]
+    rows += [(2000 + 10 * i + j, f"{a} {b}", True) for i, a in enumerate("abcdez") for j, b in enumerate("abcdez")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    score = {r["doc_id"]: r["score"] for r in ngram.ngram_scores(frame).collect()}
+    assert max(score.values()) <= 0
+    whole = {i: 10 ** score[i] for i in score if i >= 1000}
+    # All texts of up to two words from a vocabulary of six are different events.
+    assert sum(whole.values()) <= 1
+
+
+@pytest.mark.parametrize("total", [1, 2, 10, 999, 10**6, 38 * 10**9, 4 * 10**10, 2**62, 2**63 - 1])
+def test_counts_are_rounded_down_and_never_saturate(total):
+    code = math.floor(np.log10(total) * ngram.STEPS)
+    assert 0 <= code < ngram.ABSENT
+    assert total / 1.001 <= 10.0 ** (code / ngram.STEPS) <= total * (1 + 1e-12)
