@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F
 
 UNKNOWN_MERCHANT = "(unknown merchant)"
@@ -49,3 +51,13 @@ def display_name(trade: Column, legal: Column, merchant: Column) -> Column:
     """Trade name, else legal name, else merchant id; empty text counts as absent."""
     present = [F.nullif(c, F.lit("")) for c in (trade, legal, merchant)]
     return F.coalesce(*present, F.lit(UNKNOWN_MERCHANT))
+
+
+def joined(column: str, order: Sequence[str], separator: str = ", ") -> Column:
+    """Aggregate: the texts of a group in order of ``order``, which should leave no ties.
+
+    NULL texts are left out; a group without texts gives NULL. A group is put together in one
+    task, so this is for groups of a known size. ``profile.ordered_fingerprint`` compares whole tables.
+    """
+    quoted = separator.replace("\\", "\\\\").replace("'", "\\'")
+    return F.expr(f"listagg(`{column}`, '{quoted}') WITHIN GROUP (ORDER BY {', '.join(f'`{c}`' for c in order)})")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
+from tallyspark.operators.ordering import numbered
+
 # Text columns that may hold dates, where no column has a date type.
 DATE_NAMES = ("_timestamp", "created_at", "updated_at", "settled_at", "reference_date")
 
@@ -83,3 +85,17 @@ def fingerprint(df: DataFrame, column: str) -> DataFrame:
         F.sum(F.col("h").cast("decimal(20,0)")).cast("decimal(38,0)").alias("hash_sum"),
         F.bit_xor("h").alias("hash_xor"),
     )
+
+
+def ordered_fingerprint(df: DataFrame, column: str, order: Sequence[str]) -> DataFrame:
+    """Content hash of a column that tells its order, too: (rows, hash_sum, hash_xor).
+
+    Each value is hashed together with its position in the sorted table, so that two values
+    that change places change the hash, and NULL differs from the empty text. Positions come
+    from ``ordering.numbered``, so neither the sort nor the hash needs the table in one task.
+    NULL comes first, and rows that tie in ``order`` go by their value, so that the hash is the same in every run.
+    """
+    keys = list(dict.fromkeys([*order, column]))
+    placed = numbered(df.select(*keys), [F.col(k).asc_nulls_first() for k in keys])
+    value = F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
+    return fingerprint(placed.select(F.concat("position", value).alias("placed")), "placed")

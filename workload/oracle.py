@@ -653,6 +653,16 @@ ORACLE["fingerprint_results"] = _with(RESULTS, """hashed AS (
   SELECT CAST('0x' || substr(md5(transaction_id), 1, 15) AS BIGINT) AS h FROM results)""") + """
 SELECT count(*) AS rows, CAST(sum(h) AS DECIMAL(38,0)) AS hash_sum, bit_xor(h) AS hash_xor FROM hashed"""
 
+ORACLE["fingerprint_ordered"] = _with(RESULTS, """placed AS (
+  SELECT row_number() OVER (ORDER BY run_id, id, processor_amount NULLS FIRST) || coalesce('=' || processor_amount, '') AS placed FROM results),
+hashed AS (SELECT CAST('0x' || substr(md5(placed), 1, 15) AS BIGINT) AS h FROM placed)""") + """
+SELECT count(*) AS rows, CAST(sum(h) AS DECIMAL(38,0)) AS hash_sum, bit_xor(h) AS hash_xor FROM hashed"""
+
+ORACLE["runs_joined_by_date"] = _with(RUNS) + """
+SELECT reference_date, count(*) AS n,
+  string_agg(CASE WHEN status <> 'IN_PROGRESS' THEN status || ' ' || id END, '; ' ORDER BY started_at, id) AS attempts
+FROM runs GROUP BY reference_date"""
+
 # --- reconciliation --------------------------------------------------------------------------------------------
 
 SIDES = """i AS (

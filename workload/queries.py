@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyspark.functions.amounts import normalize_amount
-from tallyspark.functions.text import money, thousands
+from tallyspark.functions.text import joined, money, thousands
 from tallyspark.operators import cdc, profile, quality, reconcile as matching
 from tallyspark.operators.ordering import numbered
 from tallyspark.plans import alerts, build, checks, curated, dated, incremental, marts, reports
@@ -731,6 +731,20 @@ def fingerprint_results(spark, sf):
     return profile.fingerprint(star.results(spark, sf), "transaction_id")
 
 
+@query
+def fingerprint_ordered(spark, sf):
+    """Content and order of an amount column with NULLs, the results in order of run and id, ties by amount."""
+    results = star.results(spark, sf).select("run_id", "id", "processor_amount")
+    return profile.ordered_fingerprint(results, "processor_amount", ["run_id", "id"])
+
+
+@query
+def runs_joined_by_date(spark, sf):
+    """The attempts of each date as one text, in order of their start; runs without an end have no text."""
+    runs = star.runs(spark, sf).withColumn("attempt", F.when(F.col("status") != "IN_PROGRESS", F.concat("status", F.lit(" "), "id")))
+    return runs.groupBy("reference_date").agg(F.count("*").alias("n"), joined("attempt", ["started_at", "id"], "; ").alias("attempts"))
+
+
 # --- reconciliation --------------------------------------------------------------------------------
 
 
