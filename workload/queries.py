@@ -15,7 +15,7 @@ from tallyspark.operators.ordering import numbered
 from tallyspark.plans import alerts, build, checks, curated, dated, incremental, marts, reports
 from tallyspark.session import configure, fresh_dir
 from tallyspark.sources import changelog, settlements as csv
-from tallyspark.sources.store import Store
+from tallyspark.sources.store import Store, delete_path
 from tallyspark.streaming import changes, matching as stream_matching
 from workload import star
 
@@ -351,14 +351,49 @@ def settlements_by_callable(spark, sf):
     return verdicts.select("reference_date", "rows", "loaded", F.array_join("reasons", "; ").alias("reasons"))
 
 
+def _write_single(ordered: DataFrame, folder: str, name: str) -> None:
+    """One CSV file of rows in order. They are sorted and formatted by range in many tasks; a last one only strings the
+    bytes of the parts together, a few at a time, as a file has one writer."""
+    spark, step = ordered.sparkSession, 1 << 22
+    parts = fresh_dir(spark, "parts")
+    ordered.write.csv(parts)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(parts).getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = sorted(status.getPath().toString() for status in fs.globStatus(path(f"{parts}/part-*")))
+    fs.mkdirs(path(folder))
+    target, header = fs.makeQualified(path(folder, name)).toUri().toString(), ",".join(ordered.columns)
+
+    # Defined here so that it travels by value and the executors need not have this package.
+    def strung(batches):
+        from pyarrow import fs as arrow
+
+        def opened(uri):
+            # Arrow knows object stores by their plain scheme only.
+            return arrow.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+
+        for batch in batches:
+            system, place = opened(batch["target"][0])
+            with system.open_output_stream(place) as out:
+                out.write(f"{header}\n".encode())
+                for uri in batch["parts"][0]:
+                    system, part = opened(uri)
+                    with system.open_input_stream(part) as stream:
+                        while more := stream.read(step):
+                            out.write(more)
+            yield batch[["target"]]
+
+    work = spark.createDataFrame([(target, listed)], "target string, parts array<string>")
+    work.coalesce(1).mapInPandas(strung, "target string").collect()
+    delete_path(spark, parts)
+
+
 @query
 def settlement_file_loaded(spark, sf):
     """All acceptable lines in one file, whose name looks like a pattern."""
     folder, key = fresh_dir(spark, "single"), F.col("_key")
     bad = F.col("transaction_id").eqNullSafe("") | F.col("amount").isin("0.00", "abc")
     lines = star.settlement_lines(spark, sf).filter(~bad)
-    lines.repartition(1).sortWithinPartitions(key, "_seq").drop("_key", "_seq", "file_date").write.option("header", True).csv(folder)
-    _rename_parts(spark, folder, lambda *_: "all[1].csv")
+    _write_single(lines.orderBy(key, "_seq").drop("_key", "_seq", "file_date"), folder, "all[1].csv")
     store = _store(spark, "single-lake")
     loaded = csv.load_file(store, f"{folder}/all[1].csv", "1999-01-31")
     table = store.read(csv.TABLE)
