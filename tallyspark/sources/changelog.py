@@ -80,7 +80,7 @@ def _seed(store: Store, raw: str, silver: str, typed: DataFrame) -> int:
     try:
         if seen.get["missing"]:
             raise ValueError(f"{silver}: id is NULL in {seen.get['missing']} row(s)")
-        store.replace(silver, staged)
+        store.take(silver, staged, folder)
     finally:
         delete_path(store.spark, folder)
     logger.info("%s: %d rows from %s", silver, seen.get["n"], raw)

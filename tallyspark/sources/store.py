@@ -107,6 +107,20 @@ class Store:
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
         return self.read(name)
 
+    def take(self, name: str, staged: DataFrame, folder: str) -> DataFrame:
+        """As ``replace`` by a staged frame, by renaming its folder; its rows are copied only where that cannot be done."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (folder, self.path(name)))
+        fs = target.getFileSystem(conf)
+        if not fs.getUri().equals(source.getFileSystem(conf).getUri()):
+            return self.replace(name, staged)
+        fs.mkdirs(target.getParent())
+        delete_path(self.spark, self.path(name))
+        if not fs.rename(source, target):
+            return self.replace(name, staged)
+        self.spark.catalog.refreshByPath(self.path(name))
+        return self.read(name)
+
     def replace_partitions(self, name: str, df: DataFrame, partition: str) -> DataFrame:
         """Replace the partitions that occur in ``df``, leave the others alone.
 
