@@ -8,8 +8,10 @@ published by one rename.
 from __future__ import annotations
 
 import datetime
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyspark.functions.dates import in_dates, period_of, week_end
 from tallyspark.operators import quality
@@ -195,6 +197,29 @@ def runs_not_in_ledger(store: Store, stored: DataFrame) -> DataFrame:
     return found.join(known, ["run_id", PERIOD, "rows", "ids"], "left_anti")
 
 
+def _without(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """Results whose id is not among ``kept``; NULL is an id like any other.
+
+    Which these are is found out on ids alone. The rows meet the outcome by run and id, so that they stay where the
+    joins by run want them and are not dealt out by id in between.
+    """
+    ids = rows.select(F.col("id").alias("_id"), F.col("run_id").alias("_run"))
+    gone = ids.join(kept, ids["_id"].eqNullSafe(kept["result_id"]), "left_semi")
+    return rows.join(gone, (F.col("run_id") == F.col("_run")) & F.col("id").eqNullSafe(F.col("_id")), "left_anti")
+
+
+@contextmanager
+def _dealt_by_run(spark: SparkSession) -> Iterator[None]:
+    """Joins by run and id take rows as they lie by run, instead of dealing them out once more by both."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def append_ledger_by_run(
     store: Store, runs: DataFrame, company: DataFrame, dates: list[datetime.date] | None = None, grain: str = "day"
 ) -> int:
@@ -212,11 +237,12 @@ def append_ledger_by_run(
     touched = [r[0] for r in changed.select(PERIOD).distinct().collect()]
     if touched:
         rows = stored.filter(in_dates(PERIOD, touched, grain)).join(changed.select("run_id"), "run_id", "left_semi")
-        fresh = marts.compliance_ledger(runs, rows.drop(PERIOD, "reference_date"), company).withColumn(PERIOD, _period(grain))
         if store.published(LEDGER).exists():
-            kept = store.published(LEDGER).read().filter(in_dates(PERIOD, touched, grain)).select(F.col("result_id").alias("result_id"))
-            fresh = fresh.join(kept, same_keys(fresh, kept, ["result_id"]), "left_anti")
-        store.publish(LEDGER, fresh, PERIOD, append=True)
+            kept = store.published(LEDGER).read().filter(in_dates(PERIOD, touched, grain)).select("result_id")
+            rows = _without(rows, kept)
+        fresh = marts.compliance_ledger(runs, rows.drop(PERIOD, "reference_date"), company).withColumn(PERIOD, _period(grain))
+        with _dealt_by_run(store.spark):
+            store.publish(LEDGER, fresh, PERIOD, append=True)
         store.publish(LEDGER_RUNS, changed, PERIOD, append=True)
     count = changed.count()
     delete_path(store.spark, folder)

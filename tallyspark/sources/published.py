@@ -107,9 +107,9 @@ class Published:
         parts = self.manifest()["parts"] if versions and by else {}
         folder = f"{PUBLICATION}={number}-{uuid.uuid4().hex[:8]}"
         if by:
-            df.hint("rebalance", by).write.partitionBy(by).parquet(f"{self.path}/files/{folder}")
+            df.hint("rebalance", by).write.option("compression", "zstd").partitionBy(by).parquet(f"{self.path}/files/{folder}")
         else:
-            df.write.parquet(f"{self.path}/files/{folder}")
+            df.write.option("compression", "zstd").parquet(f"{self.path}/files/{folder}")
         for value in replaced or ():
             parts.pop(f"{by}={partition_text(value)}", None)
         found = [n for n in self._names(f"files/{folder}") if by and n.startswith(f"{by}=")] if by else [""]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from golden import company, results, runs
 from tallyspark.functions.dates import in_dates, next_period, period_of
 from tallyspark.plans import curated, dated, marts
+from tallyspark.schemas import RESULTS
 from tallyspark.sources.published import Published
 
 DAYS = [f"2024-02-{d:02d}" for d in range(1, 21)]
@@ -173,3 +174,26 @@ def test_dates_become_ranges(spark):
     assert "BETWEEN" not in str(in_dates("d", days[2:])) and next_period(day(2024, 12, 1), "month") == day(2025, 1, 1)
     assert next_period(day(2023, 1, 1), "year") == day(2024, 1, 1) and next_period(day(2024, 1, 1), "week") == day(2024, 1, 8)
     assert period_of(day(2024, 3, 3), "week") == day(2024, 2, 26)
+
+
+def test_ledger_append_moves_whole_rows_by_run_only(spark):
+    """Which results the ledger has already is told by ids; NULL is an id, and an id counts under any run."""
+    at = datetime.datetime(2024, 1, 1)
+    rows = [(i, i % 3, f"t{i}", "m", "MATCHED", None, None, None, at, "s") for i in range(6)]
+    rows += [(None, 0, "none", "m", "MATCHED", None, None, None, at, "s"), (2, 1, "other run", "m", "MATCHED", None, None, None, at, "s")]
+    known = spark.createDataFrame([(k, at.date()) for k in range(3)], "run_id long, day date")
+    of_runs = spark.createDataFrame(rows, RESULTS).join(known.select("run_id"), "run_id", "left_semi")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        with dated._dealt_by_run(spark):
+            left = dated._without(of_runs, spark.createDataFrame([(2,), (2,), (4,), (None,)], "result_id long")).join(known, "run_id")
+            said = plan(left)
+            assert sorted((r.id, r.run_id) for r in left.collect()) == [(0, 0), (1, 1), (3, 0), (5, 2)]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    whole = [line for line in said.splitlines() if "Exchange hashpartitioning(run_id" in line]
+    assert whole and not [line for line in whole if "coalesce" in line]
