@@ -38,12 +38,20 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each group of near-duplicates; texts without words are one group."""
-    row = free_name(docs, "_row")
+    """One document, that of the least id, of each group of near-duplicates; texts without words are one group.
+
+    Rows are numbered, and the kept ones are told as one bit each, in words of 64 rows: texts stay where they are as long
+    as these words are few enough to be broadcast.
+    """
+    row, word, bits = (free_name(docs, c) for c in ("_row", "_word", "_bits"))
     rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     found = near_duplicates(rows.select(F.col(row).alias("row"), F.col("doc_id").alias("id"), "text"), WORDS, SIMILARITY)
-    kept = found.where("row = group_row").select(F.col("row").alias(row))
-    return rows.join(kept, row, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    words = found.where("row = group_row").groupBy(F.shiftright("row", 6).alias(word)).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(row & 63 as int))")).alias(bits)
+    )
+    marked = rows.join(written(words, "kept"), F.shiftright(row, 6) == F.col(word))
+    kept = marked.where(F.getbit(bits, F.col(row).bitwiseAND(F.lit(63)).cast("int")) == 1)
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def pii_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -282,9 +282,9 @@ SEEDS = 16
 CANDIDATE_BITS = 16
 #: A unit with more fingerprints is joined in runs of this length first, and the rest once links are known.
 RUN_ROWS = 512
-#: Differing bits of the next fingerprint beyond which a pair is no candidate. At a resemblance of 0.8 twelve of 64 differ
-#: at most, give or take three; of unlike texts one half does.
-NEXT_BITS = 26
+#: Differing bits of the next two fingerprints beyond which a pair is no candidate. At a resemblance of 0.8 24 of 128 differ
+#: at most, give or take 4.4, so the limit is five standard deviations off; of unlike texts one in a thousand passes.
+NEXT_BITS = 46
 #: Greatest probability that a bit of the fingerprints of two texts of resemblance 0.8 differs, over all sizes of their
 #: sets: that of four shingles and the same with a fifth. From 33 shingles on it is 0.156.
 BIT_DIFFERS = 0.1875
@@ -336,9 +336,9 @@ def _sets(docs: DataFrame, words: int, seeds: int) -> DataFrame:
 
 
 def _bands(nodes: DataFrame, seeds: int) -> DataFrame:
-    """A row for each fingerprint and block turned to the front: (unit, v, next, node).
+    """A row for each fingerprint and block turned to the front: (unit, v, next, later, node).
 
-    The unit is the trie node at depth 16, `next` is another fingerprint, in which the trie goes on below the first.
+    The unit is the trie node at depth 16, `next` and `later` are the two fingerprints after this one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,17 +348,17 @@ def _bands(nodes: DataFrame, seeds: int) -> DataFrame:
                 n = part.num_rows
                 v = np.frombuffer(b"".join(part.column("prints").to_pylist()), "<u8").reshape(n, seeds)
                 turned = [v if r == 0 else (v << np.uint64(16 * r)) | (v >> np.uint64(64 - 16 * r)) for r in range(4)]
-                after = np.repeat(np.roll(v, -1, axis=1), 4, axis=1).reshape(-1)
+                after, later = (np.repeat(np.roll(v, -k, axis=1), 4, axis=1).reshape(-1).view(np.int64) for k in (1, 2))
                 v = np.stack(turned, 2).reshape(-1)
                 band = np.tile(np.arange(4 * seeds, dtype=np.int64), n)
                 unit = (band << 16) | (v >> np.uint64(48)).astype(np.int64)
                 node = np.repeat(part.column("node").to_numpy(), 4 * seeds)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(unit), pa.array(v.view(np.int64)), pa.array(after.view(np.int64)), pa.array(node)],
-                    names=["unit", "v", "next", "node"],
+                    [pa.array(unit), pa.array(v.view(np.int64)), pa.array(after), pa.array(later), pa.array(node)],
+                    names=["unit", "v", "next", "later", "node"],
                 )
 
-    return nodes.select("prints", "node").mapInArrow(run, "unit long, v long, next long, node long")
+    return nodes.select("prints", "node").mapInArrow(run, "unit long, v long, next long, later long, node long")
 
 
 def most_apart(seeds: int) -> int:
@@ -373,10 +373,13 @@ def _prints_of(packed: pa.Array) -> np.ndarray:
 
 
 def _near_prints(pairs: DataFrame, nodes: DataFrame, seeds: int) -> DataFrame:
-    """The pairs (a, b, ...) whose fingerprints, all together, are near enough for the sets to be compared at all."""
+    """The pairs (a, b, ...) of different roots whose fingerprints, all together, are near enough for the sets to be compared at all.
+
+    `nodes` are (node, root, prints); both are looked up at once, so that a pair is joined once on either side.
+    """
     most, names = most_apart(seeds), pairs.columns
-    left = nodes.select(F.col("node").alias("a"), F.col("prints").alias("_x"))
-    right = nodes.select(F.col("node").alias("b"), F.col("prints").alias("_y"))
+    left = nodes.select(F.col("node").alias("a"), F.col("root").alias("_ra"), F.col("prints").alias("_x"))
+    right = nodes.select(F.col("node").alias("b"), F.col("root").alias("_rb"), F.col("prints").alias("_y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -384,7 +387,8 @@ def _near_prints(pairs: DataFrame, nodes: DataFrame, seeds: int) -> DataFrame:
                 apart = np.bitwise_count(_prints_of(batch.column("_x")) ^ _prints_of(batch.column("_y"))).sum(1, dtype=np.int64)
                 yield batch.select(names).filter(pa.array(apart <= most))
 
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, pairs.schema)
+    joined = pairs.join(left, "a").join(right, "b").where("_ra != _rb")
+    return joined.select(*names, "_x", "_y").mapInArrow(run, pairs.schema)
 
 
 def _nearest_forest(n: int, a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -413,6 +417,8 @@ def _unit_pairs(units: DataFrame, bits: int) -> DataFrame:
     The pairs of a unit that has more to tell have negative bits (-1 - bits). A unit tells a forest of its nearest pairs,
     or all of them if they are few; a large unit does so for runs in the order of its trie, linked end to end. Rows are
     dealt by ranges, so that several tasks may hold a part of one unit; each tells its first and its last unit as ends.
+    Units with more to tell, and ends as (unit, -1, -3), come with the list of their nodes, so that nobody has to look for
+    them among all rows. A unit comes once for each part of it; a node may be in two of its lists.
     """
 
     def runs_of(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -422,22 +428,23 @@ def _unit_pairs(units: DataFrame, bits: int) -> DataFrame:
         lo = starts[of] + nth * RUN_ROWS
         return np.stack([lo, np.minimum(lo + RUN_ROWS, ends[of]), lo, np.minimum(lo + RUN_ROWS, ends[of]), 0 * lo, 0 * lo + 16], 1)
 
-    def batch_of(unit: np.ndarray, a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in (unit, a, b, bits)], names=["unit", "a", "b", "bits"])
+    def batch_of(unit: np.ndarray, a: np.ndarray, b: np.ndarray, bits: np.ndarray, nodes: pa.Array | None = None) -> pa.RecordBatch:
+        nodes = pa.nulls(len(unit), pa.list_(pa.int64())) if nodes is None else nodes
+        return pa.RecordBatch.from_arrays([*(pa.array(c) for c in (unit, a, b, bits)), nodes], names=["unit", "a", "b", "bits", "nodes"])
 
-    def told(rows: np.ndarray, cut: set[int]) -> pa.RecordBatch:
+    def told(rows: np.ndarray, cut: set[int], ends_of_task: list[int]) -> pa.RecordBatch:
         """`cut` are units of which other rows were or will be told apart from these."""
         value = rows[:, 1].astype(np.int64).view(np.uint64)
         order = np.lexsort((rows[:, 2], value, rows[:, 0]))
         rows, value = rows[order], value[order]
-        after = rows[:, 3].astype(np.int64).view(np.uint64)
+        after, later = rows[:, 3].astype(np.int64), rows[:, 4].astype(np.int64)
         starts = np.flatnonzero(np.r_[True, rows[1:, 0] != rows[:-1, 0]])
         ends = np.r_[starts[1:], len(rows)]
         many = ends - starts > 1
         starts, ends = starts[many], ends[many]
         firsts = runs_of(starts, ends)
         x, y = trie_pairs(value, firsts, bits)
-        near = np.bitwise_count(after[x] ^ after[y]) <= NEXT_BITS
+        near = np.bitwise_count((after[x] ^ after[y]).view(np.uint64)) + np.bitwise_count((later[x] ^ later[y]).view(np.uint64)) <= NEXT_BITS
         x, y = x[near], y[near]
         differ = np.bitwise_count(value[x] ^ value[y]).astype(np.int64)
         unit_of = np.searchsorted(starts, x, "right") - 1
@@ -452,38 +459,43 @@ def _unit_pairs(units: DataFrame, bits: int) -> DataFrame:
         more = rows[starts[dense], 0]
         differ = np.bitwise_count(value[x] ^ value[y]).astype(np.int64)
         a, b = np.minimum(rows[x, 2], rows[y, 2]), np.maximum(rows[x, 2], rows[y, 2])
-        none = np.full(len(more), -1, np.int64)
         differ = np.where(np.isin(rows[x, 0], more), -1 - differ, differ)
-        return batch_of(np.r_[rows[x, 0], more], np.r_[a, none], np.r_[b, none], np.r_[differ, none])
+        member = rows[np.isin(rows[:, 0], np.r_[more, np.array(ends_of_task, np.int64)])]
+        units, at = np.unique(member[:, 0], return_index=True)
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[at, len(member)], pa.int32()), pa.array(member[:, 2]))
+        nodes = pa.concat_arrays([pa.nulls(len(x), lists.type), lists])
+        none = np.full(len(units), -1, np.int64)
+        code = np.where(np.isin(units, more), -1, -3)
+        return batch_of(np.r_[rows[x, 0], units], np.r_[a, none], np.r_[b, code], np.r_[differ, none], nodes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count, first, cut = [], 0, None, set()
         for batch in batches:
             for start in range(0, batch.num_rows, NEAR_ROWS):
                 part = batch.slice(start, NEAR_ROWS)
-                held.append(np.stack([part.column(c).to_numpy() for c in ("unit", "v", "node", "next")], 1))
+                held.append(np.stack([part.column(c).to_numpy() for c in ("unit", "v", "node", "next", "later")], 1))
                 count += part.num_rows
                 first = held[0][0] if first is None else first
                 if count >= NEAR_ROWS:
                     rows = np.concatenate(held)
                     last = np.flatnonzero(rows[1:, 0] != rows[:-1, 0])
                     if len(last):
-                        yield told(rows[: last[-1] + 1], cut)
+                        yield told(rows[: last[-1] + 1], cut, [int(first[0])])
                         rows, cut = rows[last[-1] + 1 :], set()
                     if len(rows) >= NEAR_ROWS:
                         # One unit fills the chunk: its last row goes on, so that the parts are linked end to end.
                         cut = {int(rows[0, 0])}
-                        yield told(rows, cut)
+                        yield told(rows, cut, [int(first[0])])
                         rows = rows[-1:]
                     held, count = [rows], len(rows)
         if count:
             rows = np.concatenate(held)
-            yield told(rows, cut)
             ends = np.stack([first, rows[-1]])
+            yield told(rows, cut, ends[:, 0].tolist())
             yield batch_of(ends[:, 0], ends[:, 2], np.full(2, -2), np.full(2, -1))
 
     dealt = units.repartitionByRange("unit", "v").sortWithinPartitions("unit", "v")
-    return dealt.mapInArrow(run, "unit long, a long, b long, bits long")
+    return dealt.mapInArrow(run, "unit long, a long, b long, bits long, nodes array<long>")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -755,31 +767,29 @@ def _grouped(docs: DataFrame, words: int, similarity: float, seeds: int) -> Data
     best = pairs.groupBy(F.col("b").alias("node")).agg(F.max(F.struct("n", F.negative("bits"), F.negative("a"))).alias("m"))
     chosen = best.select(F.negative(F.col("m").getField("col3")).alias("a"), F.col("node").alias("b"))
     tried = written(chosen, "tried")
-    links = written(_verified(written(_near_prints(tried, nodes, seeds), "near"), hashes, similarity), "links")
+    alone = nodes.withColumn("root", F.col("node"))
+    links = written(_verified(written(_near_prints(tried, alone, seeds), "near"), hashes, similarity), "links")
 
     def rooted(links: DataFrame) -> DataFrame:
         roots = components(links)
         joined = nodes.select("sign", "node", "first").join(roots, "node", "left")
         return written(joined.withColumn("root", F.coalesce("root", "node")), "rooted")
 
-    def still_apart(some: DataFrame, now: DataFrame) -> DataFrame:
-        label = now.select("node", "root")
-        left = label.select(F.col("node").alias("a"), F.col("root").alias("_ra"))
-        right = label.select(F.col("node").alias("b"), F.col("root").alias("_rb"))
-        return some.join(left, "a").join(right, "b").where("_ra != _rb").select("a", "b")
+    def labelled(now: DataFrame) -> DataFrame:
+        return now.select("node", "root").join(nodes.select("node", "size", "prints"), "node")
 
     now = rooted(links)
     # Crowded nodes are asked again below, so only what the others told is looked at here.
-    rest = still_apart(pairs.where("open >= 0").select("a", "b").join(tried, ["a", "b"], "left_anti"), now)
-    rest = written(_near_prints(rest, nodes, seeds), "rest")
+    rest = pairs.where("open >= 0").select("a", "b").join(tried, ["a", "b"], "left_anti")
+    rest = written(_near_prints(rest, labelled(now), seeds), "rest")
     links = links.union(written(_verified(rest, hashes, similarity), "links"))
     crowded = found.where("b = -1").select("unit").union(parted.select("unit")).distinct()
     now = rooted(links)
-    label = now.join(nodes.select("node", "size", "prints"), "node").select("node", "root", "size", "prints")
+    label = labelled(now)
     members = written(_short_units(nodes, hashes, similarity), "few")
     if not crowded.isEmpty():
-        units = _bands(nodes, seeds).select("unit", "node").join(crowded, "unit", "left_semi")
-        crowds = written(units.groupBy("node").agg(F.collect_list("unit").alias("units")).join(label, "node"), "crowds")
+        units = found.where("nodes is not null").join(crowded, "unit", "left_semi").select("unit", F.explode("nodes").alias("node"))
+        crowds = written(units.groupBy("node").agg(F.collect_set("unit").alias("units")).join(label, "node"), "crowds")
         near = _suspects(crowds, seeds).groupBy("node").agg(F.collect_list("unit").alias("units"))
         # A node is in at most one unit per block of each fingerprint, so its list is bounded.
         members = members.union(written(near.select("node", "units"), "near"))

@@ -56,3 +56,26 @@ def test_overlaps_count_common_elements():
     got = simhash.overlaps(some[:40], some[40:])
     assert got.tolist() == [[len(np.intersect1d(a, b)) for b in some[40:]] for a in some[:40]]
     assert simhash.overlaps(some[:1], [np.empty(0, "<u4")]).tolist() == [[0]]
+
+
+def test_unlike_texts_of_one_block_are_no_candidates(spark):
+    # All in one node of the trie: of 80,000 pairs about a hundred passed the test of a single further fingerprint.
+    rnd = np.random.default_rng(7)
+    n = 400
+    v, after, later = rnd.integers(-(1 << 63), (1 << 63) - 1, (3, n))
+    v = v & ((1 << 48) - 1)
+    rows = [(0, int(v[i]), int(after[i]), int(later[i]), i) for i in range(n)]
+    rows.append((0, int(v[0]) ^ 7, int(after[0]) ^ 7, int(later[0]) ^ 7, n))
+    units = spark.createDataFrame(rows, "unit long, v long, next long, later long, node long")
+    pairs = {(r["a"], r["b"]) for r in simhash._unit_pairs(units, simhash.CANDIDATE_BITS).where("b >= 0").collect()}
+    assert (0, n) in pairs and len(pairs) < 20, len(pairs)
+
+
+def test_crowds_are_dealt_out_once(spark, monkeypatch):
+    dealt, bands = [], simhash._bands
+    monkeypatch.setattr(simhash, "_bands", lambda *a: dealt.append(1) or bands(*a))
+    texts = template_texts(60)
+    frame = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "row long, id long, text string")
+    got = {r["row"]: r["group_row"] for r in simhash.near_duplicates(frame).collect()}
+    assert got == {i: i if i < 60 else i - 60 for i in range(72)}
+    assert len(dealt) == 1

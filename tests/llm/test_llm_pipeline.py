@@ -70,3 +70,21 @@ def test_stages_take_empty_and_awkward_tables(spark, folder, docs, no_docs, clas
         assert rows
         if name != "packing":
             assert out.columns == clashing.columns and rows[0]["score"] == "own score"
+
+
+def test_kept_texts_stay_where_they_are(spark, monkeypatch):
+    rnd = random.Random(8)
+    docs = [(i, " ".join(f"w{rnd.randrange(10**6)}" for _ in range(12)), "en", None, 90) for i in range(6000)]
+    docs += [(10_000 + i, docs[i][1], "en", None, 90) for i in range(0, 6000, 3)] + [(None, None, None, None, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # The words of 64 rows are below this, the numbers of the kept rows above it.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        kept = pipeline.simhash_near_dedup(spark, frame, "")
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+        ids = [r["doc_id"] for r in kept.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted(ids, key=lambda i: -1 if i is None else i) == [None, *range(6000)]
